@@ -66,7 +66,8 @@ def resolve(base: Column, href: Column) -> Column:
     clean_path = F.when(dotted, _without_dots(joined)).otherwise(joined)
     tail = F.concat(part(href, 4), part(href, 5))
     return (
-        F.when(part(href, 1) != "", href)
+        F.when(href == "", base)
+        .when(part(href, 1) != "", href)
         .when(part(href, 2) != "", F.concat(part(base, 1), href))
         .when(path != "", F.concat(site, clean_path, tail))
         .when(part(href, 4) != "", F.concat(site, base_path, tail))

@@ -45,8 +45,8 @@ def count_routed(
         .groupBy("category")
         .agg(F.count("*").alias("n_files"))
     )
-    categories = files.sparkSession.createDataFrame(
-        [(c,) for c in patterns], "category string"
+    categories = files.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(c) for c in patterns])).alias("category")
     )
     return categories.join(counts, "category", "left").select(
         "category", F.coalesce("n_files", F.lit(0).cast("bigint")).alias("n_files")
