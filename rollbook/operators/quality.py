@@ -4,9 +4,12 @@ folded before anything is shuffled."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollbook.functions import clean
 from rollbook.operators.shape import REASONS, REJECTED, typed_cell
@@ -39,9 +42,7 @@ def load_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def key_violations(df: DataFrame, *key: str) -> DataFrame:
     """Keys that occur more than once or have a null part."""
-    has_null = F.lit(False)
-    for k in key:
-        has_null = has_null | F.col(k).isNull()
+    has_null = reduce(or_, [F.col(k).isNull() for k in key])
     return df.groupBy(*key).agg(F.count("*").alias("n")).filter((F.col("n") > 1) | has_null)
 
 
@@ -106,15 +107,17 @@ def orphans(
     """
     columns = [columns] if isinstance(columns, str) else list(columns)
     keys = [keys] if isinstance(keys, str) else list(keys)
-    used = child.select(*columns).dropna().groupBy(*columns).agg(F.count("*").alias("n"))
+    refers = reduce(and_, [F.col(c).isNotNull() for c in columns])
+    used = child.filter(refers).groupBy(*columns).agg(F.count("*").alias("n"))
     known = parent.select(*[F.col(k).alias(f"__{k}") for k in keys])
-    match = F.lit(True)
+    pairs = []
     for c, k in zip(columns, keys):
-        # A reference kept as text ('05') still means the number 5.
         as_type = parent.schema[k].dataType
-        left = F.col(c) if child.schema[c].dataType == as_type else F.col(c).try_cast(as_type)
-        match = match & (left == F.col(f"__{k}"))
-    return used.join(known, match, "left_anti")
+        is_text = isinstance(child.schema[c].dataType, T.StringType)
+        # A reference kept as text ('05') still means the number 5.
+        left = F.col(c).try_cast(as_type) if is_text else F.col(c)
+        pairs.append(left == F.col(f"__{k}"))
+    return used.join(known, reduce(and_, pairs), "left_anti")
 
 
 def orphan_counts(

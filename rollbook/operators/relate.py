@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Upper bound, in bytes of plan statistics, for a side that every executor gets.
 BROADCAST_BYTES = 32 << 20
@@ -42,8 +43,8 @@ def decode(fact: DataFrame, codes: DataFrame, column: str, into: str,
     probe = f"__{into}"
     as_type = codes.schema[key].dataType
     value = F.col(column)
-    if fact.schema[column].dataType != as_type:
-        value = value.try_cast(as_type)
+    if isinstance(fact.schema[column].dataType, T.StringType):
+        value = value.try_cast(as_type)  # a code kept as text
     side = codes.select(F.col(key).alias(probe), F.col(name).alias(into))
     return join_list(fact, side, value == F.col(probe)).drop(probe)
 
@@ -58,16 +59,20 @@ def join_facts(left: DataFrame, right: DataFrame, on: str | list[str],
     return left.join(right, on, how)
 
 
-def fan_out(one: DataFrame, many: DataFrame, on: str | list[str]) -> DataFrame:
+def fan_out(one: DataFrame, many: DataFrame, on: str | list[str],
+            keys_of: DataFrame | None = None) -> DataFrame:
     """Left join that repeats ``one`` for each of ``many``, hot keys included.
 
     A left join cannot split a hot key of its right side, so it is put together
     from an inner join, which can, and the rows without any partner.  For those
     only the distinct keys of ``many`` are needed, and they combine map-side.
+    Where ``many`` is itself a join, ``keys_of`` names the input that has all its
+    keys, so that the join is not run for them.
     """
     keys = [on] if isinstance(on, str) else list(on)
     paired = one.join(many, keys, "inner")
-    lonely = one.join(many.select(*keys).distinct(), keys, "left_anti")
+    known = (many if keys_of is None else keys_of).select(*keys).distinct()
+    lonely = one.join(known, keys, "left_anti")
     return paired.unionByName(lonely, allowMissingColumns=True)
 
 

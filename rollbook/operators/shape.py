@@ -30,34 +30,76 @@ def present(df: DataFrame, table: Table) -> list[Field]:
 
 
 def typed_cell(field: Field, raw: Column | None = None) -> Column:
+    """One cell on its own; ``typed`` does whole rows faster."""
     c = F.col(field.name) if raw is None else raw
     return CLEANERS[field.kind](c).alias(field.name)
 
 
-def typed(raw: DataFrame, table: Table, *keep: str) -> DataFrame:
+def _raw(field: Field) -> str:
+    return f"__raw_{field.name}"
+
+
+def _core(field: Field) -> str:
+    return f"__core_{field.name}"
+
+
+def _is_text(field: Field) -> bool:
+    return field.kind in (TEXT, ASSIGNED)
+
+
+def _text(field: Field) -> Column:
+    return clean.finish_text(F.col(_core(field)), F.col(_raw(field)))
+
+
+def _cores(raw: DataFrame, fields: list[Field], *keep: str) -> DataFrame:
+    """Raw cells under other names, and the trimmed text of text-like ones.
+
+    Texts are worked out in this step and tested in the next one: a projection
+    that uses a costly column more than once is not merged into its input.
+    """
+    return raw.select(
+        *[F.col(f.name).alias(_raw(f)) for f in fields],
+        *[clean.text_core(F.col(f.name)).alias(_core(f)) for f in fields if _is_text(f)],
+        *keep,
+    )
+
+
+def _value(field: Field) -> Column:
+    if field.kind == TEXT:
+        return _text(field).alias(field.name)
+    if field.kind == ASSIGNED:
+        return _text(field).try_cast("int").alias(field.name)
+    return typed_cell(field, F.col(_raw(field)))
+
+
+def typed(raw: DataFrame, table: Table, *keep: str | Column) -> DataFrame:
     """Clean and cast every declared column; ``keep`` columns pass through."""
-    return raw.select(*[typed_cell(f) for f in present(raw, table)], *keep)
+    fields = present(raw, table)
+    kept = raw.select(*keep).columns
+    return _cores(raw, fields, *keep).select(*[_value(f) for f in fields], *kept)
 
 
-def reject_reason(field: Field, raw: Column, value: Column, is_key: bool) -> Column | None:
+def reject_reason(field: Field, is_key: bool) -> Column | None:
     """NULL for a good cell, else 'column:reason'.
 
     Only what a relational store would refuse is a reason.  A cell without any
     usable digits is tolerated and simply becomes NULL.
     """
-    name = field.name
+    name, raw, value = field.name, F.col(_raw(field)), F.col(field.name)
     lost = value.isNull() & raw.isNotNull()
     why = None
     if field.kind in (INTEGER, CODE):
         too_big = lost & clean.int_text(raw).rlike(clean.WHOLE_NUMBER)
         why = F.when(too_big, F.lit(f"{name}:int_range"))
     elif field.kind == ASSIGNED:
-        why = F.when(lost & clean.clean_string(raw).isNotNull(), F.lit(f"{name}:not_int"))
+        why = F.when(lost & _text(field).isNotNull(), F.lit(f"{name}:not_int"))
     elif field.kind == MONEY:
         number = lost & clean.decimal_text(raw).rlike(clean.NUMBER)
         why = F.when(number, F.lit(f"{name}:decimal_range"))
     elif field.kind == TEXT and field.limit:
-        why = F.when(F.char_length(value) > field.limit, F.lit(f"{name}:length"))
+        # A text never has more characters than bytes, and bytes are at hand.
+        too_long = (F.octet_length(value) > field.limit) & (F.char_length(value) > field.limit)
+        why = F.when(too_long, F.lit(f"{name}:length"))
     if is_key:
         missing = F.when(value.isNull(), F.lit(f"{name}:null_key"))
         why = missing if why is None else F.coalesce(why, missing)
@@ -68,30 +110,24 @@ def typed_with_reasons(raw: DataFrame, table: Table, *keep: str) -> DataFrame:
     """Typed columns plus ``reasons``, ``rejected`` and, for rejected rows only,
     the ``raw`` cells: one pass that feeds both the table and its quarantine."""
     fields = present(raw, table)
-    cells = F.struct(*[F.col(f.name) for f in fields])
-    staged = raw.select(
-        cells.alias(RAW),
-        *[typed_cell(f) for f in fields],
-        *([LONG_RECORD] if LONG_RECORD in raw.columns else []),
-        *keep,
+    extra = [LONG_RECORD] if LONG_RECORD in raw.columns else []
+    staged = _cores(raw, fields, *keep, *extra).select(
+        "*", *[_value(f) for f in fields]
     )
-    checks = [
-        reject_reason(f, F.col(f"{RAW}.{f.name}"), F.col(f.name), f.name == table.primary_key)
-        for f in fields
-    ]
+    checks = [reject_reason(f, f.name == table.primary_key) for f in fields]
     checks = [c for c in checks if c is not None]
-    if LONG_RECORD in raw.columns:
+    if extra:
         checks.append(F.when(F.col(LONG_RECORD).isNotNull(), F.lit("row:too_many_cells")))
-    reasons = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
-    out = staged.withColumn(REASONS, reasons).withColumn(REJECTED, F.size(REASONS) > 0)
-    extra = [LONG_RECORD] if LONG_RECORD in raw.columns else []
-    return out.select(
+    found = F.concat_ws(",", *checks)  # skips the NULLs of good cells
+    flagged = staged.withColumn("__found", found)
+    rejected = F.col("__found") != ""
+    return flagged.select(
         *[f.name for f in fields],
         *keep,
         *extra,
-        F.when(F.col(REJECTED), F.col(RAW)).alias(RAW),
-        REASONS,
-        REJECTED,
+        F.when(rejected, F.struct(*[F.col(_raw(f)).alias(f.name) for f in fields])).alias(RAW),
+        F.when(rejected, F.split("__found", ",")).alias(REASONS),
+        rejected.alias(REJECTED),
     )
 
 

@@ -136,7 +136,8 @@ def q_fanout(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") != "N").select(
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber"
     )
-    rows = relate.fan_out(relate.fan_out(customer, orders, "c_custkey"), items, "o_orderkey")
+    filled = relate.fan_out(orders, items, "o_orderkey")
+    rows = relate.fan_out(customer, filled, "c_custkey", keys_of=orders)
     return rows.groupBy("c_mktsegment").agg(
         F.count("*").alias("n_rows"),
         F.count("o_orderkey").alias("n_with_order"),

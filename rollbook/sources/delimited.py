@@ -33,6 +33,9 @@ def csv_options(sep: str = ";", encoding: str = "ISO-8859-1") -> dict[str, str]:
         "escape": '"',  # a quote inside a quoted cell is doubled
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": _CORRUPT,
+        # The reader itself maps empty cells, quoted or not, and NULL.
+        "nullValue": "NULL",
+        "emptyValue": "NULL",
         "maxCharsPerColumn": "-1",
     }
 
@@ -70,7 +73,7 @@ def multi_line_files(spark: SparkSession, paths: Sequence[str], sep: str = ";")
 
 
 def finish_scan(parsed: DataFrame, table: Table, sep: str) -> DataFrame:
-    """Null tokens, and over-long records set apart from padded short ones.
+    """The last null token, and over-long records set apart from padded short ones.
 
     The parser marks both kinds of wrong arity as corrupt; a short record is
     padded and kept, a long one keeps its text in ``long_record``.
@@ -79,7 +82,7 @@ def finish_scan(parsed: DataFrame, table: Table, sep: str) -> DataFrame:
     corrupt = F.col(_CORRUPT)
     is_long = corrupt.isNotNull() & (field_count(corrupt, sep) > n)
     return parsed.filter(corrupt.isNull() | (F.trim(corrupt) != "")).select(
-        *[null_token(F.col(c)).alias(c) for c in table.columns],
+        *[null_token(F.col(c), ("null",)).alias(c) for c in table.columns],
         F.when(is_long, corrupt).alias(LONG_RECORD),
         SOURCE_FILE,
     )
