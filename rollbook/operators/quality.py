@@ -9,11 +9,11 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rollbook.functions import clean
+from rollbook.operators.relate import is_text
 from rollbook.operators.shape import REASONS, REJECTED, typed_cell
-from rollbook.schema import Table
+from rollbook.schema import TEXT, Table
 
 
 def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
@@ -67,15 +67,18 @@ def limits_of(table: Table) -> dict[str, int]:
 
 
 def cast_failures(raw: DataFrame, table: Table) -> DataFrame:
-    """(column_name, n): cells with text in them whose typed value is missing."""
+    """(column_name, n): cells with text in them whose typed value is missing.
+
+    Text is looked at only where the value is missing; a text column loses nothing.
+    """
     fields = [f for f in table.fields if f.name in raw.columns]
-    staged = raw.select(
-        *[
-            (clean.clean_string(F.col(f.name)).isNotNull() & typed_cell(f).isNull()).alias(f.name)
-            for f in fields
-        ]
-    )
-    return unpivot_counts(staged, {f.name: F.count_if(F.col(f.name)) for f in fields},
+    lost = {
+        f.name: F.lit(False) if f.kind == TEXT
+        else typed_cell(f).isNull() & clean.clean_string(F.col(f.name)).isNotNull()
+        for f in fields
+    }
+    staged = raw.select(*[c.alias(name) for name, c in lost.items()])
+    return unpivot_counts(staged, {name: F.count_if(F.col(name)) for name in lost},
                           "column_name", "n")
 
 
@@ -112,10 +115,10 @@ def orphans(
     known = parent.select(*[F.col(k).alias(f"__{k}") for k in keys])
     pairs = []
     for c, k in zip(columns, keys):
-        as_type = parent.schema[k].dataType
-        is_text = isinstance(child.schema[c].dataType, T.StringType)
-        # A reference kept as text ('05') still means the number 5.
-        left = F.col(c).try_cast(as_type) if is_text else F.col(c)
+        left = F.col(c)
+        if is_text(child, c) and not is_text(parent, k):
+            # A reference kept as text ('05') still means the number 5.
+            left = clean.to_whole(left, parent.schema[k].dataType)
         pairs.append(left == F.col(f"__{k}"))
     return used.join(known, reduce(and_, pairs), "left_anti")
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollbook.functions.clean import to_whole
+
 # Upper bound, in bytes of plan statistics, for a side that every executor gets.
 BROADCAST_BYTES = 32 << 20
 
@@ -34,6 +36,10 @@ def join_list(fact: DataFrame, codes: DataFrame, on: str | list[str] | Column,
     return fact.join(small_side(codes), on, how)
 
 
+def is_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.StringType)
+
+
 def decode(fact: DataFrame, codes: DataFrame, column: str, into: str,
            key: str = "codigo", name: str = "nome") -> DataFrame:
     """Add the description of one code column; rows without a match stay.
@@ -43,8 +49,8 @@ def decode(fact: DataFrame, codes: DataFrame, column: str, into: str,
     probe = f"__{into}"
     as_type = codes.schema[key].dataType
     value = F.col(column)
-    if isinstance(fact.schema[column].dataType, T.StringType):
-        value = value.try_cast(as_type)  # a code kept as text
+    if is_text(fact, column) and not is_text(codes, key):
+        value = to_whole(value, as_type)  # a code kept as text
     side = codes.select(F.col(key).alias(probe), F.col(name).alias(into))
     return join_list(fact, side, value == F.col(probe)).drop(probe)
 

@@ -68,7 +68,7 @@ def _value(field: Field) -> Column:
     if field.kind == TEXT:
         return _text(field).alias(field.name)
     if field.kind == ASSIGNED:
-        return _text(field).try_cast("int").alias(field.name)
+        return clean.to_whole(_text(field)).alias(field.name)
     return typed_cell(field, F.col(_raw(field)))
 
 

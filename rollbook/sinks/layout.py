@@ -30,10 +30,11 @@ def cluster(df: DataFrame, path: str, by: list[str], partition_by: list[str] | N
     writer.partitionBy(*folders).parquet(path)
 
 
-def hottest_key_rows(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent key; one number reaches the driver."""
+def hottest_share(df: DataFrame, key: str) -> float:
+    """The most frequent key's share of all rows; two numbers reach the driver."""
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    return counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("m")).first()["m"]
+    top, rows = counts.agg(F.max("n"), F.sum("n")).first()
+    return top / rows if rows else 0.0
 
 
 def bucket(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> bool:
@@ -43,8 +44,7 @@ def bucket(df: DataFrame, name: str, key: str, buckets: int, path: str | None =
     so frequent that its bucket would be a hot spot: joins then shuffle and AQE
     splits that key.
     """
-    rows = df.count()
-    if rows and hottest_key_rows(df, key) > MAX_KEY_SHARE * rows / buckets:
+    if hottest_share(df, key) > MAX_KEY_SHARE / buckets:
         _save(df.hint("rebalance", F.col(key)).sortWithinPartitions(key), name, path)
         return False
     # As many tasks as buckets, on the same hash: one file per bucket.

@@ -22,7 +22,7 @@ STRINGS = [
 INTS = [
     ("007", 7), ("-5", -5), ("Brand#12", 12), ("3.5", 35), ("1-2", None), ("1-", None),
     ("-", None), ("abc", None), ("3000000000", None), ("", None), (None, None), (" 4 2 ", 42),
-    ("+8", 8), ('"9"', 9), ("2147483647", 2147483647), ("-2147483648", -2147483648),
+    ("+8", 8), ('"9"', 9), ("2147483647", 2147483647), ("12ab", 12), ("fade", None), ("1e5", 15), ("-2147483648", -2147483648),
 ]
 DECIMALS = [
     ("1.234,56", "1234.56"), ("1000,00", "1000.00"), ("1000.00", "100000.00"), ("1e3", "1000.00"),
@@ -33,7 +33,7 @@ DATES = [
     ("20250131", datetime.date(2025, 1, 31)), ("2025-01-31", datetime.date(2025, 1, 31)),
     ("00000000", None), ("0", None), ("20250230", None), ("2025101", None), ("2025101 ", None),
     ("2025011 ", None), ("+2025101", None), ("202501311", None), ("00000101", None), ("", None),
-    (None, None), ('"20240229"', datetime.date(2024, 2, 29)), ("2025013T", None),
+    (None, None), ('"20240229"', datetime.date(2024, 2, 29)), ("2025013T", None), ("2025013e", None), ("0000010a", None), ("2025a131", None),
     ("a20250131b", datetime.date(2025, 1, 31)), ("16770101", datetime.date(1677, 1, 1)),
 ]
 
