@@ -8,9 +8,8 @@ nor a row ever holds an archive.
 from __future__ import annotations
 
 import io
-import re
 import zipfile
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -19,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollbook.schema import Table
-from rollbook.sources.delimited import SOURCE_FILE, csv_options, finish_scan, parsed_schema
+from rollbook.sources.delimited import SOURCE_FILE, finish_scan, parse_records
+from rollbook.sources.records import BATCH_CHARS, BATCH_ROWS, records, text_lines
 
 BLOCK = 4 << 20
-BATCH_ROWS = 20_000
 
 MEMBERS = T.StructType(
     [
@@ -54,48 +53,6 @@ def open_archive(path: str) -> zipfile.ZipFile:
     return zipfile.ZipFile(system.open_input_file(name))
 
 
-def closed_record(sep: str) -> re.Pattern[str]:
-    """Matches a text that does not end inside a quoted cell."""
-    s = re.escape(sep)
-    cell = rf'(?:"(?:[^"]++|"")*+"[^{s}]*+|(?!")[^{s}]*+)'
-    return re.compile(rf"{cell}(?:{s}{cell})*+")
-
-
-def text_lines(blocks: Iterable[str]) -> Iterator[str]:
-    r"""Lines (with ends \n, \r\n or \r) of a text that arrives in blocks."""
-    rest = ""
-    for block in blocks:
-        rest += block
-        # A '\r' at the very end may be the first half of '\r\n'.
-        cut = max(rest.rfind("\n"), rest.rfind("\r", 0, len(rest) - 1)) + 1
-        if cut:
-            yield from re.findall(r"[^\r\n]*(?:\r\n|\n|\r)", rest[:cut])
-            rest = rest[cut:]
-    yield from re.findall(r"[^\r\n]*(?:\r\n|\n|\r)|[^\r\n]+$", rest)
-
-
-def records(lines: Iterable[str], sep: str) -> Iterator[str]:
-    """Join lines until no quoted cell is open; blank lines are skipped."""
-    closed = closed_record(sep)
-    parts: list[str] = []
-    for line in lines:
-        body = line.rstrip("\r\n")
-        if not parts:
-            if '"' not in body or closed.fullmatch(body):
-                if body.strip():
-                    yield body
-                continue
-            parts.append(line)
-        else:
-            parts.append(line)
-            # Only a line with a quote in it can close the cell.
-            if '"' in line and closed.fullmatch("".join(parts).rstrip("\r\n")):
-                yield "".join(parts).rstrip("\r\n")
-                parts = []
-    if parts:
-        yield "".join(parts).rstrip("\r\n")
-
-
 def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column("path").to_pylist():
@@ -149,7 +106,7 @@ def read_members(members: DataFrame, sep: str = ";", encoding: str = "latin-1")
                 for record in records(text_lines(blocks), sep):
                     chunk.append(record)
                     held += len(record)
-                    if len(chunk) >= BATCH_ROWS or held >= BLOCK:
+                    if len(chunk) >= BATCH_ROWS or held >= BATCH_CHARS:
                         yield flush()
                         chunk.clear()
                         held = 0
@@ -181,12 +138,5 @@ def scan_zip(
     lines = read_members(members.repartitionByRange(n, "archive", "member"), sep, encoding)
     if spread:
         lines = lines.hint("rebalance")
-    cells = F.from_csv(
-        "record",
-        ", ".join(f"`{f.name}` string" for f in parsed_schema(table).fields),
-        {k: v for k, v in csv_options(sep).items() if k != "encoding"},
-    )
-    parsed = lines.select(
-        cells.alias("cells"), F.concat_ws("!", "archive", "member").alias(SOURCE_FILE)
-    ).select("cells.*", SOURCE_FILE)
-    return finish_scan(parsed, table, sep)
+    named = lines.select(F.concat_ws("!", "archive", "member").alias(SOURCE_FILE), "record")
+    return finish_scan(parse_records(named, table, sep), table, sep)

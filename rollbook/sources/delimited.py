@@ -1,8 +1,9 @@
 """Headerless delimited text, every cell a string, columns named by position.
 
-A file whose quoted cells contain line breaks cannot be cut into splits.  Such
-files are rare, so the scan looks for them first, with a splittable pass, and
-only they are read whole by one task each; all others are split as usual.
+Spark's reader cannot cut a file whose quoted cells contain line breaks.  Such
+files are rare, so the scan looks for them first, with a splittable pass.  All
+others are split as usual; of these, small ones are read whole by one task each
+and big ones go through ``records.split_records``.
 """
 
 from __future__ import annotations
@@ -17,11 +18,14 @@ from pyspark.sql import types as T
 
 from rollbook.functions.clean import null_token
 from rollbook.schema import Table
+from rollbook.sources.records import split_records
 
 SOURCE_FILE = "source_file"
 LONG_RECORD = "long_record"
 _CORRUPT = "_corrupt_record"
 
+SPLIT_OVER = 256 << 20  # bytes; a file with line breaks in cells and more than this is split
+
 SNAPSHOT_IN_PATH = r"(\d{4}-\d{2})(?:/|$)"
 
 
@@ -65,11 +69,22 @@ def field_count(record: Column, sep: str = ";") -> Column:
     return F.size(F.split(_without_quoted_cells(record, sep, "q"), re.escape(sep)))
 
 
-def multi_line_files(spark: SparkSession, paths: Sequence[str], sep: str = ";") -> set[str]:
-    """The files with a quoted line break.  Only their names reach the driver."""
+def multi_line_files(spark: SparkSession, paths: Sequence[str], sep: str = ";") -> dict[str, int]:
+    """Name and size of the files with a quoted line break; nothing else reaches
+    the driver."""
     lines = spark.read.text(list(paths), recursiveFileLookup=True)
-    hits = lines.filter(may_continue(F.col("value"), sep)).select("_metadata.file_path")
-    return {r[0] for r in hits.distinct().collect()}
+    hits = lines.filter(may_continue(F.col("value"), sep)).select(
+        "_metadata.file_path", "_metadata.file_size"
+    )
+    return {r[0]: r[1] for r in hits.distinct().collect()}
+
+
+def parse_records(found: DataFrame, table: Table, sep: str) -> DataFrame:
+    """(source_file, record) to text columns, with the same parser as the scan."""
+    options = {k: v for k, v in csv_options(sep).items() if k != "encoding"}
+    schema = ", ".join(f"`{f.name}` string" for f in parsed_schema(table).fields)
+    cells = F.from_csv("record", schema, options).alias("cells")
+    return found.select(cells, SOURCE_FILE).select("cells.*", SOURCE_FILE)
 
 
 def finish_scan(parsed: DataFrame, table: Table, sep: str) -> DataFrame:
@@ -81,7 +96,10 @@ def finish_scan(parsed: DataFrame, table: Table, sep: str) -> DataFrame:
     n = len(table.columns)
     corrupt = F.col(_CORRUPT)
     is_long = corrupt.isNotNull() & (field_count(corrupt, sep) > n)
-    return parsed.filter(corrupt.isNull() | (F.trim(corrupt) != "")).select(
+    # Blank lines go.  The first cell is blank there too; naming it keeps a count
+    # of the rows from reading the corrupt column alone, which Spark forbids.
+    has_text = corrupt.isNull() | (F.trim(corrupt) != "") | (F.trim(table.columns[0]) != "")
+    return parsed.filter(has_text).select(
         *[null_token(F.col(c), ("null",)).alias(c) for c in table.columns],
         F.when(is_long, corrupt).alias(LONG_RECORD),
         SOURCE_FILE,
@@ -96,6 +114,7 @@ def scan_delimited(
     sep: str = ";",
     encoding: str = "ISO-8859-1",
     multi_line: bool | None = None,
+    split_over: int = SPLIT_OVER,
 ) -> DataFrame:
     """All files of a table as one DataFrame of text columns.
 
@@ -114,12 +133,19 @@ def scan_delimited(
         return finish_scan(read(paths, multi_line), table, sep)
 
     broken = multi_line_files(spark, paths, sep)
-    split = finish_scan(read(paths, False), table, sep)
+    out = finish_scan(read(paths, False), table, sep)
     if not broken:
-        return split
-    # file_path is URI-encoded, the reader takes plain paths
-    whole = finish_scan(read(sorted(map(unquote, broken)), True), table, sep)
-    return split.filter(~F.col(SOURCE_FILE).isin(*broken)).unionByName(whole)
+        return out
+    out = out.filter(~F.col(SOURCE_FILE).isin(*broken))
+    # file_path is URI-encoded, the readers take plain paths
+    small = sorted(unquote(f) for f, size in broken.items() if size <= split_over)
+    big = sorted(unquote(f) for f, size in broken.items() if size > split_over)
+    if small:
+        out = out.unionByName(finish_scan(read(small, True), table, sep))
+    if big:
+        found = split_records(spark, big, sep, encoding).withColumnRenamed("path", SOURCE_FILE)
+        out = out.unionByName(finish_scan(parse_records(found, table, sep), table, sep))
+    return out
 
 
 def snapshot_of(path: Column) -> Column:

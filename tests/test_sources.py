@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rollbook.operators.shape import typed, typed_with_reasons
 from rollbook.schema import REGISTRY, Table, integer, text
 from rollbook.sources import archive, delimited, files, jdbc
+from rollbook.sources import records as rec
 from rollbook.sources.delimited import LONG_RECORD, SOURCE_FILE, scan_delimited, snapshot_of
 
 FOUR = Table("four", (text("a"), text("b"), integer("c"), text("d")))
@@ -62,6 +63,9 @@ def test_plain_file(spark, tmp_path, end):
     path = write(tmp_path / "p.csv", PLAIN, end)
     assert rows(scan_delimited(spark, FOUR, path)) == EXPECTED
     assert rows(scan_delimited(spark, FOUR, path, multi_line=False)) == EXPECTED
+    assert scan_delimited(spark, FOUR, path).count() == len(EXPECTED)
+    few = scan_delimited(spark, FOUR, path).filter(F.col(LONG_RECORD).isNotNull()).select("a")
+    assert sorted(r["a"] for r in few.collect()) == ["7", "8"]
 
 
 def test_line_breaks_are_found_per_file(spark, tmp_path):
@@ -80,7 +84,7 @@ CLOSED = ['1;"a"', '"a;"""', "", ";;", '"a""b";c', '"";""', '"""a"""', 'a;"b;c"'
 def test_open_lines_are_always_flagged(spark):
     df = spark.createDataFrame([(x,) for x in OPEN + CLOSED], "x string")
     got = {r["x"]: r["f"] for r in df.select("x", delimited.may_continue(F.col("x")).alias("f")).collect()}
-    closed = archive.closed_record(";")
+    closed = rec.closed_record(";")
     assert all(got[x] for x in OPEN)
     assert not any(got[x] for x in CLOSED)
     assert not any(closed.fullmatch(x) for x in OPEN)
@@ -104,6 +108,35 @@ def test_zip_and_plain_agree(spark, tmp_path):
     }
 
 
+@pytest.mark.parametrize("size", [1, 7, 16, 40, 1000])
+def test_big_files_are_split_exactly(spark, tmp_path, size):
+    """Splits of a few bytes, so that records and even cells cross many of them."""
+    lines = WITH_BREAK + ['12;"a\n\n""b;\n";5;"\n"', '13;"";6;x', '14;"x\ny";7;"z\n\n\n\nz"', "15;e;8;"]
+    path = write(tmp_path / "big.csv", lines)
+    write(tmp_path / "other.csv", ['30;"p\nq";1;z', "31;x;1;y"])
+    whole = scan_delimited(spark, FOUR, str(tmp_path), multi_line=True)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        split = scan_delimited(spark, FOUR, str(tmp_path), split_over=0)
+        lines_read = rec.read_lines(spark, [path], "ISO-8859-1")
+        assert lines_read.rdd.getNumPartitions() > (1 if size < 200 else 0)
+        got = rows(split)
+        sources = {r[0].rsplit("/", 1)[1] for r in split.select(SOURCE_FILE).distinct().collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == rows(whole)
+    assert sources == {"big.csv", "other.csv"}
+
+
+def test_open_starts():
+    # (path, start, open after a closed start, after an open start, closes)
+    ends = [("f", 0, True, False, True), ("f", 10, False, True, False), ("f", 20, False, True, False),
+            ("f", 30, False, True, True), ("f", 40, False, False, True), ("g", 0, False, True, False)]
+    assert rec.open_starts(ends) == {("f", 10): 0, ("f", 20): 0, ("f", 30): 0, ("f", 40): 30}
+
+
 def test_broken_archive_fails(spark, tmp_path):
     (tmp_path / "bad.zip").write_bytes(b"this is no archive")
     with pytest.raises(Exception, match="not a zip file"):
@@ -114,7 +147,7 @@ def test_lines_across_block_borders():
     whole = "a;b\r\nc;d\ne\rf\r\n\r\ng"
     for size in range(1, len(whole) + 1):
         blocks = [whole[i:i + size] for i in range(0, len(whole), size)]
-        lines = list(archive.text_lines(blocks))
+        lines = list(rec.text_lines(blocks))
         assert "".join(lines) == whole
         assert [x.rstrip("\r\n") for x in lines] == ["a;b", "c;d", "e", "f", "", "g"]
 
