@@ -88,6 +88,15 @@ def q_scan_multi(spark, sf_dir):
     return shape.typed(raw, dirty.CUSTOMER, name)
 
 
+@query(_customer_sql(True))
+def q_scan_split(spark, sf_dir):
+    """Files with line breaks in cells, read by as many tasks as they have splits."""
+    folder = workspace(spark, "split")
+    write_delimited(customer_cells(spark, sf_dir, True).drop("c_custkey"), folder)
+    raw = scan_delimited(spark, dirty.CUSTOMER, folder, split_over=0)
+    return shape.typed(raw, dirty.CUSTOMER)
+
+
 @query(_customer_sql(True))
 def q_scan_zip(spark, sf_dir):
     folder = workspace(spark, "zip")

@@ -67,10 +67,13 @@ def load_table(spark: SparkSession, table: Table, paths: list[str], out_path: st
         F.count_if(~F.col(REJECTED)).alias("accepted"),
         F.count_if(REJECTED).alias("rejected"),
     )
+    target = f"{out_path.rstrip('/')}/{table.name}"
     write = sink.append_snapshot if keep_existing else sink.replace_snapshot
-    write(checked, f"{out_path.rstrip('/')}/{table.name}", snapshot)
-    counts = seen.get
-    return counts["accepted"], counts["rejected"]
+    write(checked, target, snapshot)
+    accepted, rejected = seen.get["accepted"], seen.get["rejected"]
+    if not keep_existing and accepted + rejected == 0:
+        sink.clear_snapshot(spark.createDataFrame([], stored_schema(table)), target, snapshot)
+    return accepted, rejected
 
 
 def load_snapshot(spark: SparkSession, folder: str, out_path: str, snapshot: str,

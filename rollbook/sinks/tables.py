@@ -48,6 +48,11 @@ def replace_snapshot(df: DataFrame, path: str, snapshot: str) -> None:
     _write_one(df.withColumn(SNAPSHOT, F.lit(snapshot)), path, "overwrite")
 
 
+def clear_snapshot(df: DataFrame, path: str, snapshot: str) -> None:
+    """Leave a snapshot without rows: a dynamic overwrite by no rows replaces nothing."""
+    df.limit(0).write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={snapshot}")
+
+
 def append_snapshot(df: DataFrame, path: str, snapshot: str) -> None:
     _write_one(df.withColumn(SNAPSHOT, F.lit(snapshot)), path, "append")
 

@@ -51,6 +51,19 @@ def test_load_twice_and_next_month(spark, tmp_path):
     assert load.read_table(spark, out, SIMPLES, "2025-10").count() == 2
 
 
+def test_a_reload_without_rows_empties_the_snapshot(spark, tmp_path):
+    raw_month(tmp_path / "raw")
+    out = str(tmp_path / "out")
+    for month in ("2025-10", "2025-11"):
+        load.load_snapshot(spark, str(tmp_path / "raw"), out, month)
+    write(tmp_path / "raw" / "K1.SIMPLES.CSV", ["", ""])
+    counts = load.load_snapshot(spark, str(tmp_path / "raw"), out, "2025-10")
+    assert counts["simples"] == (0, 0)
+    left = load.read_table(spark, out, SIMPLES).collect()
+    assert [r["snapshot"] for r in left] == ["2025-11"]
+    assert load.read_rejects(spark, out, SIMPLES, "2025-10").count() == 0
+
+
 def test_no_rows_give_an_empty_typed_table(spark, tmp_path):
     empty = spark.createDataFrame([], load.stored_schema(SIMPLES))
     tables.replace_snapshot(empty, str(tmp_path / "t" / "simples"), "2025-10")
@@ -115,6 +128,26 @@ def test_clustered_lookup(spark, tmp_path, plan):
     assert "PartitionFilters: [isnotnull(uf" in text and "EqualTo(municipio,5)" in text
 
 
+def test_a_hot_value_is_written_by_many_tasks(spark, tmp_path):
+    df = spark.range(0, 200_000, 1, 8).selectExpr(
+        "uuid() AS id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('v', id % 50) END AS uf"
+    )
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "300KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "50KB",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        layout.cluster(df, str(tmp_path / "h"), ["uf"])
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    back = spark.read.parquet(str(tmp_path / "h")).filter("uf = 'hot'")
+    assert back.count() == 66_667
+    assert back.select("_metadata.file_path").distinct().count() > 3
+
+
 def test_lookup_copies_go_on_after_a_failure(spark, tmp_path):
     spark.range(50).selectExpr("id", "'SP' AS uf").write.parquet(str(tmp_path / "t"))
     made = layout.lookup_copies(spark, str(tmp_path / "t"), str(tmp_path / "o"), ["nope", "uf"])
