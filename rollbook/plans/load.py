@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from rollbook.operators.shape import RAW, REASONS, REJECTED, typed_with_reasons
 from rollbook.schema import LOAD_ORDER, REGISTRY, Table
 from rollbook.sinks import tables as sink
-from rollbook.sources.archive import scan_zip
+from rollbook.sources.archive import list_members, scan_members
 from rollbook.sources.delimited import LONG_RECORD, SOURCE_FILE, scan_delimited
 from rollbook.sources.files import list_files, route
 
@@ -31,29 +32,49 @@ def stored_schema(table: Table) -> T.StructType:
     )
 
 
-def routed_paths(spark: SparkSession, folder: str, tables: Mapping[str, Table]) -> dict[str, list[str]]:
-    """File names by table.  Names only, as in any Spark file listing."""
+@dataclass
+class Inputs:
+    """What a table is loaded from: plain files and (archive, member) pairs."""
+
+    paths: list[str] = field(default_factory=list)
+    members: list[tuple[str, str]] = field(default_factory=list)
+
+
+def find_inputs(spark: SparkSession, folder: str, tables: Mapping[str, Table]) -> dict[str, Inputs]:
+    """Files by table.  What is in an archive is routed by its own name, not the
+    archive's.  Names only reach the driver, as in any Spark file listing."""
     patterns = {name: t.pattern for name, t in tables.items()}
-    files = list_files(spark, folder).select(route(F.col("name"), patterns).alias("t"), "path", "size")
-    found: dict[str, list[str]] = {}
-    for r in files.filter(F.col("t").isNotNull() & (F.col("size") > 0)).toLocalIterator():
-        found.setdefault(r["t"], []).append(r["path"])
+    files = list_files(spark, folder).filter(F.col("size") > 0)
+    is_zip = F.lower("path").endswith(".zip")
+    found: dict[str, Inputs] = {}
+    routed = files.withColumn("t", F.when(~is_zip, route(F.col("name"), patterns)))
+    zipped = False
+    for r in routed.filter(is_zip | F.col("t").isNotNull()).select("t", "path").collect():
+        if r["t"] is None:
+            zipped = True
+        else:
+            found.setdefault(r["t"], Inputs()).paths.append(r["path"])
+    if zipped:
+        base_name = F.substring_index("member", "/", -1)
+        inside = list_members(spark, folder).filter(F.col("size") > 0)
+        inside = inside.select(route(base_name, patterns).alias("t"), "archive", "member")
+        for r in inside.filter(F.col("t").isNotNull()).collect():
+            found.setdefault(r["t"], Inputs()).members.append((r["archive"], r["member"]))
     return found
 
 
-def scan(spark: SparkSession, table: Table, paths: list[str], **options: object) -> DataFrame:
+def scan(spark: SparkSession, table: Table, inputs: Inputs, **options: object) -> DataFrame:
     """Plain and zipped files of one table together."""
-    zipped = [p for p in paths if p.lower().endswith(".zip")]
-    plain = [p for p in paths if not p.lower().endswith(".zip")]
     parts = []
-    if plain:
-        parts.append(scan_delimited(spark, table, plain, **options))
-    if zipped:
-        parts.append(scan_zip(spark, table, zipped))
+    if inputs.paths:
+        parts.append(scan_delimited(spark, table, inputs.paths, **options))
+    if inputs.members:
+        listed = spark.createDataFrame(inputs.members, "archive string, member string")
+        parts.append(scan_members(table, listed))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def load_table(spark: SparkSession, table: Table, paths: list[str], out_path: str, snapshot: str,
+def load_table(spark: SparkSession, table: Table, inputs: Inputs, out_path: str, snapshot: str,
                keep_existing: bool = False, **options: object) -> tuple[int, int]:
     """One pass from raw files to one snapshot of a table.
 
@@ -61,7 +82,7 @@ def load_table(spark: SparkSession, table: Table, paths: list[str], out_path: st
     nothing is read or cleaned twice, and the counts are taken on the way.
     """
     seen = Observation(f"load {table.name}")
-    checked = typed_with_reasons(scan(spark, table, paths, **options), table, SOURCE_FILE)
+    checked = typed_with_reasons(scan(spark, table, inputs, **options), table, SOURCE_FILE)
     checked = checked.select([f.name for f in stored_schema(table).fields]).observe(
         seen,
         F.count_if(~F.col(REJECTED)).alias("accepted"),
@@ -84,7 +105,7 @@ def load_snapshot(spark: SparkSession, folder: str, out_path: str, snapshot: str
     The small code lists come first; tables do not depend on each other, so a few
     are written at a time and one table's last tasks do not idle the cluster.
     """
-    found = routed_paths(spark, folder, tables)
+    found = find_inputs(spark, folder, tables)
     order = [t for t in LOAD_ORDER if t in tables] + [t for t in tables if t not in LOAD_ORDER]
 
     def one(name: str) -> tuple[int, int]:
@@ -92,7 +113,7 @@ def load_snapshot(spark: SparkSession, folder: str, out_path: str, snapshot: str
                           keep_existing, **options)
 
     with ThreadPoolExecutor(at_once) as pool:
-        started = {name: pool.submit(one, name) for name in order if found.get(name)}
+        started = {name: pool.submit(one, name) for name in order if name in found}
         return {name: job.result() for name, job in started.items()}
 
 

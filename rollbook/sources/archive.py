@@ -44,7 +44,8 @@ def open_path(path: str) -> tuple[pafs.FileSystem, str]:
     if path.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
     if "://" in path:
-        return pafs.FileSystem.from_uri(path)
+        scheme, rest = path.split("://", 1)
+        return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
     return pafs.LocalFileSystem(), path
 
 
@@ -116,16 +117,15 @@ def read_members(members: DataFrame, sep: str = ";", encoding: str = "latin-1")
     return members.mapInArrow(read, RECORDS)
 
 
-def scan_zip(
-    spark: SparkSession,
+def scan_members(
     table: Table,
-    paths: str | Sequence[str],
+    members: DataFrame,
     *,
     sep: str = ";",
     encoding: str = "latin-1",
     spread: bool = True,
 ) -> DataFrame:
-    """The same columns as ``scan_delimited``, from members of ZIP archives.
+    """The same columns as ``scan_delimited``, from (archive, member) rows.
 
     A deflated member can only be inflated from its start, so it is one task's
     stream.  ``spread`` redistributes the raw records right after that, in
@@ -133,10 +133,16 @@ def scan_zip(
     """
     # The listing is a few rows of text, which AQE would fold into one task; an
     # explicit partition count is left alone.  Two cheap passes over directories.
-    members = list_members(spark, paths)
     n = max(1, members.count())
     lines = read_members(members.repartitionByRange(n, "archive", "member"), sep, encoding)
     if spread:
         lines = lines.hint("rebalance")
     named = lines.select(F.concat_ws("!", "archive", "member").alias(SOURCE_FILE), "record")
     return finish_scan(parse_records(named, table, sep), table, sep)
+
+
+def scan_zip(
+    spark: SparkSession, table: Table, paths: str | Sequence[str], **options: object
+) -> DataFrame:
+    """All members of all archives below the paths, as one table."""
+    return scan_members(table, list_members(spark, paths), **options)

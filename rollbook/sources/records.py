@@ -130,7 +130,7 @@ def split_records(spark: SparkSession, files: Sequence[str], sep: str, encoding:
     """
     lines = read_lines(spark, files, encoding)
     inside = spark.sparkContext.broadcast(
-        open_starts(tuple(r) for r in split_ends(lines, sep).toLocalIterator())
+        open_starts(tuple(r) for r in split_ends(lines, sep).collect())
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

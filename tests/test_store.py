@@ -1,6 +1,7 @@
 """Sinks, layouts, the snapshot load and its streaming twin."""
 
 import os
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +52,21 @@ def test_load_twice_and_next_month(spark, tmp_path):
     assert load.read_table(spark, out, SIMPLES, "2025-10").count() == 2
 
 
+def test_zipped_files_are_routed_by_member_name(spark, tmp_path):
+    raw = tmp_path / "raw"
+    write(raw / "F.PAISCSV", ['"013";"AFEGANISTAO"'])
+    with zipfile.ZipFile(raw / "Naturezas.zip", "w") as z:
+        z.writestr("F.K1.NATJUCSV", b'"2062";"Sociedade"\n"x";"sem"\n')
+        z.writestr("sub/F.K1.QUALSCSV", b'"49";"S\xf3cio"\n')
+        z.writestr("LEIAME", b"nothing")
+    with zipfile.ZipFile(raw / "Paises.zip", "w") as z:
+        z.writestr("F.K1.PAISCSV", b'"105";"BRASIL"\n')
+    counts = load.load_snapshot(spark, str(raw), str(tmp_path / "o"), "2025-10")
+    assert counts == {"pais": (2, 0), "quals": (1, 0), "natju": (1, 1)}
+    quals = load.read_table(spark, str(tmp_path / "o"), REGISTRY["quals"])
+    assert [tuple(r) for r in quals.collect()] == [(49, "Sócio", "2025-10")]
+
+
 def test_a_reload_without_rows_empties_the_snapshot(spark, tmp_path):
     raw_month(tmp_path / "raw")
     out = str(tmp_path / "out")
