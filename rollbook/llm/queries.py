@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import quality_rules
+from rollbook.llm import near_dups, quality_rules
 from rollbook.plans.registered import Query
 
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
+@query()
+def op4_minhash_near_dups(spark, sf_dir):
+    found = near_dups.verdicts(spark, table(spark, sf_dir, "documents"), words=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 # The rules are written out here, apart from the operator's own list.
 @query(rf"""
 WITH words AS (
