@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import near_dups, quality_rules
+from rollbook.llm import decontaminate, near_dups, quality_rules
 from rollbook.plans.registered import Query
 
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
+@query()
+def op2_string_tiling(spark, sf_dir):
+    found = decontaminate.matches(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id"
+    )
+    best = F.sort_array(F.transform("items", lambda i: F.struct(i.coverage, -i.item_id)), asc=False)
+    return found.select(
+        "row.doc_id",
+        (F.size("items") > 0).alias("contaminated"),
+        F.size("items").alias("n_items"),
+        F.transform("items", lambda i: i.item_id).alias("item_ids"),
+        F.get(best, F.lit(0))["coverage"].alias("coverage"),
+    )
+
+
 @query()
 def op4_minhash_near_dups(spark, sf_dir):
     found = near_dups.verdicts(spark, table(spark, sf_dir, "documents"), words=2)
