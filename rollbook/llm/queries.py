@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import decontaminate, near_dups, quality_rules
+from rollbook.llm import decontaminate, mixing, near_dups, quality_rules
 from rollbook.plans.registered import Query
 
 QUERIES: dict[str, Query] = {}
@@ -50,6 +50,48 @@ def op4_minhash_near_dups(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query(rf"""
+WITH sized AS (
+  SELECT doc_id, source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS size FROM documents),
+listed AS (
+  SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source)),
+turned AS (
+  SELECT *, row_number() OVER t AS turn,
+    sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+    sum(weight) OVER () - coalesce(sum(weight) OVER (t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining
+  FROM listed
+  WINDOW t AS (ORDER BY CAST(3 * source_size AS DOUBLE) / weight, weight, source_size, source NULLS LAST)),
+level AS (
+  SELECT rest, remaining FROM turned WHERE weight * rest <= 3 * source_size * remaining ORDER BY turn LIMIT 1),
+aimed AS (
+  SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE),
+    CAST(weight * level.rest AS DOUBLE) / CAST(level.remaining AS DOUBLE)) AS target
+  FROM turned, level),
+rated AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM aimed),
+drawn AS (
+  SELECT doc_id, sized.source, size, s AS seed,
+    CAST(CAST('0x' || substr(md5((s // 4) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), 8 * (s % 4) + 1, 8)
+      AS BIGINT) AS DOUBLE) / 4294967296.0 AS u
+  FROM sized, range(0, 16) r(s)),
+tried AS (
+  SELECT rated.source, seed,
+    abs(sum(CASE WHEN u < rate - floor(rate) THEN size ELSE 0 END) - any_value(target - floor(rate) * source_size)) AS miss
+  FROM drawn JOIN rated ON rated.source IS NOT DISTINCT FROM drawn.source GROUP BY rated.source, seed),
+chosen AS (
+  SELECT source, seed FROM (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY miss, seed) AS place FROM tried) WHERE place = 1)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM drawn JOIN rated ON rated.source IS NOT DISTINCT FROM drawn.source
+JOIN chosen ON chosen.source IS NOT DISTINCT FROM drawn.source AND chosen.seed = drawn.seed""")
+def op5_mix_sources(spark, sf_dir):
+    found = mixing.account(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
 # The rules are written out here, apart from the operator's own list.
 @query(rf"""
 WITH words AS (
