@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import decontaminate, mixing, near_dups, quality_rules
+from rollbook.llm import decontaminate, mixing, near_dups, quality_rules, sharding
 from rollbook.plans.registered import Query
 
 QUERIES: dict[str, Query] = {}
@@ -138,3 +138,12 @@ def op7_quality_rules(spark, sf_dir):
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~base).alias("base_failed"), quality_rules.passes(F.col("failed")).alias("kept"),
     )
+
+
+@query()
+def op8_hilbert_shards(spark, sf_dir):
+    found = sharding.shard(spark, table(spark, sf_dir, "documents"), "doc_id")
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "curve",
+    )
