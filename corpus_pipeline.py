@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollbook.llm import quality_rules
+from rollbook.llm import decontaminate, mixing, near_dups, quality_rules, sharding
 from rollbook.session import workspace
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -23,8 +23,34 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.filter_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return near_dups.keep_one(spark, docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontaminate.clean(spark, docs, items)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are repeated or thinned to their target weights."""
+    return mixing.mix(spark, docs)
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The columns of ``documents``, then where each row goes."""
+    found = sharding.shard(spark, docs)
+    return found.select("row.*", "size", "text_crc32", "curve", "shard", "slot")
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", benchmark),
+    ("mix_sources", mix),
+    ("shard", shards),
 ]
 
 #: MinHash signatures and string tiling are beyond SQL; tests hold the stages
