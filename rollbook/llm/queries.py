@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import decontaminate, mixing, near_dups, quality_rules, sharding
+from rollbook.llm import (
+    decontaminate, language_id, mixing, near_dups, quality_rules, sharding, toxicity,
+)
 from rollbook.plans.registered import Query
 
 QUERIES: dict[str, Query] = {}
@@ -29,6 +31,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
+def held_out():
+    """One document in three, told by its id alone, is kept out of all learning."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+@query()
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(spark, docs, ~held_out())
+    found = language_id.predict(docs, model, "doc_id")
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query()
 def op2_string_tiling(spark, sf_dir):
     found = decontaminate.matches(
@@ -44,6 +59,17 @@ def op2_string_tiling(spark, sf_dir):
     )
 
 
+@query()
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    weights = toxicity.fit(spark, docs, table(spark, sf_dir, "labels"), ~held_out())
+    found = toxicity.score(docs, weights, "doc_id")
+    return found.select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query()
 def op4_minhash_near_dups(spark, sf_dir):
     found = near_dups.verdicts(spark, table(spark, sf_dir, "documents"), words=2)
