@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollbook.llm import (
     decontaminate, language_id, mixing, near_dups, quality_rules, sharding, toxicity,
+    url_filter,
 )
 from rollbook.plans.registered import Query
 
@@ -173,3 +174,9 @@ def op8_hilbert_shards(spark, sf_dir):
         "doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "curve",
     )
+
+
+@query()
+def op10_url_trees(spark, sf_dir):
+    found = url_filter.judge(spark, table(spark, sf_dir, "pages").select("page_id", "url"))
+    return found.select("row.page_id", "host", "path", "rule", "verdict", "score")
