@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.llm import (
-    decontaminate, language_id, mixing, near_dups, quality_rules, sharding, toxicity,
+    decontaminate, language_id, line_dedup, mixing, near_dups, quality_rules, sharding, toxicity,
     url_filter,
 )
 from rollbook.plans.registered import Query
@@ -119,6 +119,11 @@ def op5_mix_sources(spark, sf_dir):
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query()
+def op6_line_runs(spark, sf_dir):
+    return line_dedup.account(spark, table(spark, sf_dir, "documents"))
+
+
 # The rules are written out here, apart from the operator's own list.
 @query(rf"""
 WITH words AS (
