@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.llm import (
-    decontaminate, language_id, line_dedup, mixing, near_dups, quality_rules, sharding, toxicity,
+    decontaminate, language_id, license_scan, line_dedup, mixing, near_dups, quality_rules, sharding, toxicity,
     url_filter,
 )
 from rollbook.plans.registered import Query
@@ -181,6 +181,16 @@ def op8_hilbert_shards(spark, sf_dir):
     )
 
 
+@query()
+def op9_license_scan(spark, sf_dir):
+    found = license_scan.scan(table(spark, sf_dir, "documents"), "doc_id")
+    best = F.get(F.sort_array(F.transform("found", lambda f: F.struct(f.saved, f.license)), asc=False), F.lit(0))
+    return found.select(
+        "doc_id", "n_blocks", best["license"].alias("license"), best["saved"].alias("saved"),
+        F.transform("found", lambda f: f.license).alias("licenses"),
+    )
+
+
 @query()
 def op10_url_trees(spark, sf_dir):
     found = url_filter.judge(spark, table(spark, sf_dir, "pages").select("page_id", "url"))
