@@ -5,14 +5,17 @@
    bins are filled by optimal densification.
 2. Equal sets become one class first, so buckets hold different sets only, and a
    class of copies is one row however large it is.
-3. In a bucket a few members are hubs; star edges go from each hub to the members
-   that are not yet in its component.  A hub then leaves its bucket, a bucket whose
-   members are all in one component is done, and the number of hubs doubles by round.
-   So every two different sets that share a bucket are either compared or already
-   connected: nothing is capped, and a bucket of real near copies is settled by one
-   star instead of all its pairs.
-4. Every edge is confirmed on the full shingle sets, in groups of one hub and some
-   of its members, so a popular hub is shared by many tasks.
+3. In every bucket the member that meets most others in all its buckets is the hub, and
+   star edges go from it to the other members.  They are confirmed on the full shingle
+   sets, in groups of one hub and some members, so a popular hub is shared by many tasks.
+4. A bucket whose members now are in one component is done, which settles nearly all,
+   and large groups of near copies first.  The others are settled in blocks of bounded
+   size: an inverted index of the full sets compares the members outside the block's
+   largest component with all its members, and only links that join two components come
+   out.  A bucket of several blocks is compared block by block.
+
+So every two different sets that share a bucket are either compared on their full sets
+or already connected.  Nothing is capped or sampled, and no list of pairs is made.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is
 linked with nothing.  Rows with equal sets are linked whatever their ids; rows that
@@ -39,6 +42,7 @@ BANDS = 36
 ROWS = 6  # signature values in a band
 SIMILARITY = 80  # percent
 GROUP = 64  # members confirmed against one copy of their hub's set
+BLOCK = 2_000_000  # shingles of a bucket that one task compares at a time
 SHINGLE_WORDS = 5
 
 
@@ -137,7 +141,7 @@ def confirm(edges: DataFrame, texts: DataFrame, words: int, similarity: int, fol
     """
     per_hub = save(
         edges.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("groups")),
-        f"{folder}-hubs",
+        f"{folder}/groups",
     )
     dealt = edges.join(per_hub, "hub").select(
         "hub", F.pmod(F.xxhash64("member"), "groups").cast("int").alias("part"), "member"
@@ -182,48 +186,113 @@ def similar(one: np.ndarray, other: np.ndarray, similarity: int) -> bool:
     return 100 * both >= similarity * (len(one) + len(other) - both)
 
 
-def open_rows(members: DataFrame, labels: DataFrame, hubs_wanted: int, folder: str) -> DataFrame:
-    """(key, node, n, label, is_hub) of the buckets that still hold two components.
+def star_edges(members: DataFrame, similarity: int, folder: str) -> DataFrame:
+    """(hub, member) of every bucket whose sizes allow the similarity."""
+    sizes = save(members.groupBy("key").agg(F.count("*").alias("members")), f"{folder}/sizes")
+    met = save(
+        members.join(sizes, "key").groupBy("node").agg(F.sum("members").alias("met")), f"{folder}/met"
+    )
+    ranked = save(members.join(met, "node").select("key", "node", "n", "met"), f"{folder}/ranked")
+    hubs = save(
+        ranked.groupBy("key").agg(F.max(F.struct("met", "node", "n")).alias("hub"))
+        .select("key", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")),
+        f"{folder}/hubs",
+    )
+    fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * similarity
+    return (
+        ranked.join(hubs, "key").filter((F.col("node") != F.col("hub")) & fits)
+        .select("hub", F.col("node").alias("member"))
+        .distinct()
+    )
 
-    The first member by hash is a hub, and others by chance, about ``hubs_wanted``
-    in all.
-    """
+
+def settle(members: DataFrame, labels: DataFrame, texts: DataFrame, words: int, similarity: int,
+           folder: str) -> DataFrame:
+    """Links (a, b) between the components that still meet in a bucket."""
     labelled = save(
         members.join(labels, "node", "left").select(
-            "key", "node", "n", F.coalesce("label", "node").alias("label"),
-            F.xxhash64("node", "key").alias("turn"),
+            "key", "node", "n", F.coalesce("label", "node").alias("label")
         ),
-        f"{folder}-labelled",
+        f"{folder}/labelled",
     )
-    keys = save(
+    unsettled = save(
         labelled.groupBy("key")
         .agg(
-            F.count("*").alias("members"), F.min("turn").alias("first"),
+            F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"),
             F.min("label").alias("least"), F.max("label").alias("most"),
         )
-        .filter("least <> most").select("key", "members", "first"),
-        f"{folder}-keys",
+        .filter("least <> most").select("key", "blocks"),
+        f"{folder}/unsettled",
     )
-    chance = F.pmod(F.xxhash64("turn", F.lit(hubs_wanted)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    is_hub = (F.col("turn") == F.col("first")) | (chance * F.col("members") < F.lit(hubs_wanted - 1))
-    return save(
-        labelled.join(keys, "key").select("key", "node", "n", "label", is_hub.alias("is_hub")),
-        f"{folder}-open",
+    block = F.pmod(F.xxhash64("node", "key"), "blocks").cast("int")
+    dealt = (
+        labelled.join(unsettled, "key")
+        .select("key", "node", "label", block.alias("own"),
+                F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"),
+                "node", "label")
+    )
+    grouped = (
+        dealt.join(texts, "node").repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
     )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, nodes, label, sets = None, [], [], []
 
-def star_edges(rows: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (hub, member) of different components whose sizes allow the similarity."""
-    hubs = rows.filter("is_hub").select(
-        "key", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label")
-    )
-    fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * similarity
-    return (
-        rows.join(hubs, "key")
-        .filter((F.col("label") != F.col("hub_label")) & fits)
-        .select("hub", F.col("node").alias("member"))
-        .distinct()
-    )
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict(
+                {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())} if len(nodes) < 2 else
+                dict(zip("ab", joins(nodes, label, sets, similarity)))
+            )
+
+        for batch in batches:
+            for rows, found_texts in tx.pieces(batch):
+                found, row = word_shingles(found_texts, words)
+                bound = np.searchsorted(row, np.arange(len(found_texts) + 1))
+                columns = [rows.column(c).to_pylist() for c in ("key", "one", "two", "node", "label")]
+                for i, (*here, node, own) in enumerate(zip(*columns)):
+                    if here != group:
+                        yield done()
+                        group, nodes, label, sets = here, [], [], []
+                    nodes.append(node)
+                    label.append(own)
+                    sets.append(found[bound[i] : bound[i + 1]].copy())
+        yield done()
+
+    return grouped.mapInArrow(run, "a long, b long")
+
+
+def joins(nodes: list[int], labels: list[int], sets: list[np.ndarray], similarity: int) -> tuple:
+    """Links of a block that connect its components, as two arrays of nodes."""
+    size = np.array([len(s) for s in sets])
+    value, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    _, place, many = np.unique(value, return_inverse=True, return_counts=True)
+    posting = owner[np.argsort(place, kind="stable")]  # owners by shingle
+    first = np.cumsum(many) - many
+    bound = np.concatenate([[0], np.cumsum(size)])
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            x = parent[x] = parent[parent[x]]
+        return x
+
+    names, counts = np.unique(labels, return_counts=True)
+    largest = names[counts.argmax()]
+    a, b = [], []
+    for x in np.flatnonzero(np.array(labels) != largest):
+        slot = place[bound[x] : bound[x + 1]]
+        length = many[slot]
+        step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        both = np.bincount(posting[np.repeat(first[slot], length) + step], minlength=len(sets))
+        alike = 100 * both >= similarity * (size[x] + size - both)
+        for y in np.flatnonzero(alike & (both > 0)):
+            one, two = root(labels[x]), root(labels[y])
+            if one != two:
+                parent[two] = one
+                a.append(nodes[x])
+                b.append(nodes[y])
+    return pa.array(a, pa.int64()), pa.array(b, pa.int64())
 
 
 def verdicts(spark: SparkSession, docs: DataFrame, words: int = SHINGLE_WORDS,
@@ -262,19 +331,13 @@ def verdicts(spark: SparkSession, docs: DataFrame, words: int = SHINGLE_WORDS,
         .select(F.col("doc_id").alias("a"), F.col("node").alias("b")).filter("a <> b").distinct(),
         f"{folder}/links",
     )
-    labels = components(spark, links, f"{folder}/components")
-    step = 0
-    while True:
-        here = f"{folder}/round-{step}"
-        opened = open_rows(members, labels, 1 << step, here)
-        if opened.isEmpty():
-            break
-        edges = save(star_edges(opened, similarity), f"{here}-edges")
-        found = confirm(edges, texts, words, similarity, here)
-        links = save(links.union(found), f"{here}-links")
-        labels = components(spark, links, f"{here}-components")
-        members = opened.filter(~F.col("is_hub")).select("key", "node", "n")
-        step += 1
+    edges = save(star_edges(members, similarity, f"{folder}/star"), f"{folder}/edges")
+    found = confirm(edges, texts, words, similarity, f"{folder}/star")
+    links = save(links.union(found), f"{folder}/star-links")
+    labels = components(spark, links, f"{folder}/star-components")
+    more = settle(members, labels, texts, words, similarity, f"{folder}/settle")
+    more = save(more, f"{folder}/more-links")
+    labels = components(spark, links.union(more), f"{folder}/all-components")
     of_class = classes.select("d1", "d2", "node").join(labels, "node", "left").select(
         "d1", "d2", F.coalesce("label", "node").alias("label")
     )
