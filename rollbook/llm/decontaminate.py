@@ -233,8 +233,8 @@ def by_join(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, items: D
     hold makes a hot key of a plain join of two tables, which AQE splits.
     """
     folder = workspace(spark, "decontaminate")
-    keyed = docs.withColumn("__key", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
-    texts = keyed.select(F.col("__key").alias("key"), "text")
+    keyed = packed(docs, names).withColumn("key", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    texts = keyed.select("key", "text")
     seeds = save(
         seeds_of(benchmark.select(F.col("item_id").cast("long"), "text"), "item_id", "text").distinct(),
         f"{folder}/seeds",
@@ -273,11 +273,8 @@ def by_join(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, items: D
         .groupBy("key", "item_id").agg(F.max("coverage").alias("coverage"))
         .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("item_id", "coverage"))).alias("items"))
     )
-    out = keyed.join(save(matched, f"{folder}/matched"), F.col("__key") == F.col("key"), "left")
-    none = F.array().cast(ITEMS)
-    return out.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.coalesce("items", none).alias("items")
-    )
+    out = keyed.select("row", "key").join(save(matched, f"{folder}/matched"), "key", "left")
+    return out.select("row", F.coalesce("items", F.array().cast(ITEMS)).alias("items"))
 
 
 def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *keep: str,
