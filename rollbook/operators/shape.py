@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.functions import clean
@@ -106,9 +106,13 @@ def reject_reason(field: Field, is_key: bool) -> Column | None:
     return why
 
 
-def typed_with_reasons(raw: DataFrame, table: Table, *keep: str) -> DataFrame:
+def typed_with_reasons(raw: DataFrame, table: Table, *keep: str, unique: bool = False) -> DataFrame:
     """Typed columns plus ``reasons``, ``rejected`` and, for rejected rows only,
-    the ``raw`` cells: one pass that feeds both the table and its quarantine."""
+    the ``raw`` cells: one pass that feeds both the table and its quarantine.
+
+    ``unique`` also rejects all but one of the good rows with the same primary key: the
+    first by raw cells, then by the ``keep`` columns.
+    """
     fields = present(raw, table)
     extra = [LONG_RECORD] if LONG_RECORD in raw.columns else []
     staged = _cores(raw, fields, *keep, *extra).select(
@@ -120,6 +124,14 @@ def typed_with_reasons(raw: DataFrame, table: Table, *keep: str) -> DataFrame:
         checks.append(F.when(F.col(LONG_RECORD).isNotNull(), F.lit("row:too_many_cells")))
     found = F.concat_ws(",", *checks)  # skips the NULLs of good cells
     flagged = staged.withColumn("__found", found)
+    if unique and table.primary_key:
+        good_first = Window.partitionBy(table.primary_key).orderBy(
+            F.col("__found") != "", *[_raw(f) for f in fields], *keep
+        )
+        again = (F.col("__found") == "") & (F.row_number().over(good_first) > 1)
+        flagged = flagged.withColumn("__again", again).withColumn(
+            "__found", F.when(F.col("__again"), f"{table.primary_key}:duplicate_key").otherwise(F.col("__found"))
+        )
     rejected = F.col("__found") != ""
     return flagged.select(
         *[f.name for f in fields],

@@ -93,7 +93,7 @@ def q_scan_split(spark, sf_dir):
     """Files with line breaks in cells, read by as many tasks as they have splits."""
     folder = workspace(spark, "split")
     write_delimited(customer_cells(spark, sf_dir, True).drop("c_custkey"), folder)
-    raw = scan_delimited(spark, dirty.CUSTOMER, folder, split_over=0)
+    raw = scan_delimited(spark, dirty.CUSTOMER, folder, multi_line=True)
     return shape.typed(raw, dirty.CUSTOMER)
 
 

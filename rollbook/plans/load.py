@@ -15,7 +15,7 @@ from rollbook.schema import LOAD_ORDER, REGISTRY, Table
 from rollbook.sinks import tables as sink
 from rollbook.sources.archive import list_members, scan_members
 from rollbook.sources.delimited import LONG_RECORD, SOURCE_FILE, scan_delimited
-from rollbook.sources.files import list_files, route
+from rollbook.sources.files import base_name, empty_files, list_files, route
 
 
 def stored_schema(table: Table) -> T.StructType:
@@ -41,23 +41,34 @@ class Inputs:
 
 
 def find_inputs(spark: SparkSession, folder: str, tables: Mapping[str, Table]) -> dict[str, Inputs]:
-    """Files by table.  What is in an archive is routed by its own name, not the
-    archive's.  Names only reach the driver, as in any Spark file listing."""
+    """Files by table, by the name of the file alone; files without bytes count too, so
+    that a table without rows is loaded as such.  What is in an archive is routed by its
+    own name, not the archive's.  Names only reach the driver, as in any Spark file
+    listing."""
+    files = list_files(spark, folder)
+    empty = empty_files(spark, folder)
+    if empty:
+        rows = spark.createDataFrame([(path,) for path in empty], "path string")
+        files = files.select("path", "name").union(rows.select("path", base_name(F.col("path"))))
+    return route_inputs(spark, files, tables)
+
+
+def route_inputs(spark: SparkSession, files: DataFrame, tables: Mapping[str, Table]) -> dict[str, Inputs]:
+    """The same for a listing (path, name)."""
     patterns = {name: t.pattern for name, t in tables.items()}
-    files = list_files(spark, folder).filter(F.col("size") > 0)
     is_zip = F.lower("path").endswith(".zip")
     found: dict[str, Inputs] = {}
     routed = files.withColumn("t", F.when(~is_zip, route(F.col("name"), patterns)))
-    zipped = False
+    zipped: list[str] = []
     for r in routed.filter(is_zip | F.col("t").isNotNull()).select("t", "path").collect():
         if r["t"] is None:
-            zipped = True
+            zipped.append(r["path"])
         else:
             found.setdefault(r["t"], Inputs()).paths.append(r["path"])
     if zipped:
-        base_name = F.substring_index("member", "/", -1)
-        inside = list_members(spark, folder).filter(F.col("size") > 0)
-        inside = inside.select(route(base_name, patterns).alias("t"), "archive", "member")
+        inside = list_members(spark, zipped).select(
+            route(base_name(F.col("member")), patterns).alias("t"), "archive", "member"
+        )
         for r in inside.filter(F.col("t").isNotNull()).collect():
             found.setdefault(r["t"], Inputs()).members.append((r["archive"], r["member"]))
     return found
@@ -70,7 +81,7 @@ def scan(spark: SparkSession, table: Table, inputs: Inputs, **options: object) -
         parts.append(scan_delimited(spark, table, inputs.paths, **options))
     if inputs.members:
         listed = spark.createDataFrame(inputs.members, "archive string, member string")
-        parts.append(scan_members(table, listed))
+        parts.append(scan_members(table, listed, n_members=len(inputs.members)))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
@@ -82,7 +93,7 @@ def load_table(spark: SparkSession, table: Table, inputs: Inputs, out_path: str,
     nothing is read or cleaned twice, and the counts are taken on the way.
     """
     seen = Observation(f"load {table.name}")
-    checked = typed_with_reasons(scan(spark, table, inputs, **options), table, SOURCE_FILE)
+    checked = typed_with_reasons(scan(spark, table, inputs, **options), table, SOURCE_FILE, unique=True)
     checked = checked.select([f.name for f in stored_schema(table).fields]).observe(
         seen,
         F.count_if(~F.col(REJECTED)).alias("accepted"),

@@ -75,7 +75,10 @@ def write_snapshots(df: DataFrame, path: str, by: str = SNAPSHOT) -> None:
 def read_snapshots(spark: SparkSession, path: str, schema: T.StructType,
                    snapshot: str | None = None) -> DataFrame:
     """A table with its declared types, also when it has no rows yet.  Choosing a
-    snapshot prunes the other folders."""
+    snapshot, with its parts ``snapshot.number`` if it was streamed, prunes the other
+    folders."""
     stored = T.StructType([*schema.fields, T.StructField(SNAPSHOT, T.StringType())])
     df = spark.read.schema(stored).parquet(path)
-    return df if snapshot is None else df.filter(F.col(SNAPSHOT) == snapshot)
+    if snapshot is None:
+        return df
+    return df.filter((F.col(SNAPSHOT) == snapshot) | F.col(SNAPSHOT).startswith(f"{snapshot}."))

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from rollbook.schema import Table
 from rollbook.sources.delimited import SOURCE_FILE, finish_scan, parse_records
-from rollbook.sources.records import BATCH_CHARS, BATCH_ROWS, records, text_lines
+from rollbook.sources.records import BATCH_CHARS, BATCH_ROWS, MOST_CHARS, records, text_lines
 
 BLOCK = 4 << 20
 
@@ -34,11 +34,24 @@ RECORDS = T.StructType(
     [
         T.StructField("archive", T.StringType()),
         T.StructField("member", T.StringType()),
+        T.StructField("at", T.LongType()),
+        T.StructField("chars", T.LongType()),
         T.StructField("record", T.StringType()),
     ]
 )
 
 
+#: Stores that tasks can open for themselves.  Archives elsewhere must be unpacked first;
+#: plain files are read by Spark from any store.
+SCHEMES = ("file", "hdfs", "viewfs", "s3", "s3a", "s3n", "gs", "gcs")
+
+
+def check_scheme(path: str) -> None:
+    scheme = path.split(":", 1)[0] if ":" in path.split("/", 1)[0] else "file"
+    if scheme not in SCHEMES:
+        raise ValueError(f"archives cannot be opened in {scheme}: stores, only in {', '.join(SCHEMES)}")
+
+
 def open_path(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and path for a URI or a plain path, inside any task."""
     if path.startswith("file:"):
@@ -78,6 +91,8 @@ def _member_blocks(path: str, member: str, encoding: str) -> Iterator[str]:
 def list_members(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(archive, member, size) from the archives' directories, one task each."""
     paths = [paths] if isinstance(paths, str) else list(paths)
+    for path in paths:
+        check_scheme(path)
     found = spark.read.format("binaryFile").options(
         recursiveFileLookup="true", pathGlobFilter="*.[zZ][iI][pP]"
     ).load(paths).select("path")  # listing only: the content column is not read
@@ -85,7 +100,7 @@ def list_members(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def read_members(members: DataFrame, sep: str = ";", encoding: str = "latin-1") -> DataFrame:
-    """The records of the listed members, as (archive, member, record)."""
+    """(archive, member, chars, record) of the listed members."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,15 +113,17 @@ def read_members(members: DataFrame, sep: str = ";", encoding: str = "latin-1")
                         [
                             pa.repeat(pa.scalar(row["archive"], pa.string()), len(chunk)),
                             pa.repeat(pa.scalar(row["member"], pa.string()), len(chunk)),
+                            pa.repeat(pa.scalar(0, pa.int64()), len(chunk)),
+                            pa.repeat(pa.scalar(MOST_CHARS + 1, pa.int64()), len(chunk)),
                             pa.array(chunk, pa.string()),
                         ],
-                        names=["archive", "member", "record"],
+                        names=["archive", "member", "at", "chars", "record"],
                     )
 
                 blocks = _member_blocks(row["archive"], row["member"], encoding)
                 for record in records(text_lines(blocks), sep):
                     chunk.append(record)
-                    held += len(record)
+                    held += len(record or "")
                     if len(chunk) >= BATCH_ROWS or held >= BATCH_CHARS:
                         yield flush()
                         chunk.clear()
@@ -123,21 +140,24 @@ def scan_members(
     *,
     sep: str = ";",
     encoding: str = "latin-1",
-    spread: bool = True,
+    spread: bool | None = None,
+    n_members: int | None = None,
 ) -> DataFrame:
     """The same columns as ``scan_delimited``, from (archive, member) rows.
 
     A deflated member can only be inflated from its start, so it is one task's
     stream.  ``spread`` redistributes the raw records right after that, in
-    evenly sized partitions, so parsing and cleaning a huge member is shared.
+    evenly sized partitions, so parsing and cleaning a huge member is shared; by
+    default that is done if there are fewer members than cores.
     """
-    # The listing is a few rows of text, which AQE would fold into one task; an
-    # explicit partition count is left alone.  Two cheap passes over directories.
-    n = max(1, members.count())
+    # The listing is a few rows of text, which AQE would fold into one task; an explicit
+    # partition count is left alone.
+    n = n_members or max(1, members.count())
     lines = read_members(members.repartitionByRange(n, "archive", "member"), sep, encoding)
-    if spread:
+    # With a member for every core nothing is gained by moving the raw text.
+    if n < members.sparkSession.sparkContext.defaultParallelism if spread is None else spread:
         lines = lines.hint("rebalance")
-    named = lines.select(F.concat_ws("!", "archive", "member").alias(SOURCE_FILE), "record")
+    named = lines.select(F.concat_ws("!", "archive", "member").alias(SOURCE_FILE), "at", "chars", "record")
     return finish_scan(parse_records(named, table, sep), table, sep)
 
 

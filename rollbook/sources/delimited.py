@@ -1,9 +1,9 @@
-"""Headerless delimited text, every cell a string, columns named by position.
+r"""Headerless delimited text, every cell a string, columns named by position.
 
-Spark's reader cannot cut a file whose quoted cells contain line breaks.  Such
-files are rare, so the scan looks for them first, with a splittable pass.  All
-others are split as usual; of these, small ones are read whole by one task each
-and big ones go through ``records.split_records``.
+Files of any size are read the same way: as lines, in splits.  A file without line breaks
+in its cells has a record per line; the few files that have some are found by a first,
+splittable pass and go through ``records.broken_records``.  All records are parsed by
+Spark's CSV parser.  A record ends with LF, or with CR LF; CR and CR LF in a cell stay.
 """
 
 from __future__ import annotations
@@ -18,21 +18,23 @@ from pyspark.sql import types as T
 
 from rollbook.functions.clean import null_token
 from rollbook.schema import Table
-from rollbook.sources.records import split_records
+from rollbook.session import workspace
+from rollbook.sources.records import broken_records, read_lines
 
 SOURCE_FILE = "source_file"
 LONG_RECORD = "long_record"
 _CORRUPT = "_corrupt_record"
+_TOO_LONG = "_too_long"
 
-SPLIT_OVER = 256 << 20  # bytes; a file with line breaks in cells and more than this is split
+NAMED_FILES = 1000  # so many files with line breaks are named in the plan, more are joined
 
 SNAPSHOT_IN_PATH = r"(\d{4}-\d{2})(?:/|$)"
 
 
-def csv_options(sep: str = ";", encoding: str = "ISO-8859-1") -> dict[str, str]:
+def csv_options(sep: str = ";") -> dict[str, str]:
     return {
         "sep": sep,
-        "encoding": encoding,
+        "lineSep": "\n",
         "quote": '"',
         "escape": '"',  # a quote inside a quoted cell is doubled
         "mode": "PERMISSIVE",
@@ -69,22 +71,16 @@ def field_count(record: Column, sep: str = ";") -> Column:
     return F.size(F.split(_without_quoted_cells(record, sep, "q"), re.escape(sep)))
 
 
-def multi_line_files(spark: SparkSession, paths: Sequence[str], sep: str = ";") -> dict[str, int]:
-    """Name and size of the files with a quoted line break; nothing else reaches
-    the driver."""
-    lines = spark.read.text(list(paths), recursiveFileLookup=True)
-    hits = lines.filter(may_continue(F.col("value"), sep)).select(
-        "_metadata.file_path", "_metadata.file_size"
-    )
-    return {r[0]: r[1] for r in hits.distinct().collect()}
-
-
 def parse_records(found: DataFrame, table: Table, sep: str) -> DataFrame:
-    """(source_file, record) to text columns, with the same parser as the scan."""
-    options = {k: v for k, v in csv_options(sep).items() if k != "encoding"}
+    """(source_file, record) to text columns.  A line break inside a record is always in
+    a quoted cell.  A null record was too long to be one; it stays without cells."""
     schema = ", ".join(f"`{f.name}` string" for f in parsed_schema(table).fields)
-    cells = F.from_csv("record", schema, options).alias("cells")
-    return found.select(cells, SOURCE_FILE).select("cells.*", SOURCE_FILE)
+    cells = F.from_csv("record", schema, csv_options(sep)).alias("cells")
+    note = F.when(F.col("record").isNull(), F.concat(
+        F.lit("record of "), F.col("chars").cast("string"), F.lit(" characters in the split at byte "),
+        F.col("at").cast("string"),
+    ))
+    return found.select(cells, SOURCE_FILE, note.alias(_TOO_LONG)).select("cells.*", SOURCE_FILE, _TOO_LONG)
 
 
 def finish_scan(parsed: DataFrame, table: Table, sep: str) -> DataFrame:
@@ -101,11 +97,21 @@ def finish_scan(parsed: DataFrame, table: Table, sep: str) -> DataFrame:
     has_text = corrupt.isNull() | (F.trim(corrupt) != "") | (F.trim(table.columns[0]) != "")
     return parsed.filter(has_text).select(
         *[null_token(F.col(c), ("null",)).alias(c) for c in table.columns],
-        F.when(is_long, corrupt).alias(LONG_RECORD),
+        F.coalesce(F.col(_TOO_LONG), F.when(is_long, corrupt)).alias(LONG_RECORD),
         SOURCE_FILE,
     )
 
 
+def plain_records(lines: DataFrame) -> DataFrame:
+    """(path, at, chars, record): a record per line, blank lines skipped."""
+    record = F.regexp_replace("line", "\r$", "")
+    record = F.when(F.col("line").endswith("\r"), record).otherwise(F.col("line"))
+    return lines.filter(F.trim(F.translate("line", "\r", "")) != "").select(
+        "path", F.col("start").alias("at"), F.length("line").cast("long").alias("chars"),
+        record.alias("record"),
+    )
+
+
 def scan_delimited(
     spark: SparkSession,
     table: Table,
@@ -114,38 +120,35 @@ def scan_delimited(
     sep: str = ";",
     encoding: str = "ISO-8859-1",
     multi_line: bool | None = None,
-    split_over: int = SPLIT_OVER,
 ) -> DataFrame:
     """All files of a table as one DataFrame of text columns.
 
-    ``multi_line`` None finds out per file; True or False skips that pass.
+    ``multi_line`` None finds out which files have line breaks in cells; True takes all
+    to have some and False none.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    options = csv_options(sep, encoding)
-
-    def read(files: Sequence[str], whole: bool) -> DataFrame:
-        reader = spark.read.schema(parsed_schema(table)).options(**options)
-        return reader.csv(
-            list(files), multiLine=whole, recursiveFileLookup=True
-        ).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
-
+    lines = read_lines(spark, paths, encoding)
+    folder = workspace(spark, "scan")
     if multi_line is not None:
-        return finish_scan(read(paths, multi_line), table, sep)
-
-    broken = multi_line_files(spark, paths, sep)
-    out = finish_scan(read(paths, False), table, sep)
-    if not broken:
-        return out
-    out = out.filter(~F.col(SOURCE_FILE).isin(*broken))
-    # file_path is URI-encoded, the readers take plain paths
-    small = sorted(unquote(f) for f, size in broken.items() if size <= split_over)
-    big = sorted(unquote(f) for f, size in broken.items() if size > split_over)
-    if small:
-        out = out.unionByName(finish_scan(read(small, True), table, sep))
-    if big:
-        found = split_records(spark, big, sep, encoding).withColumnRenamed("path", SOURCE_FILE)
-        out = out.unionByName(finish_scan(parse_records(found, table, sep), table, sep))
-    return out
+        found = broken_records(lines, sep, folder) if multi_line else plain_records(lines)
+    else:
+        hits = lines.filter(may_continue(F.col("line"), sep)).select("path").distinct()
+        hits.write.mode("overwrite").parquet(f"{folder}/broken")
+        broken = spark.read.parquet(f"{folder}/broken")
+        # The first few names go into the plan, which prunes files.
+        names = [r["path"] for r in broken.limit(NAMED_FILES + 1).collect()]
+        if not names:
+            found = plain_records(lines)
+        elif len(names) <= NAMED_FILES:
+            # file_path is URI-encoded, the readers take plain paths
+            inside = read_lines(spark, sorted(unquote(n) for n in names), encoding)
+            outside = lines.filter(~F.col("path").isin(*names))
+            found = plain_records(outside).unionByName(broken_records(inside, sep, folder))
+        else:
+            outside = lines.join(broken, "path", "left_anti")
+            inside = lines.join(broken, "path", "left_semi")
+            found = plain_records(outside).unionByName(broken_records(inside, sep, folder))
+    return finish_scan(parse_records(found.withColumnRenamed("path", SOURCE_FILE), table, sep), table, sep)
 
 
 def snapshot_of(path: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,15 +13,32 @@ from rollbook.schema import REGISTRY
 PATTERNS: dict[str, str] = {name: t.pattern for name, t in REGISTRY.items()}
 
 
+def base_name(path: Column) -> Column:
+    """A file's own name; for a part file that Spark wrote, the name of its folder."""
+    last = F.substring_index(path, "/", -1)
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(last.rlike("^part-[0-9]"), folder).otherwise(last)
+
+
+def empty_files(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the files without a byte, which no Spark scan lists as rows."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    full = {plain_path(r["path"]) for r in files.select("path").collect()}
+    return sorted({plain_path(unquote(f)) for f in files.inputFiles()} - full)
+
+
+def plain_path(uri: str) -> str:
+    """One spelling for local paths: ``file:/a`` and ``file:///a`` are the same."""
+    return "file:/" + uri[len("file:"):].lstrip("/") if uri.startswith("file:") else uri
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, name, size) of every file below a folder.  ``content`` is pruned,
-    so no file is opened; ``name`` is relative to the folder."""
+    """(path, name, size, modified) of every file with a byte below a folder.  ``content`` is pruned,
+    so no file is opened."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    tail = folder.rstrip("/").rsplit("/", 1)[-1]
     return files.select(
-        "path",
-        F.substring_index("path", f"/{tail}/", -1).alias("name"),
-        F.col("length").alias("size"),
+        "path", base_name(F.col("path")).alias("name"), F.col("length").alias("size"),
+        F.col("modificationTime").alias("modified"),
     )
 
 

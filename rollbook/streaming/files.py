@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from rollbook.operators.shape import typed_with_reasons
+from rollbook.plans.load import Inputs, load_table
 from rollbook.schema import Table
-from rollbook.sources.delimited import SOURCE_FILE, csv_options, finish_scan, parsed_schema
+
+
+#: The columns of Spark's binary file source; the content is never asked for.
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def drain(stream: DataFrame, out_path: str, checkpoint: str,
@@ -37,28 +39,37 @@ def new_parquet(spark: SparkSession, path: str, max_files: int = 10_000) -> Data
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def new_delimited(spark: SparkSession, table: Table, path: str, *, sep: str = ";",
-                  encoding: str = "ISO-8859-1", multi_line: bool = True,
-                  max_files: int = 10_000) -> DataFrame:
-    """A stream with the columns of ``scan_delimited``.
-
-    Files that have yet to arrive cannot be checked for quoted line breaks, so
-    they are read whole unless the caller knows there are none.
-    """
-    rows = (
-        spark.readStream.schema(parsed_schema(table))
-        .options(**csv_options(sep, encoding))
-        .option("multiLine", multi_line)
+def new_files(spark: SparkSession, path: str, max_files: int = 1_000) -> DataFrame:
+    """A stream of the paths of new files; nothing is read."""
+    return (
+        spark.readStream.format("binaryFile").schema(FILES)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
-        .csv(path)
-        .select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+        .load(path)
+        .select("path")
     )
-    return finish_scan(rows, table, sep)
 
 
 def load_new(spark: SparkSession, table: Table, path: str, out_path: str, checkpoint: str,
-             **scan: object) -> None:
-    """Scan, clean and check new files of one table with the batch expressions."""
-    stream = new_delimited(spark, table, path, **scan)
-    drain(stream, out_path, checkpoint, lambda raw: typed_with_reasons(raw, table, SOURCE_FILE))
+             snapshot: str, **scan: object) -> None:
+    """Load what has arrived for one table of a month, as ``load.load_table`` does.
+
+    Each batch of new files is scanned by the batch reader, which splits big files, and
+    replaces its own part of the month, ``snapshot.number``: a batch that is run again
+    after a failure never doubles rows.  ``load.read_table`` reads a month with all its
+    parts; a month is either streamed or loaded whole.
+    """
+
+    def load_batch(batch: DataFrame, number: int) -> None:
+        paths = [r["path"] for r in batch.collect()]  # at most max_files names
+        if paths:
+            load_table(spark, table, Inputs(paths), out_path, f"{snapshot}.{number:06d}", **scan)
+
+    query = (
+        new_files(spark, path)
+        .writeStream.foreachBatch(load_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()

@@ -68,13 +68,14 @@ def test_plain_file(spark, tmp_path, end):
     assert sorted(r["a"] for r in few.collect()) == ["7", "8"]
 
 
-def test_line_breaks_are_found_per_file(spark, tmp_path):
+def test_line_breaks_are_found_per_file(spark, tmp_path, monkeypatch):
     broken = write(tmp_path / "in" / "with space.csv", WITH_BREAK)
     plain = write(tmp_path / "in" / "plain.csv", ['20;"x";1;"y"', "21;x;1;y"])
-    found = delimited.multi_line_files(spark, [broken, plain])
-    assert [os.path.basename(f) for f in found] == ["with%20space.csv"]
-    got = rows(scan_delimited(spark, FOUR, str(tmp_path / "in")))
-    assert got == EXPECTED_BREAK | {"20": ("x", "1", "y", False), "21": ("x", "1", "y", False)}
+    want = EXPECTED_BREAK | {"20": ("x", "1", "y", False), "21": ("x", "1", "y", False)}
+    assert rows(scan_delimited(spark, FOUR, [broken, plain])) == want
+    assert rows(scan_delimited(spark, FOUR, str(tmp_path / "in"))) == want
+    monkeypatch.setattr(delimited, "NAMED_FILES", 0)  # joined instead of named
+    assert rows(scan_delimited(spark, FOUR, str(tmp_path / "in"))) == want
 
 
 OPEN = ['1;"open', '1;"a";"b ""', '"', 'x;"""', '5";"abc', '5";"abc";"de', ';"a;b', '"a""']
@@ -118,7 +119,7 @@ def test_big_files_are_split_exactly(spark, tmp_path, size):
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        split = scan_delimited(spark, FOUR, str(tmp_path), split_over=0)
+        split = scan_delimited(spark, FOUR, str(tmp_path))
         lines_read = rec.read_lines(spark, [path], "ISO-8859-1")
         assert lines_read.rdd.getNumPartitions() > (1 if size < 200 else 0)
         got = rows(split)
@@ -130,11 +131,78 @@ def test_big_files_are_split_exactly(spark, tmp_path, size):
     assert sources == {"big.csv", "other.csv"}
 
 
-def test_open_starts():
-    # (path, start, open after a closed start, after an open start, closes)
-    ends = [("f", 0, True, False, True), ("f", 10, False, True, False), ("f", 20, False, True, False),
-            ("f", 30, False, True, True), ("f", 40, False, False, True), ("g", 0, False, True, False)]
-    assert rec.open_starts(ends) == {("f", 10): 0, ("f", 20): 0, ("f", 30): 0, ("f", 40): 30}
+def test_split_starts(spark):
+    # (path, start, length, open after a closed start, after an open start, closes)
+    ends = [("f", 0, 10, True, False, True), ("f", 10, 10, False, True, False),
+            ("f", 20, 10, False, True, False), ("f", 30, 10, False, True, True),
+            ("f", 40, 10, False, False, True), ("g", 0, 10, False, True, False)]
+    found = rec.split_starts(spark.createDataFrame(ends, rec.ENDS))
+    got = {(r["path"], r["start"]): r["origin"] for r in found.collect()}
+    assert got == {("f", 0): None, ("f", 10): 0, ("f", 20): 0, ("f", 30): 0, ("f", 40): 30, ("g", 0): None}
+
+
+def test_changed_splits_are_an_error(spark, tmp_path):
+    """Never wrong records: the same ones, or an error that says what to do."""
+    lines = [f'{i};"a\nb {i}";1;x' for i in range(400)]
+    write(tmp_path / "f.csv", lines)
+    before = scan_delimited(spark, FOUR, str(tmp_path))
+    want = rows(before)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        with pytest.raises(Exception, match="build it again"):
+            rows(before)
+        assert rows(scan_delimited(spark, FOUR, str(tmp_path))) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert rows(before) == want
+
+
+def test_carriage_returns(spark, tmp_path):
+    """Kept in cells, taken off record ends; alike plain, split and zipped."""
+    raw = b'1;"a\r\nb";x;NULL\r\n2;"c\rd";"e\nf";"null"\r\n3;"p";q;"r"\r\n4;"s\r";t;u\n\r\n5;;;\r\n'
+    want = {"1": ("a\r\nb", "x", None, False), "2": ("c\rd", "e\nf", None, False),
+            "3": ("p", "q", "r", False), "4": ("s\r", "t", "u", False), "5": (None, None, None, False)}
+    (tmp_path / "p").mkdir()
+    (tmp_path / "z").mkdir()
+    (tmp_path / "p" / "a.csv").write_bytes(raw)
+    (tmp_path / "q").mkdir()
+    (tmp_path / "q" / "a.csv").write_bytes(raw.split(b"\n2;")[0].split(b"\n", 1)[1] + b"\n" + raw[raw.index(b"3;"):])
+    with zipfile.ZipFile(tmp_path / "z" / "a.zip", "w") as z:
+        z.writestr("a.csv", raw)
+    assert rows(scan_delimited(spark, FOUR, str(tmp_path / "p"))) == want
+    assert rows(archive.scan_zip(spark, FOUR, str(tmp_path / "z"))) == want
+    lines_only = rows(scan_delimited(spark, FOUR, str(tmp_path / "q"), multi_line=False))
+    assert {k: lines_only[k] for k in "345"} == {k: want[k] for k in "345"}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert rows(scan_delimited(spark, FOUR, str(tmp_path / "p"))) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_quote_left_open_is_set_apart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rec, "MOST_CHARS", 200)
+    lines = ["1;a;b;c", '2;"open;x;y', *[f"line {i};x;y;z" for i in range(60)]]
+    write(tmp_path / "f.csv", lines)
+    for size in ("128m", "100"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            found = scan_delimited(spark, FOUR, str(tmp_path)).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert sorted(r["a"] or "" for r in found) == ["", "1"]
+        assert [r[LONG_RECORD][:10] for r in found if r["a"] is None] == ["record of "]
+
+
+def test_unknown_stores_fail_early(spark):
+    with pytest.raises(ValueError, match="abfss"):
+        archive.list_members(spark, "abfss://c@x/y.zip")
 
 
 def test_broken_archive_fails(spark, tmp_path):
@@ -148,13 +216,12 @@ def test_lines_across_block_borders():
     for size in range(1, len(whole) + 1):
         blocks = [whole[i:i + size] for i in range(0, len(whole), size)]
         lines = list(rec.text_lines(blocks))
-        assert "".join(lines) == whole
-        assert [x.rstrip("\r\n") for x in lines] == ["a;b", "c;d", "e", "f", "", "g"]
+        assert lines == whole.split("\n")
 
 
 def test_only_the_needed_python_node(spark, tmp_path, plan):
     path = write(tmp_path / "p.csv", PLAIN)
-    text_plan = plan(typed_with_reasons(scan_delimited(spark, FOUR, path), FOUR))
+    text_plan = plan(typed_with_reasons(scan_delimited(spark, FOUR, path, multi_line=False), FOUR))
     assert "Python" not in text_plan and "MapIn" not in text_plan
 
 
@@ -188,7 +255,7 @@ def test_route(spark):
 def test_listing_opens_no_file(spark, tmp_path, plan):
     write(tmp_path / "raw" / "K.EMPRECSV" / "part-0", ["abc"])
     found = files.list_files(spark, str(tmp_path / "raw"))
-    assert [(r["name"], r["size"]) for r in found.collect()] == [("K.EMPRECSV/part-0", 4)]
+    assert [(r["name"], r["size"]) for r in found.collect()] == [("K.EMPRECSV", 4)]
     assert "content" not in plan(found).split("ReadSchema")[1]
 
 
