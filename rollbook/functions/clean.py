@@ -50,12 +50,9 @@ def null_token(c: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
     return F.when(~c.isin(*tokens), c)
 
 
-def clean_string(c: Column, end_quotes: bool = False) -> Column:
+def clean_string(c: Column) -> Column:
     """Trim, drop quotes and no-break spaces, map empty words to NULL, trim again."""
-    c = strip(c)
-    if end_quotes:
-        c = F.btrim(c, F.lit(QUOTE))
-    return _drop(strip(_drop(without_quotes(c), *EMPTY_WORDS)), "")
+    return _drop(strip(_drop(without_quotes(strip(c)), *EMPTY_WORDS)), "")
 
 
 def text_core(c: Column) -> Column:
@@ -93,9 +90,16 @@ def _digits_only(c: Column) -> Column:
     return F.unhex(c).isNotNull()
 
 
+def _plain(c: Column, as_type: str | T.DataType = "int") -> Column:
+    """Cells of bare digits that are sure to fit; others are NULL and tried no further."""
+    is_int = as_type == "int" or isinstance(as_type, T.IntegerType)
+    sure = F.octet_length(c) < (INT_DIGITS if is_int else LONG_DIGITS)
+    return F.when(sure & _digits_only(c), c.try_cast(as_type))
+
+
 def to_whole(c: Column, as_type: str | T.DataType = "int") -> Column:
     """Text as a whole number, NULL where it is none; ``c`` should be a plain column."""
-    return F.coalesce(F.when(_digits_only(c), c.try_cast(as_type)), _spelled(c, as_type))
+    return F.coalesce(_plain(c, as_type), _spelled(c, as_type))
 
 
 def int_text(c: Column) -> Column:
@@ -107,7 +111,7 @@ def int_text(c: Column) -> Column:
 def clean_int(c: Column) -> Column:
     """Cells of bare digits, nearly all in practice, skip the patterns: where the
     plain cast works it gives the same number."""
-    return F.coalesce(F.when(_digits_only(c), c.try_cast("int")), _spelled(int_text(c)))
+    return F.coalesce(_plain(c), _spelled(int_text(c)))
 
 
 def code_text(c: Column) -> Column:

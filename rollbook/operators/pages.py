@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 # Markup that holds no links, and the link attribute itself.
 NOT_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
 HREF = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+NUMBERED = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 # Generic URI syntax (RFC 3986, appendix B):
 # 1 scheme with colon, 2 authority with slashes, 3 path, 4 query, 5 fragment.
 URI = r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
@@ -20,9 +21,26 @@ def hrefs(html: Column) -> Column:
     """All link targets of a page in document order, duplicates kept."""
     found = F.regexp_extract_all(F.regexp_replace(html, NOT_MARKUP, ""), F.lit(HREF), 1)
 
+    def character(entity: Column) -> Column:
+        digits = F.regexp_extract(entity, "([0-9a-fA-F]+);", 1)
+        is_hex = F.lower(entity).startswith("&#x")
+        point = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+        # Four bytes, big end first, are the character in UTF-32.
+        raw = F.unhex(F.lpad(F.hex(point), 8, "0"))
+        return F.when(point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF), F.decode(raw, "UTF-32"))
+
+    def numbered(text: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(f"({NUMBERED})"), 1))
+        decoded = F.aggregate(
+            found, text, lambda t, e: F.replace(t, e, F.coalesce(character(e), e))
+        )
+        return F.when(text.contains("&#"), decoded).otherwise(text)
+
     def plain(raw: Column) -> Column:
         bare = F.regexp_replace(raw, r"(?s)^([\"'])(.*)\1$", "$2")
-        return reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES, bare)
+        *others, ampersand = ENTITIES
+        named = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), others, numbered(bare))
+        return F.replace(named, F.lit(ampersand[0]), F.lit(ampersand[1]))
 
     return F.transform(found, plain)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from rollbook.functions import clean
 from rollbook.operators.relate import is_text
 from rollbook.operators.shape import REASONS, REJECTED, typed_cell
-from rollbook.schema import TEXT, Table
+from rollbook.schema import LINKS, TEXT, Link, Table
 
 
 def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
@@ -62,10 +62,6 @@ def length_violations(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     )
 
 
-def limits_of(table: Table) -> dict[str, int]:
-    return {f.name: f.limit for f in table.fields if f.limit}
-
-
 def cast_failures(raw: DataFrame, table: Table) -> DataFrame:
     """(column_name, n): cells with text in them whose typed value is missing.
 
@@ -82,14 +78,6 @@ def cast_failures(raw: DataFrame, table: Table) -> DataFrame:
                           "column_name", "n")
 
 
-def accepted(checked: DataFrame) -> DataFrame:
-    return checked.filter(~F.col(REJECTED))
-
-
-def quarantined(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.col(REJECTED))
-
-
 def quarantine_report(checked: DataFrame) -> DataFrame:
     """(status, reason, n): accepted rows, and rejected rows once per reason."""
     status = F.when(F.col(REJECTED), F.lit("rejected")).otherwise(F.lit("accepted"))
@@ -135,3 +123,13 @@ def orphan_counts(
         ).select(F.lit(link).alias("link"), "n_keys", "n_rows")
         out = lost if out is None else out.unionAll(lost)
     return out
+
+
+def check_links(tables: Mapping[str, DataFrame], links: Sequence[Link] = LINKS) -> DataFrame:
+    """(link, n_keys, n_rows) of the references that lead nowhere, for every link between
+    the given tables; ``link`` is child.column."""
+    return orphan_counts([
+        (f"{k.child}.{k.column}", tables[k.child], k.column, tables[k.parent], k.key)
+        for k in links
+        if k.child in tables and k.parent in tables
+    ])

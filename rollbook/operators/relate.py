@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollbook.functions.clean import to_whole
+from rollbook.schema import LINKS, Link
 
-# Upper bound, in bytes of plan statistics, for a side that every executor gets.
-BROADCAST_BYTES = 32 << 20
+# In bytes of plan statistics, for a side that every executor gets.  For files these are
+# compressed bytes: a list may be some times larger in memory, and the bound allows for that.
+BROADCAST_BYTES = 8 << 20
 
 
 def plan_bytes(df: DataFrame) -> int | None:
@@ -55,6 +59,17 @@ def decode(fact: DataFrame, codes: DataFrame, column: str, into: str,
     return join_list(fact, side, value == F.col(probe)).drop(probe)
 
 
+def decode_all(tables: Mapping[str, DataFrame], name: str, links: Iterable[Link] = LINKS) -> DataFrame:
+    """A table with the description of each of its codes, as ``column_nome``; links to
+    tables that are not code lists, or not given, are left out."""
+    df = tables[name]
+    for link in links:
+        parent = tables.get(link.parent)
+        if link.child == name and parent is not None and "nome" in parent.columns:
+            df = decode(df, parent, link.column, f"{link.column}_nome", link.key)
+    return df
+
+
 def join_facts(left: DataFrame, right: DataFrame, on: str | list[str],
                how: str = "inner") -> DataFrame:
     """Fact to fact on a text key, every matching pair.
@@ -66,16 +81,18 @@ def join_facts(left: DataFrame, right: DataFrame, on: str | list[str],
 
 
 def fan_out(one: DataFrame, many: DataFrame, on: str | list[str],
-            keys_of: DataFrame | None = None) -> DataFrame:
-    """Left join that repeats ``one`` for each of ``many``, hot keys included.
-
-    A left join cannot split a hot key of its right side, so it is put together
-    from an inner join, which can, and the rows without any partner.  For those
-    only the distinct keys of ``many`` are needed, and they combine map-side.
-    Where ``many`` is itself a join, ``keys_of`` names the input that has all its
-    keys, so that the join is not run for them.
+            split_hot: bool = False, keys_of: DataFrame | None = None) -> DataFrame:
+    """Left join that repeats ``one`` for each of ``many``.
+
+    A left join cannot split a hot key of its right side.  ``split_hot`` says that
+    ``many`` has one: the join is then put together from an inner join, which can, and
+    the rows without any partner, at the cost of reading both sides twice.  For those
+    only the distinct keys of ``many`` are needed, and they combine map-side.  Where
+    ``many`` is itself a join, ``keys_of`` names the input that has all its keys.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if not split_hot:
+        return one.join(many, keys, "left")
     paired = one.join(many, keys, "inner")
     known = (many if keys_of is None else keys_of).select(*keys).distinct()
     lonely = one.join(known, keys, "left_anti")

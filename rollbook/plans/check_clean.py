@@ -24,16 +24,12 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""SELECT p_partkey, {dirty.sql_string('x')} AS cleaned, {dirty.sql_string('x')} AS unquoted
+@query(f"""SELECT p_partkey, {dirty.sql_string('x')} AS cleaned
 FROM (SELECT p_partkey, {dirty.PART_TEXT} AS x FROM part)""")
 def q_clean_string(spark, sf_dir):
     raw = table(spark, sf_dir, "part").selectExpr("p_partkey", f"{dirty.PART_TEXT} AS x")
     x = F.col("x")
-    return raw.select(
-        "p_partkey",
-        clean.clean_string(x).alias("cleaned"),
-        clean.clean_string(x, end_quotes=True).alias("unquoted"),
-    )
+    return raw.select("p_partkey", clean.clean_string(x).alias("cleaned"))
 
 
 @query(f"""SELECT p_partkey, {dirty.sql_int('p_brand')} AS brand, {dirty.sql_int('big')} AS big,

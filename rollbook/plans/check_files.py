@@ -110,21 +110,28 @@ _FILE_NAME = """p_name || '.' || CASE p_partkey % 12 WHEN 0 THEN 'EMPRECSV' WHEN
 WHEN 2 THEN 'SOCIO_EMPRE' WHEN 3 THEN 'SocioCsv' WHEN 4 THEN 'SIMPLES.CSV' WHEN 5 THEN 'CNAECSV'
 WHEN 6 THEN 'MOTICSV' WHEN 7 THEN 'MUNICCSV' WHEN 8 THEN 'NATJUCSV' WHEN 9 THEN 'PAISCSV'
 ELSE 'readme' END"""
+# Fixed values, written out here apart from the declared tables: file name markers in
+# routing order, and the markup patterns of links.
+_MARKERS = (
+    ("EMPRE", "empresa"), ("ESTABELE", "estabelecimento"), ("SOCIO", "socios"), ("SIMPLES", "simples"),
+    ("CNAE", "cnae"), ("MOTI", "moti"), ("MUNIC", "munic"), ("NATJU", "natju"), ("PAIS", "pais"),
+    ("QUALS", "quals"),
+)
 _ROUTE_SQL = "CASE " + " ".join(
-    f"WHEN contains(upper(name), '{t.pattern}') THEN '{t.name}'" for t in REGISTRY.values()
+    f"WHEN contains(upper(name), '{marker}') THEN '{name}'" for marker, name in _MARKERS
 ) + " END"
 
 
 @query(f"""SELECT c.category, COUNT(f.category) AS n_files
-FROM (VALUES {", ".join(f"('{t}')" for t in REGISTRY)}) c(category) LEFT JOIN
+FROM (VALUES {", ".join(f"('{name}')" for _, name in _MARKERS)}) c(category) LEFT JOIN
 (SELECT {_ROUTE_SQL} AS category FROM (SELECT {_FILE_NAME} AS name FROM part)) f
 ON f.category = c.category GROUP BY c.category""")
 def q_route_files(spark, sf_dir):
     return count_routed(table(spark, sf_dir, "part").selectExpr(f"{_FILE_NAME} AS name"))
 
 
-_HREF = pages.HREF.replace("'", "''").replace('\\"', '"')
-_NOT_MARKUP = pages.NOT_MARKUP
+_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)"""
+_NOT_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
 _LINKS_SQL = f"""SELECT page_id, url, i - 1 AS position,
 replace(replace(replace(replace(replace(trim(l[i], '"'''), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
 '&#39;', ''''), '&amp;', '&') AS href
@@ -320,11 +327,22 @@ _REJECTS = {
 }
 
 
-def raw_registry(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Registry files in the published layout, filled from the given tables."""
-    for name, (source, target, cells) in _RAW_REGISTRY.items():
+def raw_registry(spark: SparkSession, sf_dir: str, folder: str, *names: str, where: str = "true") -> None:
+    """Registry files in the published layout, filled from the given tables.  Each is a
+    folder of part files, below a folder that is named like another table."""
+    for name in names or _RAW_REGISTRY:
+        source, target, cells = _RAW_REGISTRY[name]
         row = [f"{cells.get(c, chr(39) * 2)} AS {c}" for c in REGISTRY[name].columns]
-        write_delimited(table(spark, sf_dir, source).selectExpr(*row), f"{folder}/{target}")
+        rows = table(spark, sf_dir, source).filter(where).selectExpr(*row)
+        write_delimited(rows, f"{folder}/SOCIOS-{name}/{target}")
+
+
+def write_nothing(spark: SparkSession, path: str) -> None:
+    """A file without a byte, through Spark's own file systems."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.create(target, True).close()
 
 
 @query(" UNION ALL ".join(
@@ -332,13 +350,19 @@ def raw_registry(spark: SparkSession, sf_dir: str, folder: str) -> None:
     f"COUNT(*) FILTER (WHERE {fault}) AS n_rejected FROM {source}"
     for name, (source, _, _) in _RAW_REGISTRY.items()
     for fault in [_REJECTS.get(name, "false")]
-))
+) + " UNION ALL SELECT 'moti', 0, 0 UNION ALL SELECT 'quals', 0, 0")
 def q_load_snapshot(spark, sf_dir):
-    """Raw folder to tables and quarantine; the same month twice changes nothing."""
+    """Raw folder to tables and quarantine; the same month twice changes nothing, but that
+    a list whose file has become empty loses its rows."""
     folder = workspace(spark, "load")
     raw_registry(spark, sf_dir, f"{folder}/raw")
-    for _ in range(2):
-        load.load_snapshot(spark, f"{folder}/raw", f"{folder}/tables", "2025-10")
+    write_nothing(spark, f"{folder}/raw/K1.MOTICSV")
+    quals = f"{folder}/raw/K1.QUALSCSV"
+    table(spark, sf_dir, "region").selectExpr("concat(r_regionkey, ';', r_name)").coalesce(1).write.text(quals)
+    load.load_snapshot(spark, f"{folder}/raw", f"{folder}/tables", "2025-10")
+    table(spark, sf_dir, "region").limit(0).selectExpr("r_name").write.mode("overwrite").text(quals)
+    write_nothing(spark, f"{quals}/part-00000.txt")
+    load.load_snapshot(spark, f"{folder}/raw", f"{folder}/tables", "2025-10")
 
     def counts(t: Table) -> DataFrame:
         both = [
@@ -349,8 +373,104 @@ def q_load_snapshot(spark, sf_dir):
             F.count_if("ok").alias("n_accepted"), F.count_if(~F.col("ok")).alias("n_rejected")
         ).select(F.lit(t.name).alias("table_name"), "n_accepted", "n_rejected")
 
-    parts = [counts(REGISTRY[name]) for name in _RAW_REGISTRY]
+    parts = [counts(REGISTRY[name]) for name in (*_RAW_REGISTRY, "moti", "quals")]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionAll(part)
     return out
+
+
+@query("""SELECT CAST(k AS INTEGER) AS codigo, 'codigo:duplicate_key' AS reason, COUNT(*) - 1 AS n
+FROM (SELECT p_size AS k FROM part) GROUP BY k HAVING COUNT(*) > 1""")
+def q_load_keys(spark, sf_dir):
+    """Of the rows of a code list with the same code, spelled alike or not, one is kept."""
+    folder = workspace(spark, "keys")
+    rows = table(spark, sf_dir, "part").selectExpr(
+        "CASE WHEN p_partkey % 2 = 0 THEN lpad(CAST(p_size AS STRING), 4, '0') "
+        "ELSE CAST(p_size AS STRING) END AS codigo", "p_name AS nome",
+    )
+    write_delimited(rows, f"{folder}/raw/K1.PAISCSV")
+    load.load_snapshot(spark, f"{folder}/raw", f"{folder}/tables", "2025-10")
+    rejects = load.read_rejects(spark, f"{folder}/tables", REGISTRY["pais"], "2025-10")
+    kept = load.read_table(spark, f"{folder}/tables", REGISTRY["pais"], "2025-10").select("codigo")
+    why = rejects.select(F.col("raw.codigo").cast("int").alias("codigo"), F.explode("reasons").alias("reason"))
+    return why.join(kept, "codigo").groupBy("codigo", "reason").agg(F.count("*").alias("n"))
+
+
+def _typed_sql(name: str) -> str:
+    """All columns of a loaded table: the raw cells, cleaned by the comparison's formulas."""
+    source, _, cells = _RAW_REGISTRY[name]
+    raw = ", ".join(
+        f"{cells.get(c, chr(39) * 2)} AS {c}".replace("date_format", "strftime").replace("yyyyMMdd", "%Y%m%d")
+        for c in REGISTRY[name].columns
+    )
+    return (f"SELECT {dirty.sql_typed(REGISTRY[name])} FROM "
+            f"(SELECT {raw} FROM {source} WHERE NOT ({_REJECTS.get(name, 'false')}))")
+
+
+def _loaded(name: str):
+    def load_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = workspace(spark, name)
+        raw_registry(spark, sf_dir, f"{folder}/raw", name)
+        load.load_snapshot(spark, f"{folder}/raw", f"{folder}/tables", "2025-10")
+        found = load.read_table(spark, f"{folder}/tables", REGISTRY[name], "2025-10")
+        return found.drop(sink.SNAPSHOT)
+
+    load_one.__name__ = f"q_load_{name}"
+    load_one.__doc__ = f"Every value of {name} after a whole load."
+    return load_one
+
+
+for _name in ("empresa", "estabelecimento", "socios", "simples"):
+    query(_typed_sql(_name))(_loaded(_name))
+
+
+@query("""SELECT 'munic' AS table_name, 'second' AS run, COUNT(*) AS n FROM region
+UNION ALL SELECT 'pais', 'first', COUNT(*) FILTER (WHERE n_nationkey % 2 = 0) FROM nation
+UNION ALL SELECT 'pais', 'second', COUNT(*) FROM nation
+UNION ALL SELECT 'simples', 'first', COUNT(*) FILTER (WHERE s_suppkey % 9 <> 0) FROM supplier""")
+def q_load_changed(spark, sf_dir):
+    """Only tables with new or changed files are loaded again; a third run finds none."""
+    folder = workspace(spark, "changed")
+    raw, out = f"{folder}/raw", f"{folder}/tables"
+
+    def run(label: str) -> list[tuple[str, str]]:
+        return [(name, label) for name in load.load_changed(spark, raw, out, "2025-10").counts]
+
+    raw_registry(spark, sf_dir, raw, "pais", where="n_nationkey % 2 = 0")
+    raw_registry(spark, sf_dir, raw, "simples")
+    ran = run("first")
+    first = load.read_table(spark, out, REGISTRY["pais"], "2025-10").count()
+    raw_registry(spark, sf_dir, raw, "pais")
+    raw_registry(spark, sf_dir, raw, "munic")
+    ran += run("second") + run("third")
+    parts = [
+        load.read_table(spark, out, REGISTRY[name], "2025-10").agg(F.count("*").alias("now")).select(
+            F.lit(name).alias("table_name"), F.lit(label).alias("run"),
+            F.when(F.lit((name, label) == ("pais", "first")), F.lit(first)).otherwise(F.col("now"))
+            .cast("bigint").alias("n"),
+        )
+        for name, label in sorted(ran)
+    ]
+    out_rows = parts[0]
+    for part in parts[1:]:
+        out_rows = out_rows.unionAll(part)
+    return out_rows
+
+
+@query("""SELECT lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS cnpj_basico, o_orderpriority AS nome_fantasia,
+c_name || '; Ltda' AS razao_social FROM orders JOIN customer ON c_custkey = o_custkey
+WHERE o_orderkey % 103 <> 0 AND c_custkey % 101 <> 0""")
+def q_bucketed_join(spark, sf_dir):
+    """Both big tables are laid out by their join key as the load's last step; the join
+    of the two needs no shuffle."""
+    folder = workspace(spark, "bucketed")
+    raw_registry(spark, sf_dir, f"{folder}/raw", "empresa", "estabelecimento")
+    database = "rollbook_" + folder.rsplit("-", 1)[-1]
+    done = load.load_changed(
+        spark, f"{folder}/raw", f"{folder}/tables", "2025-10", database=database, buckets=8
+    )
+    branches, companies = (spark.table(done.catalog[n]) for n in ("estabelecimento", "empresa"))
+    return branches.select("cnpj_basico", "nome_fantasia").join(
+        companies.select("cnpj_basico", "razao_social"), "cnpj_basico"
+    )

@@ -7,59 +7,79 @@ from pyspark.sql import functions as F
 
 from rollbook.functions.match import like_any
 from rollbook.operators import quality, relate
+from rollbook.plans import search
 from rollbook.plans.registered import query, table
+from rollbook.schema import REGISTRY, Link
 
 PRIORITIES = ("URGENT", "HIGH", "LOW")
-NATION = "NATION_3"
+CITY = "ASIA"
+
+# The given tables under the registry's names: orders are branches, customers companies
+# and regions cities.
+_REGISTRY_VIEWS = {
+    "estabelecimento": ("orders", {
+        "cnpj_basico": "lpad(CAST(o_custkey AS STRING), 12, '0')",
+        "cnpj_ordem": "lpad(CAST(o_orderkey % 10000 AS STRING), 4, '0')",
+        "cnpj_dv": "lpad(CAST(o_orderkey % 97 AS STRING), 2, '0')",
+        "nome_fantasia": "o_orderpriority",
+        "situacao_cadastral": "CAST(o_orderkey % 8 AS INT)",
+        "logradouro": "o_orderstatus",
+        "numero": "CAST(o_orderkey AS STRING)",
+        "cep": "lpad(CAST(o_orderkey AS STRING), 8, '0')",
+        "uf": "'SP'",
+        "municipio": "CAST(o_custkey % 5 AS INT)",
+        "ddd_1": "CAST(o_orderkey % 90 + 10 AS STRING)",
+    }),
+    "empresa": ("customer", {
+        "cnpj_basico": "lpad(CAST(c_custkey AS STRING), 12, '0')",
+        "razao_social": "c_name",
+        "porte_empresa": "CAST(c_nationkey % 6 AS INT)",
+    }),
+    "munic": ("region", {"codigo": "r_regionkey", "nome": "r_name"}),
+}
+
+
+def registry(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The given tables with all columns of the registry's; those not filled are null."""
+    out = {}
+    for name, (source, cells) in _REGISTRY_VIEWS.items():
+        columns = [
+            F.expr(cells.get(f.name, "NULL")).cast(f.data_type).alias(f.name) for f in REGISTRY[name].fields
+        ]
+        out[name] = table(spark, sf_dir, source).select(*columns)
+    return out
 
-_PRIORITY_SQL = " OR ".join(f"o_orderpriority LIKE '%{p}%'" for p in PRIORITIES)
-_FROM_SQL = f"""FROM orders INNER JOIN customer ON o_custkey = c_custkey
-INNER JOIN nation ON n_nationkey = c_nationkey
-WHERE ({_PRIORITY_SQL}) AND n_name = '{NATION}'"""
 
+def _cell(name: str, column: str) -> str:
+    return _REGISTRY_VIEWS[name][1].get(column, "CAST(NULL AS VARCHAR)")
 
-def matching_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of some priorities, with customers of one nation.
 
-    The nation is applied to the customers first, so the join of the two big
-    tables sees only matching rows of each.
-    """
-    nation = table(spark, sf_dir, "nation").filter(F.col("n_name") == NATION)
-    customers = relate.join_list(
-        table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey"),
-        nation, F.col("c_nationkey") == F.col("n_nationkey"), "inner",
-    )
-    orders = table(spark, sf_dir, "orders").filter(like_any(F.col("o_orderpriority"), PRIORITIES))
-    return relate.join_facts(orders, customers, "o_custkey")
+_SEARCH_SQL = f"""FROM orders JOIN customer ON c_custkey = o_custkey
+JOIN region ON r_regionkey = o_custkey % 5
+WHERE ({" OR ".join(f"o_orderpriority LIKE '%{p}%'" for p in PRIORITIES)}) AND r_name = '{CITY}'"""
 
 
-@query(f"SELECT o_orderkey {_FROM_SQL}")
+@query(f"SELECT {_cell('estabelecimento', 'cnpj_basico')} AS cnpj_basico {_SEARCH_SQL}")
 def q_flagship(spark, sf_dir):
-    return matching_orders(spark, sf_dir).select("o_orderkey")
+    t = registry(spark, sf_dir)
+    return search.branch_search(t["estabelecimento"], t["empresa"], t["munic"], PRIORITIES, CITY)
 
 
-@query(f"SELECT COUNT(*) AS n {_FROM_SQL}")
+@query(f"SELECT COUNT(*) AS n {_SEARCH_SQL}")
 def q_count_rows(spark, sf_dir):
-    return quality.count_rows(matching_orders(spark, sf_dir))
+    t = registry(spark, sf_dir)
+    found = search.branch_search(t["estabelecimento"], t["empresa"], t["munic"], PRIORITIES, CITY)
+    return quality.count_rows(found)
 
 
-@query(f"""SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(15,2)) AS total,
-CAST(o_orderdate AS DATE) AS ordered_on, o_orderpriority, c_custkey, c_name, c_mktsegment,
-CAST(c_acctbal AS DECIMAL(15,2)) AS balance, n_name {_FROM_SQL}
-AND CAST(o_orderkey AS VARCHAR) LIKE '%12%'""")
+@query("SELECT " + ", ".join(
+    f"{_cell('empresa' if c in ('razao_social', 'porte_empresa') else 'estabelecimento', c)} AS {c}"
+    for c in search.REPORT_COLUMNS
+) + f", r_name AS nome_municipio {_SEARCH_SQL} AND {_cell('estabelecimento', 'cep')} LIKE '%12%'")
 def q_report(spark, sf_dir):
-    found = matching_orders(spark, sf_dir).filter(F.col("o_orderkey").cast("string").contains("12"))
-    return found.select(
-        "o_orderkey",
-        "o_orderstatus",
-        F.col("o_totalprice").cast("decimal(15,2)").alias("total"),
-        F.col("o_orderdate").cast("date").alias("ordered_on"),
-        "o_orderpriority",
-        F.col("o_custkey").alias("c_custkey"),
-        "c_name",
-        "c_mktsegment",
-        F.col("c_acctbal").cast("decimal(15,2)").alias("balance"),
-        "n_name",
+    t = registry(spark, sf_dir)
+    return search.branch_report(
+        t["estabelecimento"], t["empresa"], t["munic"], PRIORITIES, CITY, postcode="12"
     )
 
 
@@ -137,7 +157,7 @@ def q_fanout(spark, sf_dir):
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber"
     )
     filled = relate.fan_out(orders, items, "o_orderkey")
-    rows = relate.fan_out(customer, filled, "c_custkey", keys_of=orders)
+    rows = relate.fan_out(customer, filled, "c_custkey")
     return rows.groupBy("c_mktsegment").agg(
         F.count("*").alias("n_rows"),
         F.count("o_orderkey").alias("n_with_order"),
@@ -158,26 +178,33 @@ _NATION_REF = "CASE WHEN c_custkey % 9 = 0 THEN CAST(NULL AS INTEGER) ELSE c_nat
 
 
 @query(f"""WITH refs AS (
-SELECT 'lineitem.part' AS link, {_PART_REF} AS k FROM lineitem
-UNION ALL SELECT 'orders.customer', o_custkey FROM orders
-UNION ALL SELECT 'customer.nation', {_NATION_REF} FROM customer),
+SELECT 'lineitem.part_ref' AS link, {_PART_REF} AS k FROM lineitem
+UNION ALL SELECT 'orders.o_custkey', o_custkey FROM orders
+UNION ALL SELECT 'customer.nation_ref', {_NATION_REF} FROM customer),
 lost AS (
-SELECT * FROM refs WHERE link = 'lineitem.part' AND k IS NOT NULL
+SELECT * FROM refs WHERE link = 'lineitem.part_ref' AND k IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = k)
-UNION ALL SELECT * FROM refs WHERE link = 'orders.customer' AND k IS NOT NULL
+UNION ALL SELECT * FROM refs WHERE link = 'orders.o_custkey' AND k IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = k)
-UNION ALL SELECT * FROM refs WHERE link = 'customer.nation' AND k IS NOT NULL
+UNION ALL SELECT * FROM refs WHERE link = 'customer.nation_ref' AND k IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = k))
 SELECT l.link, COUNT(DISTINCT k) AS n_keys, COUNT(k) AS n_rows
 FROM (SELECT DISTINCT link FROM refs) l LEFT JOIN lost ON lost.link = l.link GROUP BY l.link""")
 def q_orphans(spark, sf_dir):
-    customer = table(spark, sf_dir, "customer")
-    return quality.orphan_counts(
-        [
-            ("lineitem.part", table(spark, sf_dir, "lineitem").selectExpr(f"{_PART_REF} AS k"), "k",
-             table(spark, sf_dir, "part"), "p_partkey"),
-            ("orders.customer", table(spark, sf_dir, "orders"), "o_custkey", customer, "c_custkey"),
-            ("customer.nation", customer.selectExpr(f"{_NATION_REF} AS k"), "k",
-             table(spark, sf_dir, "nation"), "n_nationkey"),
-        ]
-    )
+    names = ("lineitem", "orders", "customer", "part", "nation")
+    tables = {name: table(spark, sf_dir, name) for name in names}
+    tables["lineitem"] = tables["lineitem"].selectExpr(f"{_PART_REF} AS part_ref")
+    tables["customer"] = tables["customer"].selectExpr("c_custkey", f"{_NATION_REF} AS nation_ref")
+    return quality.check_links(tables, [
+        Link("lineitem", "part_ref", "part", "p_partkey"),
+        Link("orders", "o_custkey", "customer", "c_custkey"),
+        Link("customer", "nation_ref", "nation", "n_nationkey"),
+    ])
+
+
+@query("""SELECT lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS cnpj_basico, CAST(o_custkey % 5 AS INTEGER) AS municipio,
+r_name AS municipio_nome FROM orders LEFT JOIN region ON r_regionkey = o_custkey % 5""")
+def q_decode_all(spark, sf_dir):
+    """All codes of a table that have a list, by the declared links."""
+    decoded = relate.decode_all(registry(spark, sf_dir), "estabelecimento")
+    return decoded.select("cnpj_basico", "municipio", "municipio_nome")

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollbook.operators import manifest
 from rollbook.operators.shape import RAW, REASONS, REJECTED, typed_with_reasons
-from rollbook.schema import LOAD_ORDER, REGISTRY, Table
+from rollbook.schema import LOAD_ORDER, LOOKUP_COLUMNS, REGISTRY, Table
+from rollbook.sinks import layout
 from rollbook.sinks import tables as sink
 from rollbook.sources.archive import list_members, scan_members
 from rollbook.sources.delimited import LONG_RECORD, SOURCE_FILE, scan_delimited
@@ -128,6 +130,84 @@ def load_snapshot(spark: SparkSession, folder: str, out_path: str, snapshot: str
         return {name: job.result() for name, job in started.items()}
 
 
+@dataclass
+class Loaded:
+    """What a run did: (accepted, rejected) rows of the tables it loaded, their catalog
+    tables, and the lookup copies that were written and that failed."""
+
+    counts: dict[str, tuple[int, int]]
+    catalog: dict[str, str] = field(default_factory=dict)
+    copies: dict[str, dict[str, str]] = field(default_factory=dict)
+    failed: dict[str, dict[str, str]] = field(default_factory=dict)
+
+
+def changed_tables(spark: SparkSession, listing: DataFrame, known: DataFrame,
+                   tables: Mapping[str, Table]) -> set[str]:
+    """Tables with a file that is new, changed or gone since the ``known`` listing.
+
+    What is in an archive is only known once it is opened; an archive that changed
+    stands for all tables.
+    """
+    gone = known.join(listing.select("path"), "path", "left_anti").select("path")
+    touched = manifest.to_load(listing, known, "path").select("path").union(gone)
+    patterns = {name: t.pattern for name, t in tables.items()}
+    is_zip = F.lower("path").endswith(".zip")
+    hit = F.when(is_zip, "*").otherwise(route(base_name(F.col("path")), patterns))
+    names = {r["t"] for r in touched.select(hit.alias("t")).distinct().collect()} - {None}
+    return set(tables) if "*" in names else names
+
+
+def load_changed(spark: SparkSession, folder: str, out_path: str, snapshot: str,
+                 database: str | None = None, buckets: int = 16,
+                 tables: Mapping[str, Table] = REGISTRY, **options: object) -> Loaded:
+    """Load the tables whose files differ from the last run, then lay them out.
+
+    The listing of the files that were loaded is stored per snapshot, after the load:
+    a run that fails is repeated.  A table is loaded from all its files, as a snapshot is
+    replaced as a whole.  With ``database``, loaded tables are bucketed by their join key
+    as catalog tables, and copied for each lookup column.
+    """
+    stored = f"{out_path.rstrip('/')}/_files/{snapshot}"
+    schema = "path string, size long"
+    listing = list_files(spark, folder).select("path", "size").union(
+        spark.createDataFrame([(p, 0) for p in empty_files(spark, folder)], schema)
+    )
+    known = spark.read.schema(schema).parquet(stored) if sink.exists(spark, stored) else (
+        spark.createDataFrame([], schema)
+    )
+    names = changed_tables(spark, listing, known, tables)
+    if not names:
+        return Loaded({})
+    counts = load_snapshot(
+        spark, folder, out_path, snapshot, {n: t for n, t in tables.items() if n in names}, **options
+    )
+    done = Loaded(counts)
+    if database is not None:
+        for name in counts:
+            arrange(spark, out_path, tables[name], snapshot, database, buckets, done)
+    listing.coalesce(1).write.mode("overwrite").parquet(stored)
+    return done
+
+
+def arrange(spark: SparkSession, out_path: str, table: Table, snapshot: str, database: str,
+            buckets: int, done: Loaded) -> None:
+    """The indexes of a loaded table: a bucketed catalog table and lookup copies."""
+    rows = read_table(spark, out_path, table, snapshot).drop(sink.SNAPSHOT)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    catalog = f"{database}.{table.name}"
+    if table.join_key:
+        layout.bucket(rows, catalog, table.join_key, buckets)
+    else:
+        sink.create_table(spark, table, catalog)
+        rows.write.mode("append").insertInto(catalog)
+    done.catalog[table.name] = catalog
+    columns = list(LOOKUP_COLUMNS.get(table.name, ()))
+    if columns:
+        done.copies[table.name], done.failed[table.name] = layout.lookup_copies(
+            rows, f"{out_path.rstrip('/')}/_lookup/{table.name}/{snapshot}", columns
+        )
+
+
 def read_table(spark: SparkSession, out_path: str, table: Table, snapshot: str | None = None) -> DataFrame:
     """The accepted rows.  ``rejected`` is pushed into the scan."""
     stored = sink.read_snapshots(

@@ -13,12 +13,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+_tuned: set[str] = set()  # applications whose session was set up
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return run(tune(spark), sf_dir)
+            app = spark.sparkContext.applicationId
+            if app not in _tuned:
+                tune(spark)
+                _tuned.add(app)
+            return run(spark, sf_dir)
 
         tuned.__name__ = run.__name__
         tuned.__doc__ = run.__doc__

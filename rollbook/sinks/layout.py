@@ -5,9 +5,13 @@ Run on tables that have been written: the input is a plain file scan.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 # A key with more than this share of an average bucket's rows makes the bucket a
 # hot spot, which a bucketed join cannot split.
 MAX_KEY_SHARE = 0.5
@@ -37,14 +41,17 @@ def hottest_share(df: DataFrame, key: str) -> float:
     return top / rows if rows else 0.0
 
 
-def bucket(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> bool:
+def bucket(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None,
+           max_key_share: float = MAX_KEY_SHARE) -> bool:
     """Write a catalog table bucketed and sorted by its join key.
 
     Returns False, with the table clustered by the key instead, when one key is
     so frequent that its bucket would be a hot spot: joins then shuffle and AQE
     splits that key.
     """
-    if hottest_share(df, key) > MAX_KEY_SHARE / buckets:
+    share = hottest_share(df, key)
+    if share > max_key_share / buckets:
+        log.warning("%s is not bucketed: one %s has %.2f %% of the rows", name, key, 100 * share)
         _save(df.hint("rebalance", F.col(key)).sortWithinPartitions(key), name, path)
         return False
     # As many tasks as buckets, on the same hash: one file per bucket.
@@ -62,19 +69,18 @@ def _save(df: DataFrame, name: str, path: str | None, buckets: int | None = None
     writer.saveAsTable(name)
 
 
-def lookup_copies(spark: SparkSession, table_path: str, out_path: str,
-                  columns: list[str]) -> dict[str, str]:
-    """One clustered copy of a table per lookup column; returns their paths.
+def lookup_copies(df: DataFrame, out_path: str, columns: list[str]) -> tuple[dict[str, str], dict[str, str]]:
+    """One clustered copy of a written table per lookup column: (paths, failures) by column.
 
     As with secondary indexes, a copy that fails does not stop the others.
     """
-    done = {}
+    done, failed = {}, {}
     for column in columns:
         target = f"{out_path.rstrip('/')}/by_{column}"
         try:
-            cluster(spark.read.parquet(table_path), target, [column], bloom=[column])
-        except Exception as error:  # noqa: BLE001 - reported, the rest goes on
-            print(f"no copy by {column}: {error}")
-            continue
-        done[column] = target
-    return done
+            cluster(df, target, [column], bloom=[column])
+        except Exception as error:  # noqa: BLE001 - returned, the rest goes on
+            failed[column] = str(error)
+        else:
+            done[column] = target
+    return done, failed

@@ -52,12 +52,6 @@ def test_strings(spark):
     assert [g[0] for g in got] == [b for _, b in STRINGS]
 
 
-def test_end_quotes_option(spark):
-    assert apply(spark, ['"x"', ' "y" '], lambda c: clean.clean_string(c, end_quotes=True)) == [
-        ("x",), ("y",)
-    ]
-
-
 def test_ints(spark):
     got = apply(spark, [a for a, _ in INTS], clean.clean_int, clean.code_text)
     assert [g[0] for g in got] == [b for _, b in INTS]

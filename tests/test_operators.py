@@ -92,7 +92,7 @@ def test_quarantine(spark):
         "codigo string, nome string",
     )
     checked = shape.typed_with_reasons(raw, codes)
-    good, bad = quality.accepted(checked), quality.quarantined(checked)
+    good, bad = checked.filter("NOT rejected"), checked.filter("rejected")
     assert good.count() + bad.count() == raw.count()
     assert sorted(r["codigo"] for r in good.collect()) == [1, 3]
     assert {r["raw"]["codigo"]: r["reasons"] for r in bad.collect()} == {
@@ -117,7 +117,9 @@ def as_set(df):
 
 def test_fan_out_is_a_left_join(facts):
     one, many = facts
-    assert as_set(relate.fan_out(one, many, "k")) == as_set(one.join(many, "k", "left"))
+    want = as_set(one.join(many, "k", "left"))
+    assert as_set(relate.fan_out(one, many, "k")) == want
+    assert as_set(relate.fan_out(one, many, "k", split_hot=True)) == want
 
 
 def test_having(facts):
@@ -166,7 +168,7 @@ def test_hot_key_join_is_split(spark, plan, tmp_path):
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        joined = relate.fan_out(one, many, "k").groupBy("k").agg(F.count("y").alias("n"))
+        joined = relate.fan_out(one, many, "k", split_hot=True).groupBy("k").agg(F.count("y").alias("n"))
         got = {r["k"]: r["n"] for r in joined.collect()}
         final = plan(joined)
     finally:

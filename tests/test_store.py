@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from rollbook import session as ses
 from rollbook.operators.relate import join_facts
 from rollbook.operators.shape import typed_with_reasons
-from rollbook.plans import load
+from rollbook.plans import check_files, load  # noqa: F401 - registers
+from rollbook.plans.registered import QUERIES
 from rollbook.schema import LOOKUP_COLUMNS, REGISTRY
 from rollbook.sinks import layout, tables
 from rollbook.sources.delimited import scan_delimited
@@ -36,7 +37,7 @@ def raw_month(root, extra=()):
 def test_load_twice_and_next_month(spark, tmp_path):
     raw_month(tmp_path / "raw")
     out = str(tmp_path / "out")
-    want = {"pais": (1, 1), "moti": (1, 0), "simples": (1, 1)}
+    want = {"pais": (1, 1), "moti": (1, 0), "empresa": (0, 0), "simples": (1, 1)}
     for _ in range(2):
         assert load.load_snapshot(spark, str(tmp_path / "raw"), out, "2025-10") == want
     raw_month(tmp_path / "raw2", extra=['"3";"N";"";"";"N";"";""'])
@@ -165,9 +166,9 @@ def test_a_hot_value_is_written_by_many_tasks(spark, tmp_path):
 
 
 def test_lookup_copies_go_on_after_a_failure(spark, tmp_path):
-    spark.range(50).selectExpr("id", "'SP' AS uf").write.parquet(str(tmp_path / "t"))
-    made = layout.lookup_copies(spark, str(tmp_path / "t"), str(tmp_path / "o"), ["nope", "uf"])
-    assert list(made) == ["uf"]
+    df = spark.range(50).selectExpr("id", "'SP' AS uf")
+    made, failed = layout.lookup_copies(df, str(tmp_path / "o"), ["nope", "uf"])
+    assert list(made) == ["uf"] and list(failed) == ["nope"]
     assert spark.read.parquet(made["uf"]).count() == 50
     for table, columns in LOOKUP_COLUMNS.items():
         assert set(columns) <= set(REGISTRY[table].columns)
@@ -240,3 +241,27 @@ def test_counts_taken_on_the_way_match(spark, tmp_path):
     assert counts["pais"] == (
         stored.filter(~F.col("rejected")).count(), stored.filter("rejected").count()
     )
+
+
+def test_bucketed_join_needs_no_shuffle(spark, plan):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["q_bucketed_join"](spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+def test_a_failed_run_is_repeated(spark, tmp_path, monkeypatch):
+    raw, out = tmp_path / "raw", str(tmp_path / "o")
+    write(raw / "K1.PAISCSV", ['"1";"A"'])
+    whole = load.load_table
+    monkeypatch.setattr(load, "load_table", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        load.load_changed(spark, str(raw), out, "2025-10")
+    monkeypatch.setattr(load, "load_table", whole)
+    assert load.load_changed(spark, str(raw), out, "2025-10").counts == {"pais": (1, 0)}
+    assert load.load_changed(spark, str(raw), out, "2025-10").counts == {}
+    os.remove(raw / "K1.PAISCSV")
+    write(raw / "K2.PAISCSV", ['"1";"A"', '"2";"B"'])
+    assert load.load_changed(spark, str(raw), out, "2025-10").counts == {"pais": (2, 0)}
