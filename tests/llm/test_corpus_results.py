@@ -24,6 +24,7 @@ from rollbook.session import workspace
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+UPPER = {v: k for k, v in LOWER.items()}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 
@@ -201,7 +202,7 @@ def test_leaks_are_caught_and_clean_documents_kept(spark, texts):
         half = len(words) // 2
         moved = " ".join(words[half:] + words[:half])
         host = clean[n].split()
-        rows.append((n, " ".join(host[:40]) + " " + (moved if n % 2 else item.upper()) + " " + " ".join(host[40:])))
+        rows.append((n, " ".join(host[:40]) + " " + (moved if n % 2 else item.translate(UPPER)) + " " + " ".join(host[40:])))
         want[n] = item_id
         rows.append((100 + n, " ".join(rng.sample(words, half)) + " " + clean[n + 5 if n + 5 < 20 else 0]))
     df = spark.createDataFrame(rows, "doc_id long, text string")
