@@ -136,8 +136,8 @@ def fit(spark: SparkSession, docs: DataFrame, usable: Column) -> dict:
     idf = (np.log((1 + n) / (1 + frequency)) + 1).astype(np.float32)
     turn = F.xxhash64(F.coalesce("name", F.lit("")), F.lit(1))
     chance = F.pmod(turn, F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # One row per language: known from the list just counted.
-    sample = known.join(F.broadcast(counts), "lang").filter(
+    # A written table of a row per language: Spark broadcasts it if its size allows.
+    sample = known.join(counts, "lang").filter(
         chance * F.col("n") < F.lit(SAMPLE_PER_LANGUAGE)
     )
     place = {language: i for i, language in enumerate(languages)}
