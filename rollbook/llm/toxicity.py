@@ -34,8 +34,8 @@ from rollbook.session import workspace
 SAMPLE_TOXIC = 4000
 SAMPLE_CLEAN = 8000
 LEAST_DOCS = 4  # sample documents a feature must be in
-EPOCHS = 5
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 3.0, 0.5
+EPOCHS = 3
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.5
 THRESHOLD = 0.7
 
 
