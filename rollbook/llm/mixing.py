@@ -79,7 +79,8 @@ def targets(measured: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
         F.row_number().over(Window.orderBy(*turn)).alias("turn"),
     )
     # The first source that its share does not fill sets the level for all after it.
-    is_open = F.col("weight") * F.col("rest") <= F.col("cap") * F.col("left")
+    big = "decimal(18,0)"  # the products may go beyond a long
+    is_open = F.col("weight").cast(big) * F.col("rest").cast(big) <= F.col("cap").cast(big) * F.col("left").cast(big)
     first = F.min(F.when(is_open, F.struct("turn", "rest", "left"))).over(everything)
     share = (F.col("weight") * F.col("first.rest")).cast("double") / F.col("first.left").cast("double")
     target = F.least(F.col("cap").cast("double"), share)

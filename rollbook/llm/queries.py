@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.llm import (
     decontaminate, language_id, license_scan, line_dedup, mixing, near_dups, quality_rules, sharding, toxicity,
     url_filter,
 )
-from rollbook.plans.registered import Query
+from rollbook.plans.registered import Query, table
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -25,10 +24,6 @@ def query(sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -86,10 +81,12 @@ listed AS (
   FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source)),
 turned AS (
   SELECT *, row_number() OVER t AS turn,
-    sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
-    sum(weight) OVER () - coalesce(sum(weight) OVER (t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining
+    sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER earlier, 0) AS rest,
+    sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0) AS remaining
   FROM listed
-  WINDOW t AS (ORDER BY CAST(3 * source_size AS DOUBLE) / weight, weight, source_size, source NULLS LAST)),
+  WINDOW t AS (ORDER BY CAST(3 * source_size AS DOUBLE) / weight, weight, source_size, source NULLS LAST),
+    earlier AS (ORDER BY CAST(3 * source_size AS DOUBLE) / weight, weight, source_size, source NULLS LAST
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 level AS (
   SELECT rest, remaining FROM turned WHERE weight * rest <= 3 * source_size * remaining ORDER BY turn LIMIT 1),
 aimed AS (
@@ -105,7 +102,8 @@ drawn AS (
   FROM sized, range(0, 16) r(s)),
 tried AS (
   SELECT rated.source, seed,
-    abs(sum(CASE WHEN u < rate - floor(rate) THEN size ELSE 0 END) - any_value(target - floor(rate) * source_size)) AS miss
+    abs(sum(CASE WHEN u < rate - floor(rate) THEN size ELSE 0 END)
+      - any_value(target - floor(rate) * source_size)) AS miss
   FROM drawn JOIN rated ON rated.source IS NOT DISTINCT FROM drawn.source GROUP BY rated.source, seed),
 chosen AS (
   SELECT source, seed FROM (

@@ -202,7 +202,8 @@ def test_leaks_are_caught_and_clean_documents_kept(spark, texts):
         half = len(words) // 2
         moved = " ".join(words[half:] + words[:half])
         host = clean[n].split()
-        rows.append((n, " ".join(host[:40]) + " " + (moved if n % 2 else item.translate(UPPER)) + " " + " ".join(host[40:])))
+        leak = moved if n % 2 else item.translate(UPPER)
+        rows.append((n, " ".join([*host[:40], leak, *host[40:]])))
         want[n] = item_id
         rows.append((100 + n, " ".join(rng.sample(words, half)) + " " + clean[n + 5 if n + 5 < 20 else 0]))
     df = spark.createDataFrame(rows, "doc_id long, text string")
