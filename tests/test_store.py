@@ -8,12 +8,10 @@ from pyspark.sql import functions as F
 
 from rollbook import session as ses
 from rollbook.operators.relate import join_facts
-from rollbook.operators.shape import typed_with_reasons
 from rollbook.plans import check_files, load  # noqa: F401 - registers
 from rollbook.plans.registered import QUERIES
 from rollbook.schema import LOOKUP_COLUMNS, REGISTRY
 from rollbook.sinks import layout, tables
-from rollbook.sources.delimited import scan_delimited
 from rollbook.streaming import files as stream
 
 SIMPLES = REGISTRY["simples"]
