@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import functions as F
 
 from rollbook.llm import (
@@ -66,7 +68,30 @@ def op3_toxicity(spark, sf_dir):
     )
 
 
-@query()
+# Said again without hashes: all pairs that share a shingle, then the links' closure.
+@query(rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'),
+    '{_WORD}') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, w[i] || ' ' || w[i + 1] AS s FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM worded)
+    UNION ALL SELECT doc_id, w[1] FROM worded WHERE len(w) = 1)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b
+  ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * pairs.n >= 80 * (x.n + y.n - pairs.n)),
+reached(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT other, root FROM reached JOIN (
+    SELECT a AS one, b AS other FROM links UNION ALL SELECT b, a FROM links) ON one = reached.doc_id
+  WHERE root < other)
+SELECT reached.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id,
+  reached.doc_id = min(root) AS kept
+FROM reached LEFT JOIN sizes ON sizes.doc_id = reached.doc_id GROUP BY reached.doc_id""")
 def op4_minhash_near_dups(spark, sf_dir):
     found = near_dups.verdicts(spark, table(spark, sf_dir, "documents"), words=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -117,9 +142,41 @@ def op5_mix_sources(spark, sf_dir):
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
-@query()
+# Said again with the lines' texts: the least runs of 50 words from and up to each line.
+@query(rf"""
+WITH lined AS (
+  SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+numbered AS (
+  SELECT doc_id, l, i, len(regexp_extract_all(l[i + 1], '{_WORD}')) AS words
+  FROM (SELECT doc_id, l, unnest(range(0, len(l))) AS i FROM lined)),
+summed AS (
+  SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM numbered),
+runs AS (
+  SELECT a.doc_id, a.i AS s, min(b.i) + 1 AS e FROM summed a JOIN summed b
+  ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 50 GROUP BY a.doc_id, a.i
+  UNION
+  SELECT a.doc_id, max(b.i), a.i + 1 FROM summed a JOIN summed b
+  ON a.doc_id = b.doc_id AND b.i <= a.i AND a.upto - b.upto + b.words >= 50 GROUP BY a.doc_id, a.i),
+told AS (
+  SELECT runs.doc_id, s, e, row_number() OVER (
+    PARTITION BY array_to_string(list_slice(l, s + 1, e), chr(10)) ORDER BY runs.doc_id, s) AS place
+  FROM runs JOIN lined ON lined.doc_id = runs.doc_id),
+removed AS (
+  SELECT DISTINCT doc_id, unnest(range(s, e)) AS line FROM told WHERE place > 1),
+islands AS (
+  SELECT doc_id, min(line) AS s, max(line) + 1 AS e FROM (
+    SELECT *, line - row_number() OVER (PARTITION BY doc_id ORDER BY line) AS island FROM removed)
+  GROUP BY doc_id, island),
+listed AS (
+  SELECT doc_id, CAST(sum(e - s) AS INTEGER) AS n_removed, string_agg(s || '-' || e, ',' ORDER BY s) AS removed
+  FROM islands GROUP BY doc_id)
+SELECT documents.doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS INTEGER) AS n_lines,
+  coalesce(n_removed, 0) AS n_removed, removed
+FROM documents LEFT JOIN listed ON listed.doc_id = documents.doc_id""")
 def op6_line_runs(spark, sf_dir):
-    return line_dedup.account(spark, table(spark, sf_dir, "documents"))
+    found = line_dedup.account(spark, table(spark, sf_dir, "documents"))
+    spans = F.transform("spans", lambda x: F.concat_ws("-", x["start"], x["end"]))
+    return found.select("doc_id", "n_lines", "n_removed", F.array_join(spans, ",").alias("removed"))
 
 
 # The rules are written out here, apart from the operator's own list.
