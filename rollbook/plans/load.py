@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ from rollbook.schema import LOAD_ORDER, LOOKUP_COLUMNS, REGISTRY, Table
 from rollbook.sinks import layout
 from rollbook.sinks import tables as sink
 from rollbook.sources.archive import list_members, scan_members
-from rollbook.sources.delimited import LONG_RECORD, SOURCE_FILE, scan_delimited
-from rollbook.sources.files import base_name, empty_files, list_files, route
+from rollbook.sources.delimited import LONG_RECORD, SOURCE_FILE, broken_files, scan_delimited
+from rollbook.sources.files import base_name, empty_files, list_files, plain_path, route
 
 
 def stored_schema(table: Table) -> T.StructType:
@@ -121,9 +122,19 @@ def load_snapshot(spark: SparkSession, folder: str, out_path: str, snapshot: str
     found = find_inputs(spark, folder, tables)
     order = [t for t in LOAD_ORDER if t in tables] + [t for t in tables if t not in LOAD_ORDER]
 
+    # One pass over all plain files says which have line breaks in cells.
+    plain = [path for name in order if name in found for path in found[name].paths]
+    names: list[str] | None = None
+    if plain and "multi_line" not in options:
+        _, names = broken_files(spark, plain, **options)
+
     def one(name: str) -> tuple[int, int]:
+        own = {plain_path(path) for path in found[name].paths}
+        known = {} if names is None else {
+            "broken": [n for n in names if plain_path(unquote(n)) in own]
+        }
         return load_table(spark, tables[name], found[name], out_path, snapshot,
-                          keep_existing, **options)
+                          keep_existing, **options, **known)
 
     with ThreadPoolExecutor(at_once) as pool:
         started = {name: pool.submit(one, name) for name in order if name in found}

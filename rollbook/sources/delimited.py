@@ -112,6 +112,18 @@ def plain_records(lines: DataFrame) -> DataFrame:
     )
 
 
+def broken_files(spark: SparkSession, paths: Sequence[str], sep: str = ";",
+                 encoding: str = "ISO-8859-1") -> tuple[DataFrame, list[str] | None]:
+    """The files with a line break in a cell, as a written table, and by name if there
+    are at most NAMED_FILES."""
+    lines = read_lines(spark, list(paths), encoding)
+    target = f"{workspace(spark, 'broken')}/files"
+    lines.filter(may_continue(F.col("line"), sep)).select("path").distinct().write.parquet(target)
+    found = spark.read.parquet(target)
+    names = [r["path"] for r in found.limit(NAMED_FILES + 1).collect()]
+    return found, names if len(names) <= NAMED_FILES else None
+
+
 def scan_delimited(
     spark: SparkSession,
     table: Table,
@@ -120,11 +132,12 @@ def scan_delimited(
     sep: str = ";",
     encoding: str = "ISO-8859-1",
     multi_line: bool | None = None,
+    broken: Sequence[str] | None = None,
 ) -> DataFrame:
     """All files of a table as one DataFrame of text columns.
 
     ``multi_line`` None finds out which files have line breaks in cells; True takes all
-    to have some and False none.
+    to have some and False none.  ``broken`` names those files if that is known already.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = read_lines(spark, paths, encoding)
@@ -132,22 +145,18 @@ def scan_delimited(
     if multi_line is not None:
         found = broken_records(lines, sep, folder) if multi_line else plain_records(lines)
     else:
-        hits = lines.filter(may_continue(F.col("line"), sep)).select("path").distinct()
-        hits.write.mode("overwrite").parquet(f"{folder}/broken")
-        broken = spark.read.parquet(f"{folder}/broken")
-        # The first few names go into the plan, which prunes files.
-        names = [r["path"] for r in broken.limit(NAMED_FILES + 1).collect()]
-        if not names:
-            found = plain_records(lines)
-        elif len(names) <= NAMED_FILES:
-            # file_path is URI-encoded, the readers take plain paths
+        hits, names = (None, list(broken)) if broken is not None else broken_files(spark, paths, sep, encoding)
+        if names is None:
+            outside = lines.join(hits, "path", "left_anti")
+            inside = lines.join(hits, "path", "left_semi")
+            found = plain_records(outside).unionByName(broken_records(inside, sep, folder))
+        elif names:
+            # Names in the plan prune files.  file_path is URI-encoded, readers take plain paths.
             inside = read_lines(spark, sorted(unquote(n) for n in names), encoding)
             outside = lines.filter(~F.col("path").isin(*names))
             found = plain_records(outside).unionByName(broken_records(inside, sep, folder))
         else:
-            outside = lines.join(broken, "path", "left_anti")
-            inside = lines.join(broken, "path", "left_semi")
-            found = plain_records(outside).unionByName(broken_records(inside, sep, folder))
+            found = plain_records(lines)
     return finish_scan(parse_records(found.withColumnRenamed("path", SOURCE_FILE), table, sep), table, sep)
 
 
