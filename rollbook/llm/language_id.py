@@ -92,18 +92,20 @@ def document_frequency(texts: DataFrame) -> tuple[np.ndarray, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(BUCKETS, np.int64), 0
+        held = np.zeros(BUCKETS, bool)  # buckets of the text that may go on in the next part
         for batch in batches:
             for rows, _ in tx.pieces(batch):
-                seen = {}
+                current = -1
                 for bucket, row, _ in grams(rows.column("text").to_pylist()):
                     bound = np.searchsorted(row, np.arange(len(rows) + 1))
                     for i in np.flatnonzero(np.diff(bound)):
-                        own = seen.setdefault(i, np.zeros(BUCKETS, bool))
-                        own[bucket[bound[i] : bound[i + 1]]] = True
-                    for i in [i for i in seen if i < row[-1]]:
-                        total += seen.pop(i)
-                for own in seen.values():
-                    total += own
+                        if i != current:
+                            total += held
+                            held[:] = False
+                            current = i
+                        held[bucket[bound[i] : bound[i + 1]]] = True
+                total += held
+                held[:] = False
                 n += len(rows)
         full = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(

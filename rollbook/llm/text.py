@@ -2,7 +2,8 @@
 
 A Spark task gets Arrow batches; ``pieces`` cuts them into runs of rows with about
 a megabyte of text, and everything here works on one such run at a time, so a
-task's memory follows the longest single text, not the batch or the partition.
+task's memory follows the longest single text, not the batch or the partition, and
+many tiny texts cost no more than a few long ones.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE_BYTES = 1 << 20
+PIECE_ROWS = 1 << 12
 HASH_BYTES = 1 << 20  # bytes of words hashed at a time
 
 SPACE = np.zeros(256, bool)
@@ -74,12 +76,14 @@ def texts_of(column: pa.Array) -> Texts:
 
 
 def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, Texts]]:
-    """Slices of a batch with about PIECE_BYTES of text, one row at least."""
+    """Slices of a batch with about PIECE_BYTES of text and at most PIECE_ROWS, one row at
+    least."""
     texts = texts_of(batch.column(column))
     row = 0
     while row < len(texts):
         limit = texts.offsets[row] + PIECE_BYTES
-        end = max(row + 1, int(np.searchsorted(texts.offsets, limit, "right")) - 1)
+        end = int(np.searchsorted(texts.offsets, limit, "right")) - 1
+        end = max(row + 1, min(end, row + PIECE_ROWS))
         lo, hi = texts.offsets[row], texts.offsets[end]
         yield batch.slice(row, end - row), Texts(texts.data[lo:hi], texts.offsets[row : end + 1] - lo)
         row = end
