@@ -183,9 +183,8 @@ def load_changed(spark: SparkSession, folder: str, out_path: str, snapshot: str,
     listing = list_files(spark, folder).select("path", "size").union(
         spark.createDataFrame([(p, 0) for p in empty_files(spark, folder)], schema)
     )
-    known = spark.read.schema(schema).parquet(stored) if sink.exists(spark, stored) else (
-        spark.createDataFrame([], schema)
-    )
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(stored)  # the first run knows none
+    known = spark.read.schema(schema).parquet(stored)
     names = changed_tables(spark, listing, known, tables)
     if not names:
         return Loaded({})

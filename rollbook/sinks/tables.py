@@ -7,7 +7,6 @@ after an executor is lost, never doubles rows.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,17 +29,6 @@ def create_table(spark: SparkSession, table: Table, name: str, path: str | None
     spark.catalog.createTable(name, path=path, source="parquet", schema=table.schema)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Is there a written table at a path of any store that Spark can list?"""
-    try:
-        spark.read.format("binaryFile").load(path).schema  # noqa: B018 - lists the path
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
-
-
 def append(df: DataFrame, path: str, *partition_by: str) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
