@@ -152,20 +152,23 @@ class Loaded:
     failed: dict[str, dict[str, str]] = field(default_factory=dict)
 
 
-def changed_tables(spark: SparkSession, listing: DataFrame, known: DataFrame,
-                   tables: Mapping[str, Table]) -> set[str]:
-    """Tables with a file that is new, changed or gone since the ``known`` listing.
+def changed_tables(listing: DataFrame, known: DataFrame,
+                   tables: Mapping[str, Table]) -> tuple[set[str], set[str]]:
+    """Tables with a file that is new, changed or gone since the ``known`` listing, and
+    of these the ones with a plain file gone.
 
     What is in an archive is only known once it is opened; an archive that changed
     stands for all tables.
     """
-    gone = known.join(listing.select("path"), "path", "left_anti").select("path")
-    touched = manifest.to_load(listing, known, "path").select("path").union(gone)
     patterns = {name: t.pattern for name, t in tables.items()}
     is_zip = F.lower("path").endswith(".zip")
-    hit = F.when(is_zip, "*").otherwise(route(base_name(F.col("path")), patterns))
-    names = {r["t"] for r in touched.select(hit.alias("t")).distinct().collect()} - {None}
-    return set(tables) if "*" in names else names
+    hit = F.when(is_zip, "*").otherwise(route(base_name(F.col("path")), patterns)).alias("t")
+    lost = known.join(listing.select("path"), "path", "left_anti").select(hit, F.lit(True).alias("gone"))
+    fresh = manifest.to_load(listing, known, "path").select(hit, F.lit(False).alias("gone"))
+    rows = lost.union(fresh).filter("t IS NOT NULL").distinct().collect()
+    names = {r["t"] for r in rows}
+    gone = {r["t"] for r in rows if r["gone"]} - {"*"}
+    return (set(tables) if "*" in names else names), gone
 
 
 def load_changed(spark: SparkSession, folder: str, out_path: str, snapshot: str,
@@ -175,7 +178,7 @@ def load_changed(spark: SparkSession, folder: str, out_path: str, snapshot: str,
 
     The listing of the files that were loaded is stored per snapshot, after the load:
     a run that fails is repeated.  A table is loaded from all its files, as a snapshot is
-    replaced as a whole.  With ``database``, loaded tables are bucketed by their join key
+    replaced as a whole; it is emptied when none are left.  With ``database``, loaded tables are bucketed by their join key
     as catalog tables, and copied for each lookup column.
     """
     stored = f"{out_path.rstrip('/')}/_files/{snapshot}"
@@ -185,12 +188,16 @@ def load_changed(spark: SparkSession, folder: str, out_path: str, snapshot: str,
     )
     spark.createDataFrame([], schema).write.mode("ignore").parquet(stored)  # the first run knows none
     known = spark.read.schema(schema).parquet(stored)
-    names = changed_tables(spark, listing, known, tables)
+    names, gone = changed_tables(listing, known, tables)
     if not names:
         return Loaded({})
     counts = load_snapshot(
         spark, folder, out_path, snapshot, {n: t for n, t in tables.items() if n in names}, **options
     )
+    for name in gone - set(counts):  # none of its files are left
+        empty = spark.createDataFrame([], stored_schema(tables[name]))
+        sink.clear_snapshot(empty, f"{out_path.rstrip('/')}/{name}", snapshot)
+        counts[name] = (0, 0)
     done = Loaded(counts)
     if database is not None:
         for name in counts:

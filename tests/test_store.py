@@ -263,3 +263,8 @@ def test_a_failed_run_is_repeated(spark, tmp_path, monkeypatch):
     os.remove(raw / "K1.PAISCSV")
     write(raw / "K2.PAISCSV", ['"1";"A"', '"2";"B"'])
     assert load.load_changed(spark, str(raw), out, "2025-10").counts == {"pais": (2, 0)}
+    os.remove(raw / "K2.PAISCSV")
+    write(raw / "K2.MOTICSV", ['"1";"A"'])
+    counts = load.load_changed(spark, str(raw), out, "2025-10").counts
+    assert counts == {"moti": (1, 0), "pais": (0, 0)}
+    assert load.read_table(spark, out, REGISTRY["pais"], "2025-10").count() == 0
