@@ -195,6 +195,40 @@ def test_licenses_of_odd_rows(spark, docs, none):
     assert license_scan.scan(none, "doc_id").count() == 0
 
 
+WRAPPED = {
+    "MIT-header": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell""",
+    "BSD-3-Clause-header": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright""",
+    "GPL-3.0-header": """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+""",
+    "Apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0""",
+}
+
+
+def test_licenses_in_their_published_wrap(spark):
+    forms = [
+        lambda t: t, str.upper, lambda t: t.replace("\n", "\n * "), lambda t: PROSE * 40 + t + PROSE * 40,
+        lambda t: t.replace(" ", "\n\n\n"), lambda t: t.replace(" ", "   ", 60),
+    ]
+    names = [(name, f) for name in WRAPPED for f in range(len(forms))]
+    rows = [(i, forms[f](WRAPPED[name])) for i, (name, f) in enumerate(names)]
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()
+    for r in found:
+        assert names[r["doc_id"]][0] in [f["license"] for f in r["found"]], names[r["doc_id"]]
+
+
 URLS = [
     (1, "http://a.net/x"), (2, "https://WWW.Example.NET/en/1?q=//x"), (3, "http://example.net/de/"),
     (4, "http://x.example.com/de/5#f"), (5, "https://b.org/fr/"), (6, "http://b.org/en/"), (7, None),
