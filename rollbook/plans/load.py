@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -155,10 +156,10 @@ class Loaded:
 def changed_tables(listing: DataFrame, known: DataFrame,
                    tables: Mapping[str, Table]) -> tuple[set[str], set[str]]:
     """Tables with a file that is new, changed or gone since the ``known`` listing, and
-    of these the ones with a plain file gone.
+    of these the ones that may have lost one: by a plain file gone, or by an archive.
 
-    What is in an archive is only known once it is opened; an archive that changed
-    stands for all tables.
+    What is in an archive is only known once it is opened, and what was in it not at all;
+    an archive that is new, changed or gone stands for all tables.
     """
     patterns = {name: t.pattern for name, t in tables.items()}
     is_zip = F.lower("path").endswith(".zip")
@@ -167,8 +168,23 @@ def changed_tables(listing: DataFrame, known: DataFrame,
     fresh = manifest.to_load(listing, known, "path").select(hit, F.lit(False).alias("gone"))
     rows = lost.union(fresh).filter("t IS NOT NULL").distinct().collect()
     names = {r["t"] for r in rows}
-    gone = {r["t"] for r in rows if r["gone"]} - {"*"}
-    return (set(tables) if "*" in names else names), gone
+    if "*" in names:
+        return set(tables), set(tables)
+    return names, {r["t"] for r in rows if r["gone"]}
+
+
+def is_stored(spark: SparkSession, path: str, snapshot: str) -> bool:
+    """Is there a file of this snapshot, be it without rows?  A run that failed after it
+    emptied a table still has to lay it out."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(
+            f"{path}/{sink.SNAPSHOT}={snapshot}"
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return bool(files.inputFiles())
 
 
 def load_changed(spark: SparkSession, folder: str, out_path: str, snapshot: str,
@@ -194,9 +210,11 @@ def load_changed(spark: SparkSession, folder: str, out_path: str, snapshot: str,
     counts = load_snapshot(
         spark, folder, out_path, snapshot, {n: t for n, t in tables.items() if n in names}, **options
     )
-    for name in gone - set(counts):  # none of its files are left
-        empty = spark.createDataFrame([], stored_schema(tables[name]))
-        sink.clear_snapshot(empty, f"{out_path.rstrip('/')}/{name}", snapshot)
+    for name in sorted(gone - set(counts)):  # none of its files and members are left
+        target = f"{out_path.rstrip('/')}/{name}"
+        if not is_stored(spark, target, snapshot):
+            continue
+        sink.clear_snapshot(spark.createDataFrame([], stored_schema(tables[name])), target, snapshot)
         counts[name] = (0, 0)
     done = Loaded(counts)
     if database is not None:

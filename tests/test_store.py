@@ -268,3 +268,34 @@ def test_a_failed_run_is_repeated(spark, tmp_path, monkeypatch):
     counts = load.load_changed(spark, str(raw), out, "2025-10").counts
     assert counts == {"moti": (1, 0), "pais": (0, 0)}
     assert load.read_table(spark, out, REGISTRY["pais"], "2025-10").count() == 0
+
+
+def test_tables_whose_archives_are_gone_or_shrunken_are_emptied(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "o")
+    raw.mkdir()
+
+    def pack(name, **members):
+        with zipfile.ZipFile(raw / name, "w") as archive:
+            for member, text in members.items():
+                archive.writestr(member, text)
+
+    def run():
+        return load.load_changed(spark, str(raw), out, "2025-10", database="archives").counts
+
+    def rows(name):
+        return load.read_table(spark, out, REGISTRY[name], "2025-10").count()
+
+    pack("a.zip", K1PAISCSV='"1";"A"\n', K1MOTICSV='"1";"A"\n"2";"B"\n')
+    pack("b.zip", K1MUNICCSV='"1";"A"\n')
+    assert run() == {"pais": (1, 0), "moti": (2, 0), "munic": (1, 0)}
+    pack("a.zip", K1PAISCSV='"1";"A"\n"2";"B"\n')  # one member fewer
+    assert run() == {"pais": (2, 0), "moti": (0, 0), "munic": (1, 0)}
+    assert (rows("pais"), rows("moti"), rows("munic")) == (2, 0, 1)
+    os.remove(raw / "b.zip")
+    assert run()["munic"] == (0, 0) and rows("munic") == 0 and rows("pais") == 2
+    assert spark.table("archives.munic").count() == 0
+    write(raw / "K9.MUNICCSV", ['"1";"A"'])
+    os.remove(raw / "a.zip")
+    assert run() == {"munic": (1, 0), "pais": (0, 0), "moti": (0, 0)}
+    assert rows("pais") == 0 and spark.table("archives.pais").count() == 0
+    assert run() == {}
