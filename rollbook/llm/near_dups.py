@@ -180,7 +180,10 @@ def confirm(edges: DataFrame, texts: DataFrame, words: int, similarity: int, fol
 
 
 def similar(one: np.ndarray, other: np.ndarray, similarity: int) -> bool:
-    """Are these sets (sorted arrays) alike by at least ``similarity`` percent?"""
+    """Are these sets (sorted arrays) alike by at least ``similarity`` percent?  An empty
+    set, such as of a null text among those of a doc_id, is like none."""
+    if not len(one) or not len(other):
+        return False
     place = np.searchsorted(other, one)
     both = int((other[np.minimum(place, len(other) - 1)] == one).sum())
     return 100 * both >= similarity * (len(one) + len(other) - both)

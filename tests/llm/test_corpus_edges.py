@@ -94,6 +94,16 @@ def test_near_dups_of_odd_rows(spark, docs, none):
     assert kept.count() == len(ROWS) - 1  # the copy goes
 
 
+def test_near_dups_of_ids_with_a_full_and_an_empty_text(spark):
+    base = prose(6).split()
+    full = [(i, " ".join([*base[:i], f"other{i}", *base[i + 1 :]])) for i in range(1, 6)]
+    empty = [(i, text) for i in range(1, 6) for text in (None, "", " \n")]
+    rows = near_dups.verdicts(spark, spark.createDataFrame(full + empty, "doc_id long, text string")).collect()
+    assert len(rows) == len(full + empty)
+    assert all(r["component_id"] == 1 for r in rows if r["n_shingles"] > 0)
+    assert all(r["component_id"] == r["doc_id"] for r in rows if r["n_shingles"] == 0)
+
+
 def test_decontamination_of_odd_rows(spark, docs, none, benchmark):
     for words in (0, 1_000_000):  # by join, by broadcast
         found = decontaminate.matches(spark, docs, benchmark, "doc_id", broadcast_words=words).collect()
