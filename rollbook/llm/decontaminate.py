@@ -11,8 +11,9 @@ Seeds find their items in one of two ways with the same result.  A benchmark of
 ``broadcast_words`` words goes to every task, and the texts are read once and never
 shuffled.  A larger one is joined: distinct seeds of documents with seeds of items.
 
-Defined cases: words are runs of letters and digits, A-Z lower-cased; a null or empty
-text matches nothing; an item of fewer than SEED words cannot be told from common
+Defined cases: words are runs of letters, digits and combining marks of any script, folded
+to one case and composed form; all other characters, typographic quotes, dashes and
+no-break spaces too, stand between words; a null or empty text matches nothing; an item of fewer than SEED words cannot be told from common
 wording and is never matched; repeated items, or several rows with one item_id, count
 once per id, by the best of them; rows of ``docs`` are judged one by one, so repeated
 rows and null ids stay as they are; empty tables give empty results, or no matches.
@@ -23,6 +24,8 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import cache
+from unicodedata import category, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +48,37 @@ ITEMS = T.ArrayType(T.StructType([
 _ITEMS = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64())]))
 
 
+@cache
+def in_words() -> np.ndarray:
+    """For every code point: is it part of a word?"""
+    return np.array([c.isalnum() or category(c)[0] == "M" for c in map(chr, range(0x110000))], bool)
+
+
+def folded(text: bytes) -> str:
+    """Upper case first: its fold is the same for all ways to write a letter, also a
+    dotless i or a sharp s."""
+    if text.isascii():
+        return text.decode("ascii")
+    return normalize("NFC", text.decode("utf-8", "replace").upper().casefold())
+
+
+def plain(texts: tx.Texts) -> tx.Texts:
+    """The texts with letters beyond ASCII folded and a blank for what is beyond ASCII and
+    in no word, so that all bytes from 128 on are word bytes."""
+    if not (texts.data >= 128).any():
+        return texts
+    raw = texts.data.tobytes()
+    parts = [folded(raw[a:b]) for a, b in zip(texts.offsets[:-1], texts.offsets[1:])]
+    codes = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4")
+    bound = np.cumsum([0, *map(len, parts)])
+    codes = np.where(in_words()[codes], codes, 32).astype("<u4")
+    width = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
+    data = np.frombuffer(codes.tobytes().decode("utf-32-le").encode(), np.uint8)
+    return tx.Texts(data, np.concatenate([[0], np.cumsum(width)])[bound])
+
+
 def word_hashes(texts: tx.Texts) -> tuple[np.ndarray, np.ndarray]:
+    texts = plain(texts)
     spans = tx.runs(texts, tx.WORD_BYTE[texts.data])
     return tx.hashes(texts.data, spans, tx.LOWER), spans.row
 

@@ -5,6 +5,7 @@ import itertools
 import os
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -222,6 +223,26 @@ def test_leaks_are_caught_and_clean_documents_kept(spark, texts):
                 assert item_id in r["item_ids"]
 
 
+def test_leaks_in_other_case_and_typography_are_caught(spark):
+    """All of the benchmark in capitals, and one item per way to write it."""
+    bench = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").select("item_id", "text")
+    own = [
+        (-1, "¿Dónde está la “Straße” – größer als das naïve Café Ñandú, élève"),
+        (-2, "don't stop: the ΐσως word's - on the road kırmızı again today"),
+    ]
+    bench = bench.union(spark.createDataFrame(own, bench.schema))
+    rows = [(r["item_id"], f"Before it. {r['text'].upper()} After it.") for r in bench.collect()]
+    typed = str.maketrans({"'": "\u2019", "-": "\u2014", " ": "\u00a0", "“": '"', "”": '"', "–": "-"})
+    rows += [(i, text.translate(typed)) for i, text in own]
+    rows += [(i, unicodedata.normalize("NFD", text)) for i, text in own]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for limit in (0, 1_000_000):
+        found = decontaminate.matches(spark, df, bench, broadcast_words=limit).collect()
+        assert len(found) == len(rows)
+        for r in found:
+            assert (r["row"]["doc_id"], 1.0) in [tuple(i) for i in r["items"]]
+
+
 # -- line runs --------------------------------------------------------------------
 
 def brute_lines(texts, least):
