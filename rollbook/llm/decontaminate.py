@@ -1,21 +1,24 @@
 """Benchmark decontamination by greedy string tiling.
 
-A document is compared with a benchmark item if they share a seed, a run of SEED
-words.  The two word sequences are then tiled: Karp-Rabin fingerprints of TILE words
+A document is compared with a benchmark item if the runs of TILE words that they share
+cover enough of the item.  The two word sequences are then tiled: Karp-Rabin fingerprints of TILE words
 give all common runs, the longest run that is still unmarked is marked in both, and
 so on until none of TILE words is left.  Tiles may lie in any order, so passages whose
 sentences were moved around count as well.  A document goes if tiles cover at least
 COVERAGE percent of an item.
 
-Seeds find their items in one of two ways with the same result.  A benchmark of up to
+Runs find their items in one of two ways with the same result.  A benchmark of up to
 ``broadcast_words`` words goes to every task, and the texts are read once and never
-shuffled.  A larger one is joined: distinct seeds of documents with seeds of items.
+shuffled.  A larger one is joined: distinct runs of documents with runs of items.  Both
+only leave out items that no tiling could cover.
 
 Defined cases: words are runs of letters, digits and combining marks of any script, folded
 to one case and composed form; all other characters, typographic quotes, dashes and
-no-break spaces too, stand between words; a null or empty text matches nothing; an item of fewer than SEED words cannot be told from common
-wording and is never matched; repeated items, or several rows with one item_id, count
-once per id, by the best of them; rows of ``docs`` are judged one by one, so repeated
+no-break spaces too, stand between words; a null or empty text matches nothing; characters of scripts without spaces (Han, Kana, Thai, Lao, Khmer, Myanmar and others)
+are words by themselves; an item of fewer than TILE words is one tile, so it is matched
+wherever all of it stands, be it a single word; an item without a word matches nothing;
+repeated items, or several rows with one item_id, count once per id, by the best of
+them, and rows with a null item_id count together under the null id; rows of ``docs`` are judged one by one, so repeated
 rows and null ids stay as they are; empty tables give empty results, or no matches.
 Extra columns are carried and never read.
 """
@@ -29,7 +32,7 @@ from unicodedata import category, normalize
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +40,6 @@ from rollbook.llm import text as tx
 from rollbook.llm.components import save
 from rollbook.session import workspace
 
-SEED = 5  # words
 TILE = 3  # words
 COVERAGE = 80  # percent of an item's words
 BROADCAST_WORDS = 1_000_000  # 8 MB of fingerprints
@@ -48,10 +50,22 @@ ITEMS = T.ArrayType(T.StructType([
 _ITEMS = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64())]))
 
 
+#: First and last code points of scripts that are written without spaces.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x2E80, 0x2FDF),
+    (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+    (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F),
+    (0x20000, 0x3FFFF),
+)
+
+
 @cache
 def in_words() -> np.ndarray:
-    """For every code point: is it part of a word?"""
-    return np.array([c.isalnum() or category(c)[0] == "M" for c in map(chr, range(0x110000))], bool)
+    """For every code point: 1 if it is part of a word, 2 if it is one by itself, else 0."""
+    kind = np.array([c.isalnum() or category(c)[0] == "M" for c in map(chr, range(0x110000))], np.int8)
+    for first, last in UNSPACED:
+        kind[first : last + 1] *= 2
+    return kind
 
 
 def folded(text: bytes) -> str:
@@ -71,7 +85,14 @@ def plain(texts: tx.Texts) -> tx.Texts:
     parts = [folded(raw[a:b]) for a, b in zip(texts.offsets[:-1], texts.offsets[1:])]
     codes = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4")
     bound = np.cumsum([0, *map(len, parts)])
-    codes = np.where(in_words()[codes], codes, 32).astype("<u4")
+    kind = in_words()[codes]
+    codes = np.where(kind > 0, codes, 32).astype("<u4")
+    if (kind == 2).any():  # blanks around each
+        many = np.where(kind == 2, 3, 1)
+        place = np.concatenate([[0], np.cumsum(many)])
+        wide = np.full(place[-1], 32, "<u4")
+        wide[place[:-1] + (kind == 2)] = codes
+        codes, bound = wide, place[bound]
     width = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
     data = np.frombuffer(codes.tobytes().decode("utf-32-le").encode(), np.uint8)
     return tx.Texts(data, np.concatenate([[0], np.cumsum(width)])[bound])
@@ -95,9 +116,16 @@ def fingerprints(words: np.ndarray, k: int) -> np.ndarray:
     return tx.mix(total)
 
 
+def tile_of(n: int) -> int:
+    """Words of the shortest tile of an item of n words."""
+    return min(TILE, n)
+
+
 def common_runs(text: np.ndarray, item: np.ndarray) -> list[tuple[int, int, int]]:
-    """(length, place in text, place in item) of all maximal common runs of TILE words."""
-    text_prints, item_prints = fingerprints(text, TILE), fingerprints(item, TILE)
+    """(length, place in text, place in item) of all maximal common runs of TILE words, or
+    of the whole of a shorter item."""
+    tile = tile_of(len(item))
+    text_prints, item_prints = fingerprints(text, tile), fingerprints(item, tile)
     if not len(text_prints) or not len(item_prints):
         return []
     order = np.argsort(item_prints, kind="stable")
@@ -115,7 +143,7 @@ def common_runs(text: np.ndarray, item: np.ndarray) -> list[tuple[int, int, int]
     new = np.ones(len(at), bool)
     new[1:] = (at[1:] != at[:-1] + 1) | (to[1:] != to[:-1] + 1)
     first = np.flatnonzero(new)
-    length = np.diff(np.append(first, len(at))) + TILE - 1
+    length = np.diff(np.append(first, len(at))) + tile - 1
     return list(zip(length.tolist(), at[first].tolist(), to[first].tolist()))
 
 
@@ -142,20 +170,20 @@ def tiled(text: np.ndarray, item: np.ndarray, least: float = 0.0) -> int:
         # What is left of the run between marked words waits for its turn.
         edges = np.flatnonzero(np.diff(np.concatenate([[True], taken, [True]]).astype(np.int8)))
         for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
-            if b - a >= TILE:
+            if b - a >= tile_of(len(item)):
                 heapq.heappush(heap, (-(b - a), j + a, i + a))
     return int(in_item.sum())
 
 
-def best_of(found: list[tuple[int, float]]) -> list[dict]:
-    best: dict[int, float] = {}
+def best_of(found: list[tuple[int | None, float]]) -> list[dict]:
+    best: dict[int | None, float] = {}
     for item_id, coverage in found:
         best[item_id] = max(best.get(item_id, 0.0), coverage)
-    return [{"item_id": k, "coverage": best[k]} for k in sorted(best)]
+    return [{"item_id": k, "coverage": best[k]} for k in sorted(best, key=lambda k: (k is not None, k or 0))]
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """(item_id, words, n): the word hashes of every item that can be matched."""
+    """(item_id, words, n, item): the word hashes of every item that has words, and their key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,35 +197,45 @@ def items_of(benchmark: DataFrame) -> DataFrame:
                 )
 
     return (
-        benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+        benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
         .mapInArrow(run, "item_id long, words binary, n long")
-        .filter((F.col("n") >= SEED) & F.col("item_id").isNotNull())
+        .filter("n > 0")
+        .withColumn("item", F.sha2("words", 256))
     )
 
 
 class Index:
-    """Seeds of a whole benchmark, sorted, with the items they come from."""
+    """Tile-long runs of a whole benchmark, sorted, with the places they stand at."""
 
-    def __init__(self, rows: list) -> None:
+    def __init__(self, rows: list, coverage: int) -> None:
         self.ids = [r["item_id"] for r in rows]
         self.words = [np.frombuffer(bytes(r["words"]), np.uint64) for r in rows]
-        seeds = [fingerprints(w, SEED) for w in self.words]
-        every = np.concatenate([np.zeros(0, np.uint64), *seeds])
-        owner = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
-        order = np.argsort(every, kind="stable")
-        self.seeds, self.owner = every[order], owner[order]
+        size = np.array([len(w) for w in self.words], np.int64)
+        first = np.cumsum(size) - size
+        self.least = coverage * size / 100
+        self.owner = np.repeat(np.arange(len(size)), size)
+        self.runs = []
+        for k in range(1, TILE + 1):
+            own = [i for i, w in enumerate(self.words) if tile_of(len(w)) == k]
+            prints = np.concatenate([np.zeros(0, np.uint64), *[fingerprints(self.words[i], k) for i in own]])
+            at = np.concatenate([np.zeros(0, np.int64), *[first[i] + np.arange(size[i] - k + 1) for i in own]])
+            order = np.argsort(prints, kind="stable")
+            if len(order):
+                self.runs.append((k, prints[order], at[order]))
 
     def candidates(self, text: np.ndarray) -> np.ndarray:
-        """Items that share a seed with the text."""
-        if not len(self.seeds):
-            return np.zeros(0, np.int64)
-        prints = fingerprints(text, SEED)
-        low = np.searchsorted(self.seeds, prints)
-        hit = self.seeds[np.minimum(low, len(self.seeds) - 1)] == prints
-        found = np.unique(prints[hit])
-        low, high = np.searchsorted(self.seeds, found), np.searchsorted(self.seeds, found, "right")
-        owners = [self.owner[a:b] for a, b in zip(low, high)]
-        return np.unique(np.concatenate([np.zeros(0, np.int64), *owners]))
+        """Items of which runs shared with the text cover enough words, before tiling."""
+        covered = [np.zeros(0, np.int64)]
+        for k, known, at in self.runs:
+            prints = fingerprints(text, k)
+            low = np.searchsorted(known, prints)
+            found = np.unique(prints[known[np.minimum(low, len(known) - 1)] == prints])
+            low = np.searchsorted(known, found)
+            many = np.searchsorted(known, found, "right") - low
+            step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            covered.append((at[np.repeat(low, many) + step][:, None] + np.arange(k)).ravel())
+        owner, n = np.unique(self.owner[np.unique(np.concatenate(covered))], return_counts=True)
+        return owner[n >= self.least[owner]]
 
 
 def packed(docs: DataFrame, names: list[str]) -> DataFrame:
@@ -212,7 +250,7 @@ def by_broadcast(docs: DataFrame, items: DataFrame, names: list[str], coverage:
     shared = docs.sparkSession.sparkContext.broadcast(items.select("item_id", "words").collect())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(shared.value)
+        index = Index(shared.value, coverage)
         for batch in batches:
             for part, texts in tx.pieces(batch):
                 words, row = word_hashes(texts)
@@ -234,55 +272,79 @@ def by_broadcast(docs: DataFrame, items: DataFrame, names: list[str], coverage:
     return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("items", ITEMS)]))
 
 
-def seeds_of(texts: DataFrame, key: str, column: str) -> DataFrame:
-    """(key, seed): the distinct seeds of every text, or of its word hashes if binary."""
-    kind = texts.schema[key].dataType.simpleString()
+def runs_of(texts: DataFrame, lengths: list[int]) -> DataFrame:
+    """(key, run): the distinct runs of these lengths of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, found in tx.pieces(batch):
                 words, row = word_hashes(found)
                 bound = np.searchsorted(row, np.arange(len(found) + 1))
-                prints = [np.unique(fingerprints(words[a:b], SEED)) for a, b in zip(bound[:-1], bound[1:])]
+                prints = [
+                    np.unique(np.concatenate([np.zeros(0, np.uint64), *[fingerprints(words[a:b], k) for k in lengths]]))
+                    for a, b in zip(bound[:-1], bound[1:])
+                ]
                 owner = np.repeat(np.arange(len(found)), [len(p) for p in prints])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(key).take(pa.array(owner)),
+                        part.column("key").take(pa.array(owner)),
                         tx.signed(np.concatenate([np.zeros(0, np.uint64), *prints])),
                     ],
-                    names=[key, "seed"],
+                    names=["key", "run"],
                 )
 
-    return texts.select(key, F.col(column).cast("string").alias("text")).mapInArrow(
-        run, f"{key} {kind}, seed long"
-    )
+    return texts.select("key", "text").mapInArrow(run, "key string, run long")
+
 
+def runs_of_items(items: DataFrame) -> DataFrame:
+    """(item, n, run, places): the distinct tile-long runs of every item."""
 
-def by_join(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, items: DataFrame,
-            names: list[str], coverage: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, words in zip(batch.column("item").to_pylist(), batch.column("words").to_pylist()):
+                own = np.frombuffer(words, np.uint64)
+                prints, places = np.unique(fingerprints(own, tile_of(len(own))), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([item] * len(prints), pa.string()), pa.array([len(own)] * len(prints), pa.int64()),
+                     tx.signed(prints), pa.array(places, pa.int64())],
+                    names=["item", "n", "run", "places"],
+                )
+
+    return items.select("item", "words").mapInArrow(run, "item string, n long, run long, places long")
+
+
+def by_join(spark: SparkSession, docs: DataFrame, items: DataFrame, names: list[str], coverage: int) -> DataFrame:
     """The same for a benchmark of any size: nothing is sent to all tasks.
 
-    Equal texts are compared once, under their hash.  A seed or an item that many texts
-    hold makes a hot key of a plain join of two tables, which AQE splits.
+    Equal texts are compared once, under their hash.  To cover enough of an item, a text
+    must hold its runs at T places or more; so it holds one of those that are left when
+    the most common ones, at T - 1 places together, are not looked up.  A run or an item
+    that many texts hold makes a hot key of a plain join of two tables, which AQE splits.
     """
     folder = workspace(spark, "decontaminate")
     keyed = packed(docs, names).withColumn("key", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
     texts = keyed.select("key", "text")
-    seeds = save(
-        seeds_of(benchmark.select(F.col("item_id").cast("long"), "text"), "item_id", "text").distinct(),
-        f"{folder}/seeds",
+    items = save(items, f"{folder}/items")
+    words = items.groupBy("item").agg(F.first("words").alias("words"))
+    known = save(runs_of_items(words), f"{folder}/item-runs")
+    lengths = [r[0] for r in items.select(F.least("n", F.lit(TILE)).cast("int")).distinct().collect()]
+    met = save(
+        runs_of(texts, lengths).join(known.select("run").distinct(), "run").distinct(), f"{folder}/text-runs"
+    )
+    places = F.ceil(F.col("n") * coverage / (100 * F.least("n", F.lit(TILE))))  # T
+    common_first = Window.partitionBy("item").orderBy(F.col("texts").desc(), "run").rowsBetween(
+        Window.unboundedPreceding, 0
     )
-    pairs = save(
-        seeds_of(texts, "key", "text").join(seeds, "seed").select("key", "item_id").distinct(),
-        f"{folder}/pairs",
+    looked_up = (
+        known.join(met.groupBy("run").agg(F.count("*").alias("texts")), "run")
+        .withColumn("upto", F.sum("places").over(common_first))
+        .filter(F.col("upto") >= places).select("item", "run")
     )
+    pairs = save(met.join(looked_up, "run").select("key", "item").distinct(), f"{folder}/pairs")
     one = texts.join(pairs.select("key").distinct(), "key", "left_semi").groupBy("key").agg(
         F.first("text").alias("text")
     )
-    both = (
-        pairs.join(items.select("item_id", "words"), "item_id").join(one, "key")
-        .repartition("key", "item_id")
-    )
+    both = pairs.join(words, "item").join(one, "key").repartition("key", "item")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,13 +358,14 @@ def by_join(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, items: D
                     marked = tiled(words[a:b], item, least)
                     share.append(marked / len(item) if marked >= least else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), part.column("item_id"), pa.array(share, pa.float64())],
-                    names=["key", "item_id", "coverage"],
+                    [part.column("key"), part.column("item"), pa.array(share, pa.float64())],
+                    names=["key", "item", "coverage"],
                 )
 
     matched = (
-        both.mapInArrow(run, "key string, item_id long, coverage double")
+        both.mapInArrow(run, "key string, item string, coverage double")
         .filter("coverage IS NOT NULL")
+        .join(items.select("item", "item_id").distinct(), "item")
         .groupBy("key", "item_id").agg(F.max("coverage").alias("coverage"))
         .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("item_id", "coverage"))).alias("items"))
     )
@@ -319,7 +382,7 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *keep: s
     size = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if size <= broadcast_words:
         return by_broadcast(docs, items, names, coverage)
-    return by_join(spark, docs, benchmark, items, names, coverage)
+    return by_join(spark, docs, items, names, coverage)
 
 
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **options: int) -> DataFrame:

@@ -243,6 +243,30 @@ def test_leaks_in_other_case_and_typography_are_caught(spark):
             assert (r["row"]["doc_id"], 1.0) in [tuple(i) for i in r["items"]]
 
 
+def test_every_item_is_looked_for(spark):
+    """Short items, null ids, scripts without spaces, and pieces of three or four words."""
+    long = [f"a{i}" for i in range(24)]
+    pieces = [long[i : i + n] for i, n in ((0, 3), (3, 4), (7, 3), (10, 4), (14, 3), (17, 4), (21, 3))]
+    chinese, thai = "今天天气很好我们一起去公园散步吧", "วันนี้อากาศดีมากเราไปเดินเล่นกันเถอะ"
+    bench = [(1, "Forty Two"), (2, " ".join(long)), (None, "one null id has this text here"), (3, chinese),
+             (4, thai), (5, "solitary"), (6, "?!"), (None, "null short"), (7, "four words stand here")]
+    rows = [
+        (1, "forty-two"), (1, "it is FORTY two."), (2, "x ".join(" ".join(p) + " " for p in reversed(pieces))),
+        (None, "So one null id has this text here."), (None, "a null short b"), (3, f"他说：{chinese}。"), (4, f"x{thai}y"),
+        (5, "Solitary"), (7, "that four words stand here too"),
+        (0, "forty and two"), (0, "solitaryx"), (0, "four words stand there"), (0, "?!"), (0, "今天天气不错"),
+        (0, " ".join(long[:17])), (0, ""), (0, None),
+    ]
+    bench = spark.createDataFrame(bench, "item_id long, text string")
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, item long, text string")
+    for limit in (0, 1_000_000):
+        found = {r["row"]["doc_id"]: r for r in decontaminate.matches(spark, df, bench, broadcast_words=limit).collect()}
+        for i, (item, text) in enumerate(rows):
+            assert [m["item_id"] for m in found[i]["items"]] == ([] if item == 0 else [item]), text
+        kept = decontaminate.clean(spark, df, bench, broadcast_words=limit).collect()
+        assert sorted(r["doc_id"] for r in kept) == [i for i, r in enumerate(rows) if r[0] == 0]
+
+
 # -- line runs --------------------------------------------------------------------
 
 def brute_lines(texts, least):
