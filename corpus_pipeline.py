@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rollbook.llm import decontaminate, mixing, near_dups, quality_rules, sharding
 from rollbook.session import workspace
@@ -40,9 +41,18 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The columns of ``documents``, then where each row goes."""
+    """The columns of ``documents``, then where each row goes: size, text_crc32, curve,
+    shard and slot, with a ``_`` behind a name that ``documents`` has itself."""
     found = sharding.shard(spark, docs)
-    return found.select("row.*", "size", "text_crc32", "curve", "shard", "slot")
+    taken = {c.lower() for c in docs.columns}
+    placed = []
+    for name in ("size", "text_crc32", "curve", "shard", "slot"):
+        free = name
+        while free.lower() in taken:
+            free += "_"
+        taken.add(free.lower())
+        placed.append(F.col(name).alias(free))
+    return found.select("row.*", *placed)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -278,3 +278,15 @@ def test_pipeline_of_odd_rows(spark, docs, none, benchmark, tmp_path):
         out = corpus_pipeline.run(spark, folder)
         assert out.columns[:5] == docs.columns
         assert (out.count() > 0) == (name == "some")
+
+
+def test_pipeline_of_clashing_names(spark, docs, benchmark, tmp_path):
+    folder = str(tmp_path)
+    own = clashing(docs).withColumn("Curve", F.lit("own")).withColumn("size_", F.lit("own"))
+    own.write.parquet(f"{folder}/documents.parquet")
+    benchmark.write.parquet(f"{folder}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, folder)
+    assert out.columns == [*own.columns, "size__", "text_crc32", "curve_", "shard_", "slot"]
+    rows = out.collect()
+    assert rows and {r[c] for r in rows for c in ("size", "shard", "Curve", "size_")} == {"own"}
+    assert all(isinstance(r[c], int) for r in rows for c in ("size__", "shard_", "slot"))
