@@ -7,8 +7,8 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import functions as F
 
 from rollbook.llm import (
-    decontaminate, language_id, license_scan, line_dedup, mixing, near_dups, quality_rules, sharding, toxicity,
-    url_filter,
+    decontaminate, divergence, language_id, lexical_search, license_scan, line_dedup, mixing, near_dups,
+    quality_rules, sharding, toxicity, url_filter, vector_search,
 )
 from rollbook.plans.registered import Query, table
 
@@ -250,3 +250,93 @@ def op9_license_scan(spark, sf_dir):
 def op10_url_trees(spark, sf_dir):
     found = url_filter.judge(spark, table(spark, sf_dir, "pages").select("page_id", "url"))
     return found.select("row.page_id", "host", "path", "rule", "verdict", "score")
+
+
+_FOLDED = f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')"
+_SHARE = "1 + CAST(coalesce((CAST({n} + 5 AS HUGEINT) * 1000000000) // nullif({total} + 5 * {terms}, 0), 0) AS BIGINT)"
+
+
+# Said again term by term: every group's share of every term its language keeps.
+@query(rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    {_FOLDED} AS text FROM documents),
+tokens AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (
+  SELECT lang, term, count(*) AS lang_n FROM tokens GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+langs AS (SELECT lang, count(*) AS terms, CAST(sum(lang_n) AS BIGINT) AS lang_total FROM kept GROUP BY lang),
+counts AS (
+  SELECT tokens.lang, source, tokens.term, count(*) AS n FROM tokens
+  JOIN kept ON kept.lang = tokens.lang AND kept.term = tokens.term GROUP BY ALL),
+groups AS (
+  SELECT g.lang, g.source, coalesce(terms, 0) AS terms, coalesce(lang_total, 0) AS lang_total,
+    coalesce((SELECT CAST(sum(n) AS BIGINT) FROM counts c WHERE c.lang = g.lang AND c.source = g.source), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN langs ON langs.lang = g.lang),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+    {_SHARE.format(n="coalesce(n, 0)", total="total", terms="terms")} AS p,
+    {_SHARE.format(n="lang_n", total="lang_total", terms="terms")} AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+listed AS (
+  SELECT * FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM listed)
+WHERE part = 'pair' OR rank <= 50""")
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(spark, table(spark, sf_dir, "documents"))
+
+
+# Said again without vectors: every document's score of every item.
+@query(rf"""
+WITH worded AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+sized AS (SELECT r, doc_id, len(w) AS n FROM worded WHERE len(w) > 0),
+corpus AS (SELECT count(*) AS N_docs, CAST(sum(n) AS BIGINT) AS L FROM sized),
+tfs AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM worded) GROUP BY r, term),
+items AS (
+  SELECT row_number() OVER () AS i, item_id, list_distinct(
+    regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (SELECT i, item_id, unnest(w) AS term FROM items),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(N_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM tfs, corpus WHERE term IN (SELECT term FROM asked) GROUP BY term),
+scored AS (
+  SELECT i, item_id, sized.doc_id, tfs.r, CAST(sum(weight * ((1000000000 * tf)
+    // (1000 * tf + 20 * (50 + (50 * n * N_docs) // L)))) AS BIGINT) AS score
+  FROM asked JOIN weighed ON weighed.term = asked.term JOIN tfs ON tfs.term = asked.term
+  JOIN sized ON sized.r = tfs.r, corpus GROUP BY i, item_id, sized.doc_id, tfs.r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored
+  WHERE score > 0) WHERE rank <= 50""")
+def op12_norm_buckets(spark, sf_dir):
+    return lexical_search.rank_documents(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+# Said again by all products.
+@query("""
+WITH whole AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.r <> q.r AND len(c.v) = len(q.v))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scored)
+WHERE rank <= 5""")
+def op13_ball_tree(spark, sf_dir):
+    return vector_search.nearest(spark, table(spark, sf_dir, "embeddings"))
