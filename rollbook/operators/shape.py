@@ -106,12 +106,45 @@ def reject_reason(field: Field, is_key: bool) -> Column | None:
     return why
 
 
-def typed_with_reasons(raw: DataFrame, table: Table, *keep: str, unique: bool = False) -> DataFrame:
+#: Rows that are rejected anyway are dealt over so many groups where keys are compared, as
+#: a third of them may share one key, or none.
+SPREAD = 4096
+
+
+def duplicate_reason(table: Table) -> str:
+    return f"{table.primary_key}:duplicate_key"
+
+
+def is_repeated(table: Table, good: Column, first_by: list[Column]) -> Column:
+    """Is this a good row whose key a good row before it has?"""
+    spread = F.when(~good, F.pmod(F.xxhash64(*first_by), F.lit(SPREAD)))
+    same_key = Window.partitionBy(table.primary_key, spread).orderBy(*first_by)
+    return good & (F.row_number().over(same_key) > 1)
+
+
+def flag_duplicates(checked: DataFrame, table: Table, *keep: str) -> DataFrame:
+    """Rows of several loads, their repeated keys flagged anew as one load would: of good
+    rows with the same key the first by raw cells, then by ``keep``, stays.  The raw
+    cells of all rows are needed."""
+    only_repeated = F.coalesce(F.col(REASONS) == F.array(F.lit(duplicate_reason(table))), F.lit(False))
+    good = ~F.col(REJECTED) | only_repeated
+    first_by = [F.col(RAW)[f.name] for f in table.fields] + [F.col(c) for c in keep]
+    again = is_repeated(table, good, first_by)
+    flagged = checked.withColumn("__good", good).withColumn("__again", again)
+    return flagged.withColumn(
+        REASONS, F.when(F.col("__again"), F.array(F.lit(duplicate_reason(table))))
+        .when(~F.col("__good"), F.col(REASONS))
+    ).withColumn(REJECTED, F.col("__again") | ~F.col("__good")).drop("__good", "__again")
+
+
+def typed_with_reasons(raw: DataFrame, table: Table, *keep: str, unique: bool = False,
+                       keep_raw: bool = False) -> DataFrame:
     """Typed columns plus ``reasons``, ``rejected`` and, for rejected rows only,
     the ``raw`` cells: one pass that feeds both the table and its quarantine.
 
     ``unique`` also rejects all but one of the good rows with the same primary key: the
-    first by raw cells, then by the ``keep`` columns.
+    first by raw cells, then by the ``keep`` columns.  ``keep_raw`` gives the raw cells of
+    all rows, which ``flag_duplicates`` asks for.
     """
     fields = present(raw, table)
     extra = [LONG_RECORD] if LONG_RECORD in raw.columns else []
@@ -125,19 +158,17 @@ def typed_with_reasons(raw: DataFrame, table: Table, *keep: str, unique: bool =
     found = F.concat_ws(",", *checks)  # skips the NULLs of good cells
     flagged = staged.withColumn("__found", found)
     if unique and table.primary_key:
-        good_first = Window.partitionBy(table.primary_key).orderBy(
-            F.col("__found") != "", *[_raw(f) for f in fields], *keep
-        )
-        again = (F.col("__found") == "") & (F.row_number().over(good_first) > 1)
+        first_by = [F.col(c) for c in (*[_raw(f) for f in fields], *keep)]
+        again = is_repeated(table, F.col("__found") == "", first_by)
         flagged = flagged.withColumn("__again", again).withColumn(
-            "__found", F.when(F.col("__again"), f"{table.primary_key}:duplicate_key").otherwise(F.col("__found"))
+            "__found", F.when(F.col("__again"), duplicate_reason(table)).otherwise(F.col("__found"))
         )
     rejected = F.col("__found") != ""
     return flagged.select(
         *[f.name for f in fields],
         *keep,
         *extra,
-        F.when(rejected, F.struct(*[F.col(_raw(f)).alias(f.name) for f in fields])).alias(RAW),
+        F.when(rejected | F.lit(keep_raw), F.struct(*[F.col(_raw(f)).alias(f.name) for f in fields])).alias(RAW),
         F.when(rejected, F.split("__found", ",")).alias(REASONS),
         rejected.alias(REJECTED),
     )

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.operators import manifest, pages, shape
-from rollbook.plans import dirty, load
+from rollbook.plans import dirty, load, publish
 from rollbook.plans.registered import query, table
 from rollbook.schema import REGISTRY, Table
 from rollbook.session import workspace
@@ -435,17 +435,17 @@ def q_load_changed(spark, sf_dir):
     raw, out = f"{folder}/raw", f"{folder}/tables"
 
     def run(label: str) -> list[tuple[str, str]]:
-        return [(name, label) for name in load.load_changed(spark, raw, out, "2025-10").counts]
+        return [(name, label) for name in publish.load_changed(spark, raw, out, "2025-10").counts]
 
     raw_registry(spark, sf_dir, raw, "pais", where="n_nationkey % 2 = 0")
     raw_registry(spark, sf_dir, raw, "simples")
     ran = run("first")
-    first = load.read_table(spark, out, REGISTRY["pais"], "2025-10").count()
+    first = publish.read_table(spark, out, REGISTRY["pais"], "2025-10").count()
     raw_registry(spark, sf_dir, raw, "pais")
     raw_registry(spark, sf_dir, raw, "munic")
     ran += run("second") + run("third")
     parts = [
-        load.read_table(spark, out, REGISTRY[name], "2025-10").agg(F.count("*").alias("now")).select(
+        publish.read_table(spark, out, REGISTRY[name], "2025-10").agg(F.count("*").alias("now")).select(
             F.lit(name).alias("table_name"), F.lit(label).alias("run"),
             F.when(F.lit((name, label) == ("pais", "first")), F.lit(first)).otherwise(F.col("now"))
             .cast("bigint").alias("n"),
@@ -467,10 +467,13 @@ def q_bucketed_join(spark, sf_dir):
     folder = workspace(spark, "bucketed")
     raw_registry(spark, sf_dir, f"{folder}/raw", "empresa", "estabelecimento")
     database = "rollbook_" + folder.rsplit("-", 1)[-1]
-    done = load.load_changed(
-        spark, f"{folder}/raw", f"{folder}/tables", "2025-10", database=database, buckets=8
+    for month in ("2025-09", "2025-10"):  # side by side
+        done = publish.load_changed(
+            spark, f"{folder}/raw", f"{folder}/tables", month, database=database, buckets=8
+        )
+    branches, companies = (
+        spark.table(done.catalog[n]).filter(F.col(sink.SNAPSHOT) == "2025-10") for n in ("estabelecimento", "empresa")
     )
-    branches, companies = (spark.table(done.catalog[n]) for n in ("estabelecimento", "empresa"))
     return branches.select("cnpj_basico", "nome_fantasia").join(
         companies.select("cnpj_basico", "razao_social"), "cnpj_basico"
     )

@@ -236,3 +236,9 @@ LOOKUP_COLUMNS = {
     "empresa": ("natureza_juridica",),
     "socios": ("cpf_cnpj_socio",),
 }
+
+# Texts that searches look into.
+SEARCH_COLUMNS = {
+    "estabelecimento": ("nome_fantasia",),
+    "empresa": ("razao_social",),
+}

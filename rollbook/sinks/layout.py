@@ -6,15 +6,19 @@ Run on tables that have been written: the input is a plain file scan.
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.sinks.tables import SNAPSHOT
+
 log = logging.getLogger(__name__)
 
 # A key with more than this share of an average bucket's rows makes the bucket a
 # hot spot, which a bucketed join cannot split.
 MAX_KEY_SHARE = 0.5
+BUCKET_BYTES = 256 << 20  # of files of the largest table, by which buckets are counted
 
 
 def cluster(df: DataFrame, path: str, by: list[str], partition_by: list[str] | None = None,
@@ -69,18 +73,43 @@ def _save(df: DataFrame, name: str, path: str | None, buckets: int | None = None
     writer.saveAsTable(name)
 
 
-def lookup_copies(df: DataFrame, out_path: str, columns: list[str]) -> tuple[dict[str, str], dict[str, str]]:
-    """One clustered copy of a written table per lookup column: (paths, failures) by column.
+def bucket_count(size: int) -> int:
+    """A power of two, so that tables of other counts still meet without a shuffle."""
+    return 1 << max(0, -(-size // BUCKET_BYTES) - 1).bit_length()
+
+
+def keep_snapshot(df: DataFrame, name: str, path: str, snapshot: str, key: str | None = None,
+                  buckets: int = 1) -> str:
+    """Replace one snapshot of a catalog table, made if it is not there; the others stay.
 
-    As with secondary indexes, a copy that fails does not stop the others.
+    With ``key`` a new table is bucketed and sorted by it; one in which a key is so frequent that
+    its bucket would be a hot spot is made without buckets, with a log line.  A table
+    keeps the buckets it was made with.  Returns its name.
     """
-    done, failed = {}, {}
-    for column in columns:
-        target = f"{out_path.rstrip('/')}/by_{column}"
-        try:
-            cluster(df, target, [column], bloom=[column])
-        except Exception as error:  # noqa: BLE001 - returned, the rest goes on
-            failed[column] = str(error)
-        else:
-            done[column] = target
-    return done, failed
+    spark = df.sparkSession
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    if not spark.catalog.tableExists(name):
+        spread = ""
+        if key:
+            share = hottest_share(df, key)
+            if share > MAX_KEY_SHARE / buckets:
+                log.warning("%s is not bucketed: one %s has %.2f %% of the rows", name, key, 100 * share)
+            else:
+                spread = f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS"
+        spark.sql(f"CREATE TABLE {name} ({columns}, `{SNAPSHOT}` string) USING parquet "
+                  f"PARTITIONED BY (`{SNAPSHOT}`) {spread} LOCATION '{path}'")
+    made = int({r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+               .get("Num Buckets", 0))
+    if made:
+        # As many tasks as buckets, on the same hash: one file per bucket.
+        df = df.repartition(made, key)
+    elif key:
+        df = df.hint("rebalance", F.col(key)).sortWithinPartitions(key)
+    view = f"snapshot_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        names = ", ".join(f"`{c}`" for c in df.columns)
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{SNAPSHOT}` = '{snapshot}') SELECT {names} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+    return name

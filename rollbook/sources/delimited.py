@@ -26,6 +26,8 @@ LONG_RECORD = "long_record"
 _CORRUPT = "_corrupt_record"
 _TOO_LONG = "_too_long"
 
+OPEN_CELL = "a quoted cell is left open at the end of the line"
+
 NAMED_FILES = 1000  # so many files with line breaks are named in the plan, more are joined
 
 SNAPSHOT_IN_PATH = r"(\d{4}-\d{2})(?:/|$)"
@@ -76,7 +78,7 @@ def parse_records(found: DataFrame, table: Table, sep: str) -> DataFrame:
     a quoted cell.  A null record was too long to be one; it stays without cells."""
     schema = ", ".join(f"`{f.name}` string" for f in parsed_schema(table).fields)
     cells = F.from_csv("record", schema, csv_options(sep)).alias("cells")
-    note = F.when(F.col("record").isNull(), F.concat(
+    note = F.when(F.col("chars") < 0, F.lit(OPEN_CELL)).when(F.col("record").isNull(), F.concat(
         F.lit("record of "), F.col("chars").cast("string"), F.lit(" characters in the split at byte "),
         F.col("at").cast("string"),
     ))
@@ -102,13 +104,20 @@ def finish_scan(parsed: DataFrame, table: Table, sep: str) -> DataFrame:
     )
 
 
-def plain_records(lines: DataFrame) -> DataFrame:
-    """(path, at, chars, record): a record per line, blank lines skipped."""
+def plain_records(lines: DataFrame, mark_open: str | None = None) -> DataFrame:
+    """(path, at, chars, record): a record per line, blank lines skipped.
+
+    ``mark_open``, a separator, has lines that may go on in the next one without a record
+    and with -1 characters: their file is to be read again for line breaks in cells.
+    """
     record = F.regexp_replace("line", "\r$", "")
     record = F.when(F.col("line").endswith("\r"), record).otherwise(F.col("line"))
+    chars = F.length("line").cast("long")
+    if mark_open is not None:
+        opened = may_continue(F.col("line"), mark_open)
+        record, chars = F.when(~opened, record), F.when(opened, F.lit(-1).cast("long")).otherwise(chars)
     return lines.filter(F.trim(F.translate("line", "\r", "")) != "").select(
-        "path", F.col("start").alias("at"), F.length("line").cast("long").alias("chars"),
-        record.alias("record"),
+        "path", F.col("start").alias("at"), chars.alias("chars"), record.alias("record"),
     )
 
 
@@ -133,16 +142,21 @@ def scan_delimited(
     encoding: str = "ISO-8859-1",
     multi_line: bool | None = None,
     broken: Sequence[str] | None = None,
+    mark_open: bool = False,
 ) -> DataFrame:
     """All files of a table as one DataFrame of text columns.
 
     ``multi_line`` None finds out which files have line breaks in cells; True takes all
     to have some and False none.  ``broken`` names those files if that is known already.
+    With ``mark_open`` files without line breaks are read once: a line that may go on in
+    the next one becomes a row with OPEN_CELL as its ``long_record``.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = read_lines(spark, paths, encoding)
     folder = workspace(spark, "scan")
-    if multi_line is not None:
+    if mark_open:
+        found = plain_records(lines, sep)
+    elif multi_line is not None:
         found = broken_records(lines, sep, folder) if multi_line else plain_records(lines)
     else:
         hits, names = (None, list(broken)) if broken is not None else broken_files(spark, paths, sep, encoding)

@@ -2,6 +2,8 @@
 
 import glob
 import os
+import subprocess
+import sys
 from collections import Counter
 
 import duckdb
@@ -33,6 +35,16 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
+@pytest.mark.parametrize("absent", ["zstandard", "corpus_pipeline", "rollbook.llm"])
+def test_registry_queries_without_the_corpus_part(absent):
+    """The entry imports where a package of the corpus part, or that part itself, is missing."""
+    code = (f"import sys; sys.modules[{absent!r}] = None; import __spark_entry__ as e; "
+            "print(sorted(e.queries()) == sorted(e.QUERIES))")
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=False,
+                         cwd=os.path.dirname(os.path.abspath(entry.__file__)))
+    assert run.stdout.strip().endswith("True"), run.stderr
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     df = QUERIES[name](spark, SF)

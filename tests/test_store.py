@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from rollbook import session as ses
 from rollbook.operators.relate import join_facts
-from rollbook.plans import check_files, load  # noqa: F401 - registers
+from rollbook.plans import check_files, load, publish  # noqa: F401 - registers
 from rollbook.plans.registered import QUERIES
-from rollbook.schema import LOOKUP_COLUMNS, REGISTRY
+from rollbook.schema import REGISTRY
 from rollbook.sinks import layout, tables
 from rollbook.streaming import files as stream
 
@@ -163,15 +163,6 @@ def test_a_hot_value_is_written_by_many_tasks(spark, tmp_path):
     assert back.select("_metadata.file_path").distinct().count() > 3
 
 
-def test_lookup_copies_go_on_after_a_failure(spark, tmp_path):
-    df = spark.range(50).selectExpr("id", "'SP' AS uf")
-    made, failed = layout.lookup_copies(df, str(tmp_path / "o"), ["nope", "uf"])
-    assert list(made) == ["uf"] and list(failed) == ["nope"]
-    assert spark.read.parquet(made["uf"]).count() == 50
-    for table, columns in LOOKUP_COLUMNS.items():
-        assert set(columns) <= set(REGISTRY[table].columns)
-
-
 def test_stream_equals_batch(spark, tmp_path):
     folder, out = tmp_path / "in", str(tmp_path / "out")
     first = ['"1";"S";"20070701";"00000000";"N";"";""', '"2";"SIM";"";"";"a\nb";"";""']
@@ -253,21 +244,21 @@ def test_bucketed_join_needs_no_shuffle(spark, plan):
 def test_a_failed_run_is_repeated(spark, tmp_path, monkeypatch):
     raw, out = tmp_path / "raw", str(tmp_path / "o")
     write(raw / "K1.PAISCSV", ['"1";"A"'])
-    whole = load.load_table
-    monkeypatch.setattr(load, "load_table", lambda *a, **k: 1 / 0)
+    whole = publish.write_parts
+    monkeypatch.setattr(publish, "write_parts", lambda *a, **k: 1 / 0)
     with pytest.raises(ZeroDivisionError):
-        load.load_changed(spark, str(raw), out, "2025-10")
-    monkeypatch.setattr(load, "load_table", whole)
-    assert load.load_changed(spark, str(raw), out, "2025-10").counts == {"pais": (1, 0)}
-    assert load.load_changed(spark, str(raw), out, "2025-10").counts == {}
+        publish.load_changed(spark, str(raw), out, "2025-10")
+    monkeypatch.setattr(publish, "write_parts", whole)
+    assert publish.load_changed(spark, str(raw), out, "2025-10").counts == {"pais": (1, 0)}
+    assert publish.load_changed(spark, str(raw), out, "2025-10").counts == {}
     os.remove(raw / "K1.PAISCSV")
     write(raw / "K2.PAISCSV", ['"1";"A"', '"2";"B"'])
-    assert load.load_changed(spark, str(raw), out, "2025-10").counts == {"pais": (2, 0)}
+    assert publish.load_changed(spark, str(raw), out, "2025-10").counts == {"pais": (2, 0)}
     os.remove(raw / "K2.PAISCSV")
     write(raw / "K2.MOTICSV", ['"1";"A"'])
-    counts = load.load_changed(spark, str(raw), out, "2025-10").counts
+    counts = publish.load_changed(spark, str(raw), out, "2025-10").counts
     assert counts == {"moti": (1, 0), "pais": (0, 0)}
-    assert load.read_table(spark, out, REGISTRY["pais"], "2025-10").count() == 0
+    assert publish.read_table(spark, out, REGISTRY["pais"], "2025-10").count() == 0
 
 
 def test_tables_whose_archives_are_gone_or_shrunken_are_emptied(spark, tmp_path):
@@ -280,22 +271,22 @@ def test_tables_whose_archives_are_gone_or_shrunken_are_emptied(spark, tmp_path)
                 archive.writestr(member, text)
 
     def run():
-        return load.load_changed(spark, str(raw), out, "2025-10", database="archives").counts
+        return publish.load_changed(spark, str(raw), out, "2025-10", database="archives").counts
 
     def rows(name):
-        return load.read_table(spark, out, REGISTRY[name], "2025-10").count()
+        return publish.read_table(spark, out, REGISTRY[name], "2025-10").count()
 
     pack("a.zip", K1PAISCSV='"1";"A"\n', K1MOTICSV='"1";"A"\n"2";"B"\n')
     pack("b.zip", K1MUNICCSV='"1";"A"\n')
     assert run() == {"pais": (1, 0), "moti": (2, 0), "munic": (1, 0)}
     pack("a.zip", K1PAISCSV='"1";"A"\n"2";"B"\n')  # one member fewer
-    assert run() == {"pais": (2, 0), "moti": (0, 0), "munic": (1, 0)}
+    assert run() == {"pais": (2, 0), "moti": (0, 0)}  # the other archive is left alone
     assert (rows("pais"), rows("moti"), rows("munic")) == (2, 0, 1)
     os.remove(raw / "b.zip")
     assert run()["munic"] == (0, 0) and rows("munic") == 0 and rows("pais") == 2
     assert spark.table("archives.munic").count() == 0
     write(raw / "K9.MUNICCSV", ['"1";"A"'])
     os.remove(raw / "a.zip")
-    assert run() == {"munic": (1, 0), "pais": (0, 0), "moti": (0, 0)}
+    assert run() == {"munic": (1, 0), "pais": (0, 0)}  # moti was empty before
     assert rows("pais") == 0 and spark.table("archives.pais").count() == 0
     assert run() == {}
