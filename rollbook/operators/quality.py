@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions import clean
-from rollbook.operators.relate import is_text
+from rollbook.operators.relate import is_text, listed_codes
 from rollbook.operators.shape import REASONS, REJECTED, typed_cell
 from rollbook.schema import LINKS, TEXT, Link, Table
 
@@ -127,9 +127,14 @@ def orphan_counts(
 
 def check_links(tables: Mapping[str, DataFrame], links: Sequence[Link] = LINKS) -> DataFrame:
     """(link, n_keys, n_rows) of the references that lead nowhere, for every link between
-    the given tables; ``link`` is child.column."""
+    the given tables; ``link`` is child.column.  Listed codes refer one by one."""
+
+    def child(k: Link) -> DataFrame:
+        rows = tables[k.child]
+        return rows.select(F.explode(listed_codes(F.col(k.column))).alias(k.column)) if k.listed else rows
+
     return orphan_counts([
-        (f"{k.child}.{k.column}", tables[k.child], k.column, tables[k.parent], k.key)
+        (f"{k.child}.{k.column}", child(k), k.column, tables[k.parent], k.key)
         for k in links
         if k.child in tables and k.parent in tables
     ])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -59,14 +60,44 @@ def decode(fact: DataFrame, codes: DataFrame, column: str, into: str,
     return join_list(fact, side, value == F.col(probe)).drop(probe)
 
 
+def listed_codes(text: Column, sep: str = ",") -> Column:
+    """The codes in a text, blanks left out."""
+    return F.filter(F.transform(F.split(text, re.escape(sep)), lambda c: F.trim(c)), lambda c: c != "")
+
+
+def decode_list(fact: DataFrame, codes: DataFrame, column: str, into: str, key: str = "codigo",
+                name: str = "nome", sep: str = ",") -> DataFrame:
+    """Add the descriptions of a text that lists codes, as an array in the order of the codes.
+
+    An unknown or unreadable code has a null in its place, a repeated one is repeated, blanks
+    between separators are left out; a null text has a null, one of blanks no descriptions.
+    Each different text is taken apart and put together once, map-side first, so a text that
+    many rows share costs one row, and rows without codes take no part.
+    """
+    texts = fact.filter(F.col(column).isNotNull()).select(F.col(column).alias("__list")).distinct()
+    listed = texts.select("__list", F.posexplode(listed_codes(F.col("__list"), sep)).alias("__at", "__code"))
+    kind = codes.schema[key].dataType
+    code = F.col("__code") if is_text(codes, key) else to_whole(F.col("__code"), kind)
+    side = codes.select(F.col(key).alias("__key"), F.col(name).alias("__name"))
+    named = join_list(listed, side, code == F.col("__key"))
+    back = named.groupBy("__list").agg(
+        F.sort_array(F.collect_list(F.struct("__at", "__name"))).alias("__names")  # one text's codes
+    )
+    found = fact.join(back, F.col(column) == F.col("__list"), "left")
+    names = F.transform("__names", lambda n: n["__name"])
+    nothing = F.when(F.col(column).isNotNull(), F.array().cast("array<string>"))
+    return found.select(*fact.columns, F.coalesce(names, nothing).alias(into))
+
+
 def decode_all(tables: Mapping[str, DataFrame], name: str, links: Iterable[Link] = LINKS) -> DataFrame:
-    """A table with the description of each of its codes, as ``column_nome``; links to
-    tables that are not code lists, or not given, are left out."""
+    """A table with the description of each of its codes, as ``column_nome``, an array for
+    listed codes; links to tables that are not code lists, or not given, are left out."""
     df = tables[name]
     for link in links:
         parent = tables.get(link.parent)
         if link.child == name and parent is not None and "nome" in parent.columns:
-            df = decode(df, parent, link.column, f"{link.column}_nome", link.key)
+            add = decode_list if link.listed else decode
+            df = add(df, parent, link.column, f"{link.column}_nome", link.key)
     return df
 
 

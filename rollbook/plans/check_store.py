@@ -10,12 +10,14 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.plans import publish
+from rollbook.operators import relate
+from rollbook.plans import load, publish
 from rollbook.plans.check_files import raw_registry, write_delimited
 from rollbook.plans.registered import query, table
 from rollbook.schema import REGISTRY
 from rollbook.session import workspace
 from rollbook.sinks import versions
+from rollbook.streaming import files as stream
 
 MONTH = "2025-10"
 
@@ -231,3 +233,98 @@ def q_load_fails_half_way(spark, sf_dir):
     return spark.read.parquet(f"{folder}/failed").unionAll(counts("after the repeated load")).unionAll(
         counts("version 1", 1)
     )
+
+
+# -- parts that come one after another ---------------------------------------------------------
+
+_PADDED = "CASE WHEN p_partkey % 2 = 0 THEN lpad(CAST(p_partkey % 97 AS STRING), 4, '0') ELSE CAST(p_partkey % 97 AS STRING) END"
+
+
+def list_files(spark: SparkSession, sf_dir: str, folder: str, place: int) -> None:
+    """A file of a code list: codes come again within it and in the other files, spelled
+    otherwise too."""
+    rows = table(spark, sf_dir, "part").filter(f"p_partkey % 3 = {place}").selectExpr(
+        f"{_PADDED} AS codigo", "CAST(p_partkey AS STRING) || ' ' || p_name AS nome"
+    )
+    write_delimited(rows.coalesce(1), f"{folder}/K{place}.MUNICCSV")
+
+
+_FIRST_OF_KEY = """SELECT p_partkey % 97 AS code, p_partkey % 3 AS place, CAST(p_partkey AS VARCHAR) || ' ' || p_name AS nome,
+row_number() OVER (PARTITION BY p_partkey % 97 ORDER BY p_partkey % 3,
+  CASE WHEN p_partkey % 2 = 0 THEN lpad(CAST(p_partkey % 97 AS VARCHAR), 4, '0') ELSE CAST(p_partkey % 97 AS VARCHAR) END,
+  CAST(p_partkey AS VARCHAR) || ' ' || p_name) AS turn FROM part"""
+
+
+@query(f"""SELECT how, CAST(code AS INTEGER) AS codigo, nome, CAST(n AS BIGINT) AS n_rejected
+FROM (SELECT * FROM ({_FIRST_OF_KEY}) WHERE turn = 1)
+JOIN (SELECT p_partkey % 97 AS c, COUNT(*) - 1 AS n FROM part GROUP BY c) ON c = code,
+(VALUES ('streamed'), ('appended')) h(how)""")
+def q_stream_keys(spark, sf_dir):
+    """Three files of a code list, one after another, streamed and appended: a code that an
+    earlier file has brought is rejected."""
+    folder = workspace(spark, "partkeys")
+    cities = REGISTRY["munic"]
+    for place in range(3):
+        list_files(spark, sf_dir, f"{folder}/raw", place)
+        stream.load_new(spark, cities, f"{folder}/raw", f"{folder}/streamed", f"{folder}/checkpoint", MONTH)
+        load.load_table(
+            spark, cities, load.Inputs([f"{folder}/raw/K{place}.MUNICCSV"]), f"{folder}/appended", MONTH,
+            keep_existing=True,
+        )
+    parts = []
+    for how in ("streamed", "appended"):
+        rejects = load.read_rejects(spark, f"{folder}/{how}", cities, MONTH)
+        lost = rejects.filter(F.array_contains("reasons", "codigo:duplicate_key")).groupBy(
+            F.col("raw.codigo").cast("int").alias("codigo")
+        ).agg(F.count("*").alias("n_rejected"))
+        kept = load.read_table(spark, f"{folder}/{how}", cities, MONTH).select("codigo", "nome")
+        parts.append(kept.join(lost, "codigo").select(F.lit(how).alias("how"), "codigo", "nome", "n_rejected"))
+    return parts[0].unionAll(parts[1])
+
+
+@query("""SELECT 'K' || CAST(s_suppkey % 4 AS VARCHAR) || '.SIMPLES.CSV' AS file,
+COUNT(*) FILTER (WHERE s_suppkey % 9 <> 0) AS accepted, COUNT(*) FILTER (WHERE s_suppkey % 9 = 0) AS rejected,
+CASE WHEN s_suppkey % 4 < 2 THEN 1 ELSE 2 END AS run FROM supplier GROUP BY ALL""")
+def q_stream_counts(spark, sf_dir):
+    """Rows per source file of a streamed month, taken batch by batch, over two runs."""
+    folder = workspace(spark, "counts")
+    simples = REGISTRY["simples"]
+    cells = {
+        "cnpj_basico": "lpad(CAST(s_suppkey AS STRING), 12, '0')",
+        "opcao_simples": "CASE WHEN s_suppkey % 9 = 0 THEN 'SIM' ELSE 'S' END",
+    }
+    row = [f"{cells.get(c, chr(39) * 2)} AS {c}" for c in simples.columns]
+    seen: list[DataFrame] = []
+    for run, places in enumerate(((0, 1), (2, 3)), 1):
+        for place in places:
+            rows = table(spark, sf_dir, "supplier").filter(f"s_suppkey % 4 = {place}").selectExpr(*row)
+            write_delimited(rows.coalesce(1), f"{folder}/raw/K{place}.SIMPLES.CSV")
+        counts = stream.load_new(
+            spark, simples, f"{folder}/raw", f"{folder}/out", f"{folder}/checkpoint", MONTH, max_files=1
+        )
+        fresh = counts.filter(F.col("file").rlike("K[" + "".join(map(str, places)) + "]"))
+        seen.append(fresh.withColumn("run", F.lit(run)))
+    rows = seen[0].unionAll(seen[1])
+    return rows.select(F.element_at(F.split("file", "/"), -2).alias("file"), "accepted", "rejected", "run")
+
+
+# Three codes of a customer: of nations, one of them twice, with an unknown one and blanks.
+_LISTED = """CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN CAST(c_nationkey AS VARCHAR)
+WHEN 2 THEN lpad(CAST(c_nationkey AS VARCHAR), 4, '0') || ',99,' || CAST(c_custkey % 25 AS VARCHAR) || ',,' || CAST(c_nationkey AS VARCHAR)
+WHEN 3 THEN ' ' || CAST(c_custkey % 25 AS VARCHAR) || ' ,x' END"""
+
+
+@query(f"""WITH listed AS (SELECT c_custkey, {_LISTED} AS codes FROM customer),
+parts AS (SELECT c_custkey, unnest(string_split(codes, ',')) AS code,
+  unnest(range(0, len(string_split(codes, ',')))) AS place FROM listed)
+SELECT listed.c_custkey, CASE WHEN listed.codes IS NOT NULL THEN coalesce(string_agg(coalesce(n_name, '?'), '|' ORDER BY place)
+  FILTER (WHERE trim(code) <> ''), '') END AS names
+FROM listed LEFT JOIN parts ON parts.c_custkey = listed.c_custkey
+LEFT JOIN nation ON n_nationkey = TRY_CAST(trim(code) AS INTEGER) GROUP BY listed.c_custkey, listed.codes""")
+def q_decode_list(spark, sf_dir):
+    """Codes listed in one text, decoded in their order."""
+    rows = table(spark, sf_dir, "customer").selectExpr("c_custkey", f"{_LISTED.replace('VARCHAR', 'STRING')} AS codes")
+    named = relate.decode_list(rows, table(spark, sf_dir, "nation"), "codes", "names", "n_nationkey", "n_name")
+    return named.select(
+        "c_custkey", F.array_join(F.transform("names", lambda n: F.coalesce(n, F.lit("?"))), "|").alias("names")
+    )

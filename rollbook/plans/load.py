@@ -11,9 +11,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollbook.operators.shape import RAW, REASONS, REJECTED, typed_with_reasons
+from rollbook.operators import keys
+from rollbook.operators.relate import small_side
+from rollbook.operators.shape import RAW, REASONS, REJECTED, duplicate_reason, typed_with_reasons
 from rollbook.schema import LOAD_ORDER, REGISTRY, Table
+from rollbook.session import workspace
 from rollbook.sinks import tables as sink
+from rollbook.sinks import versions
 from rollbook.sources.archive import list_members, scan_members
 from rollbook.sources.delimited import LONG_RECORD, SOURCE_FILE, broken_files, scan_delimited
 from rollbook.sources.files import base_name, empty_files, list_files, plain_path, route
@@ -86,16 +90,53 @@ def scan(spark: SparkSession, table: Table, inputs: Inputs, **options: object) -
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def stored_keys(spark: SparkSession, out_path: str, table: Table, snapshot: str, part: str) -> DataFrame | None:
+    """The keys of a month's accepted rows, in all its parts but the one that ``part`` names."""
+    target = f"{out_path.rstrip('/')}/{table.name}"
+    if not versions.exists(spark, target):
+        return None
+    rows = read_table(spark, out_path, table, snapshot)
+    return rows.filter(F.col(sink.SNAPSHOT) != part).select(table.primary_key)
+
+
+def reject_known(spark: SparkSession, checked: DataFrame, table: Table, known: DataFrame) -> DataFrame:
+    """Checked rows, those with a key of ``known`` rejected.  The rows are written once in
+    between, so that their source is read once; tables with a key are code lists, or as narrow."""
+    folder = workspace(spark, f"keys-{table.name}")
+    checked.write.parquet(f"{folder}/rows")
+    rows = spark.read.schema(checked.schema).parquet(f"{folder}/rows")
+    key = table.primary_key
+    good = rows.filter(~F.col(REJECTED))
+    keys.shared_keys(good, known, key).withColumnRenamed(key, "__taken").write.parquet(f"{folder}/taken")
+    # Written, so that its size is known: broadcast if small, else a shuffled join.
+    taken = small_side(spark.read.parquet(f"{folder}/taken"))
+    again = ~F.col(REJECTED) & F.col("__taken").isNotNull()
+    flagged = rows.join(taken, F.col(key) == F.col("__taken"), "left").withColumn("__again", again)
+    reason = F.array(F.lit(duplicate_reason(table)))
+    return flagged.withColumn(REASONS, F.when(F.col("__again"), reason).otherwise(F.col(REASONS))).withColumn(
+        REJECTED, F.col(REJECTED) | F.col("__again")
+    ).withColumn(RAW, F.when(F.col(REJECTED), F.col(RAW))).select(*checked.columns)
+
+
 def load_table(spark: SparkSession, table: Table, inputs: Inputs, out_path: str, snapshot: str,
-               keep_existing: bool = False, **options: object) -> tuple[int, int]:
+               keep_existing: bool = False, month: str | None = None, **options: object) -> tuple[int, int]:
     """One pass from raw files to one snapshot of a table.
 
     Accepted and rejected rows go into the same files, told apart by ``rejected``;
     nothing is read or cleaned twice, and the counts are taken on the way.
+
+    Rows that join others, by ``keep_existing`` or as a part of ``month``, are also rejected
+    if one of those has their primary key: what is stored stays.
     """
     seen = Observation(f"load {table.name}")
-    checked = typed_with_reasons(scan(spark, table, inputs, **options), table, SOURCE_FILE, unique=True)
-    checked = checked.select([f.name for f in stored_schema(table).fields]).observe(
+    joins = table.primary_key is not None and (keep_existing or month is not None)
+    known = stored_keys(spark, out_path, table, month or snapshot, "" if keep_existing else snapshot) if joins else None
+    found = scan(spark, table, inputs, **options)
+    checked = typed_with_reasons(found, table, SOURCE_FILE, unique=True, keep_raw=known is not None)
+    checked = checked.select([f.name for f in stored_schema(table).fields])
+    if known is not None:
+        checked = reject_known(spark, checked, table, known)
+    checked = checked.observe(
         seen,
         F.count_if(~F.col(REJECTED)).alias("accepted"),
         F.count_if(REJECTED).alias("rejected"),

@@ -40,12 +40,14 @@ class Field:
 
 @dataclass(frozen=True)
 class Link:
-    """Many-to-one reference from ``child.column`` to ``parent.key``."""
+    """Many-to-one reference from ``child.column`` to ``parent.key``; of each code in the
+    column's text if that is ``listed``, with commas."""
 
     child: str
     column: str
     parent: str
     key: str
+    listed: bool = False
 
 
 @dataclass(frozen=True)
@@ -216,7 +218,7 @@ LOAD_ORDER = (
 LINKS = (
     Link("empresa", "natureza_juridica", "natju", "codigo"),
     Link("estabelecimento", "cnae_fiscal_principal", "cnae", "codigo"),
-    Link("estabelecimento", "cnae_fiscal_secundaria", "cnae", "codigo"),
+    Link("estabelecimento", "cnae_fiscal_secundaria", "cnae", "codigo", listed=True),
     Link("estabelecimento", "pais", "pais", "codigo"),
     Link("socios", "pais", "pais", "codigo"),
     Link("estabelecimento", "municipio", "munic", "codigo"),

@@ -5,7 +5,7 @@ from urllib.parse import urljoin
 import pytest
 from pyspark.sql import functions as F
 
-from rollbook.operators import manifest, pages, quality, relate, shape
+from rollbook.operators import keys, manifest, pages, quality, relate, shape
 from rollbook.plans.search import REPORT_COLUMNS, branch_report, branch_search
 from rollbook.schema import LINKS, LOAD_ORDER, REGISTRY, code_list
 
@@ -212,3 +212,52 @@ def test_branch_report(registry):
     got = branch_report(*registry, postcode="06122002")
     assert got.columns == [*REPORT_COLUMNS, "nome_municipio"]
     assert [(r["razao_social"], r["nome_municipio"]) for r in got.collect()] == [("Firma 1", "OSASCO")]
+
+
+# -- keys of parts, listed codes --------------------------------------------------------------
+
+def test_key_filters_let_all_known_keys_through(spark):
+    stored = spark.range(0, 5000).selectExpr("CASE WHEN id % 500 = 0 THEN NULL ELSE id * 7 END AS k")
+    new = spark.range(0, 40_000).selectExpr("id AS k", "'x' AS other")
+    for bits in (1 << 15, 1 << 18):
+        through = keys.let_through(new, "k", keys.key_filter(stored, "k", bits), bits)
+        assert through.columns == ["k", "other"]
+        want = {r["k"] for r in stored.collect()} - {None}
+        got = {r["k"] for r in through.collect()}
+        assert {k for k in want if k < 40_000} <= got and len(got) < 40_000 * (0.2 if bits > 1 << 15 else 0.3)
+    shared = keys.shared_keys(new, stored, "k", 1 << 15)
+    assert sorted(r["k"] for r in shared.collect()) == sorted(k for k in want if k < 40_000)
+    assert keys.shared_keys(new, stored.limit(0), "k").count() == 0
+    texts = new.selectExpr("CAST(k AS STRING) AS k")
+    assert keys.shared_keys(texts, texts.filter("k LIKE '%77%'"), "k").count() == texts.filter("k LIKE '%77%'").count()
+
+
+def test_key_filters_are_broadcast_and_bounded(spark, plan):
+    stored, new = spark.range(0, 300_000).toDF("k"), spark.range(200_000, 500_000).toDF("k")
+    built = keys.key_filter(stored, "k")
+    assert built.count() <= keys.BITS // (1 << 15)
+    assert "BroadcastHashJoin" in plan(keys.let_through(new, "k", built))
+
+
+def test_listed_codes_are_decoded_in_order(spark):
+    rows = [(1, "2,1,2"), (2, "0001, 9 ,x"), (3, ""), (4, " , ,"), (5, None), (6, "2,1,2"), (7, "3000000000")]
+    fact = spark.createDataFrame(rows, "id int, codes string")
+    codes = spark.createDataFrame([(1, "one"), (2, "two"), (None, "none")], "codigo int, nome string")
+    got = {r["id"]: r["names"] for r in relate.decode_list(fact, codes, "codes", "names").collect()}
+    assert got == {1: ["two", "one", "two"], 2: ["one", None, None], 3: [], 4: [], 5: None, 6: ["two", "one", "two"],
+                   7: [None]}
+    none = relate.decode_list(fact.limit(0), codes, "codes", "names")
+    assert none.count() == 0 and none.columns == ["id", "codes", "names"]
+
+
+def test_declared_links_know_listed_codes(spark):
+    cnae = spark.createDataFrame([(1, "one"), (2, "two")], "codigo int, nome string")
+    branches = spark.createDataFrame([("a", 1, "2,7,7"), ("b", 5, None)],
+                                     "cnpj_basico string, cnae_fiscal_principal int, cnae_fiscal_secundaria string")
+    tables = {"estabelecimento": branches, "cnae": cnae}
+    got = relate.decode_all(tables, "estabelecimento").collect()
+    assert sorted((r["cnae_fiscal_principal_nome"] or "", r["cnae_fiscal_secundaria_nome"]) for r in got) == [
+        ("", None), ("one", ["two", None, None])]
+    lost = {r["link"]: (r["n_keys"], r["n_rows"]) for r in quality.check_links(tables).collect()}
+    assert lost["estabelecimento.cnae_fiscal_secundaria"] == (1, 2)
+    assert lost["estabelecimento.cnae_fiscal_principal"] == (1, 1)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rollbook import session as ses
 from rollbook.operators.relate import join_facts
+from rollbook.operators.shape import typed_with_reasons
 from rollbook.plans import check_files, load, publish  # noqa: F401 - registers
 from rollbook.plans.registered import QUERIES
 from rollbook.schema import REGISTRY
@@ -183,6 +184,40 @@ def test_stream_equals_batch(spark, tmp_path):
     assert load.read_table(spark, out, SIMPLES, "2025-11").count() == 0
 
 
+def test_streamed_and_appended_keys_are_unique(spark, tmp_path):
+    cities, raw, out = REGISTRY["munic"], tmp_path / "in", str(tmp_path / "out")
+    run = lambda: {
+        r["file"].rsplit("/", 1)[1]: (r["accepted"], r["rejected"]) for r in
+        stream.load_new(spark, cities, str(raw), out, str(tmp_path / "cp"), "2025-10").collect()
+    }
+    write(raw / "one.csv", ['"013";"A"', '"7";"SEVEN"', '"";"none"'])
+    assert run() == {"one.csv": (2, 1)}
+    write(raw / "two.csv", ['"13";"B"', '"8";"EIGHT"', '"008";"AGAIN"'])
+    assert run() == {"one.csv": (2, 1), "two.csv": (1, 2)}
+    # the second batch once more, as after a failure: its own rows are no reason to reject it
+    again = load.load_table(spark, cities, load.Inputs([str(raw / "two.csv")]), out, "2025-10.000001", month="2025-10")
+    assert again == (1, 2)
+    kept = load.read_table(spark, out, cities, "2025-10").collect()
+    assert sorted((r["codigo"], r["nome"]) for r in kept) == [(7, "SEVEN"), (8, "AGAIN"), (13, "A")]
+    bad = load.read_rejects(spark, out, cities, "2025-10").collect()
+    assert sorted((r["raw"]["codigo"] or "", r["reasons"][0]) for r in bad) == [
+        ("", "codigo:null_key"), ("13", "codigo:duplicate_key"), ("8", "codigo:duplicate_key")]
+    appended = str(tmp_path / "appended")
+    for name, want in (("one.csv", (2, 1)), ("two.csv", (1, 2)), ("two.csv", (0, 3))):
+        inputs = load.Inputs([str(raw / name)])
+        assert load.load_table(spark, cities, inputs, appended, "2025-10", keep_existing=True) == want
+    stored = load.read_table(spark, appended, cities, "2025-10")
+    assert sorted(r["codigo"] for r in stored.collect()) == [7, 8, 13]
+    assert spark.read.parquet(f"{appended}/munic").filter("NOT rejected AND raw IS NOT NULL").isEmpty()
+
+
+def test_rows_without_a_key_are_dealt_over_many_groups(spark, plan):
+    raw = spark.range(1000).selectExpr("CAST(NULL AS STRING) AS codigo", "CAST(id AS STRING) AS nome", "'f' AS source_file")
+    checked = typed_with_reasons(raw, REGISTRY["munic"], "source_file", unique=True)
+    assert checked.filter("rejected").count() == 1000
+    assert "Window" in plan(checked) and "xxhash64(" in plan(checked)
+
+
 def test_odd_inputs_of_a_load(spark, tmp_path):
     """Files without bytes, folders named like tables, keys that repeat."""
     raw, out = tmp_path / "raw", str(tmp_path / "o")
