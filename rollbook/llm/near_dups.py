@@ -9,10 +9,11 @@
    star edges go from it to the other members.  They are confirmed on the full shingle
    sets, in groups of one hub and some members, so a popular hub is shared by many tasks.
 4. A bucket whose members now are in one component is done, which settles nearly all,
-   and large groups of near copies first.  The others are settled in blocks of bounded
-   size: an inverted index of the full sets compares the members outside the block's
-   largest component with all its members, and only links that join two components come
-   out.  A bucket of several blocks is compared block by block.
+   and large groups of near copies first.  Buckets that are too large for one block get
+   further stars, from members of their largest component to those outside.  Then the rest is
+   settled in blocks of bounded size: an inverted index of the full sets compares the
+   members outside a bucket's largest component with all its members, and only links
+   that join two components come out.
 
 So every two different sets that share a bucket are either compared on their full sets
 or already connected.  Nothing is capped or sampled, and no list of pairs is made.
@@ -43,6 +44,7 @@ ROWS = 6  # signature values in a band
 SIMILARITY = 80  # percent
 GROUP = 64  # members confirmed against one copy of their hub's set
 BLOCK = 2_000_000  # shingles of a bucket that one task compares at a time
+TURNS = 5  # of further stars in larger buckets, at most
 SHINGLE_WORDS = 5
 
 
@@ -209,68 +211,133 @@ def star_edges(members: DataFrame, similarity: int, folder: str) -> DataFrame:
     )
 
 
-def settle(members: DataFrame, labels: DataFrame, texts: DataFrame, words: int, similarity: int,
-           folder: str) -> DataFrame:
-    """Links (a, b) between the components that still meet in a bucket."""
+def in_components(members: DataFrame, labels: DataFrame, turn: int, folder: str) -> DataFrame:
+    """Members of the buckets that hold several components: (key, node, n, label), and of
+    the bucket the shingles of all members (total) and of those outside the component with most
+    members (outside), that component (main), and a member of it, another in each turn (hub,
+    hub_n)."""
     labelled = save(
         members.join(labels, "node", "left").select(
             "key", "node", "n", F.coalesce("label", "node").alias("label")
         ),
         f"{folder}/labelled",
     )
+    parts = labelled.groupBy("key", "label").agg(
+        F.count("*").alias("c"), F.sum("n").alias("s"),
+        F.min_by(F.struct("node", "n"), F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("hub"),
+    )
+    buckets = parts.groupBy("key").agg(
+        F.max(F.struct("c", "label", "s", "hub")).alias("main"), F.sum("s").alias("total"),
+        F.count("*").alias("components"),
+    )
     unsettled = save(
-        labelled.groupBy("key")
-        .agg(
-            F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"),
-            F.min("label").alias("least"), F.max("label").alias("most"),
-        )
-        .filter("least <> most").select("key", "blocks"),
+        buckets.filter("components > 1").select(
+            "key", "total", (F.col("total") - F.col("main.s")).alias("outside"), F.col("main.label").alias("main"),
+            F.col("main.hub.node").alias("hub"), F.col("main.hub.n").alias("hub_n"),
+        ),
         f"{folder}/unsettled",
     )
-    block = F.pmod(F.xxhash64("node", "key"), "blocks").cast("int")
-    dealt = (
-        labelled.join(unsettled, "key")
-        .select("key", "node", "label", block.alias("own"),
-                F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"),
-                "node", "label")
+    return save(labelled.join(unsettled, "key"), f"{folder}/held")
+
+
+def more_stars(spark: SparkSession, members: DataFrame, links: DataFrame, texts: DataFrame, words: int,
+               similarity: int, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The links with those of further stars in buckets too large for one block, and the members
+    of buckets that are not settled then.
+
+    In each turn the members outside the largest component of such a bucket are compared with one
+    member of it, another in every turn and bucket.  A family of texts about as alike as asked
+    so comes together in a few turns, each of which moves an outside member once per bucket.
+    The turns end when they no longer halve the members outside.
+    """
+    turn, before = 0, None
+    while True:
+        labels = components(spark, links, f"{folder}/components-{turn}")
+        held = in_components(members, labels, turn, f"{folder}/turn-{turn}")
+        large = held.filter(F.col("total") > BLOCK)
+        if turn == TURNS or large.isEmpty():
+            return links, held
+        fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * similarity
+        edges = save(
+            large.filter((F.col("label") != F.col("main")) & fits).select("hub", F.col("node").alias("member")).distinct(),
+            f"{folder}/edges-{turn}",
+        )
+        outside = edges.count()
+        if outside == 0 or (before is not None and 2 * outside > before):
+            return links, held
+        before = outside
+        found = confirm(edges, texts, words, similarity, f"{folder}/confirm-{turn}")
+        links = save(links.union(found), f"{folder}/links-{turn}")
+        turn += 1
+
+
+BASE, PROBE, BOTH = 0, 1, 2  # what a member is to the others of its group
+
+
+def settle(held: DataFrame, texts: DataFrame, words: int, similarity: int, folder: str) -> DataFrame:
+    """Links (a, b) between the components that still meet in a bucket.
+
+    A bucket of one block is one group.  In a larger one only the members outside its largest
+    component are compared with all: each block of those with each block of the bucket.
+    """
+    blocks = F.ceil(F.col("total") / BLOCK).cast("int")
+    probes = F.ceil(F.col("outside") / BLOCK).cast("int")
+    outside = F.col("label") != F.col("main")
+    held = held.withColumn("blocks", blocks).withColumn("probes", probes)
+    single = held.filter("blocks = 1").select(
+        "key", F.lit(0).alias("one"), F.lit(0).alias("two"), "node", "label",
+        F.when(outside, BOTH).otherwise(BASE).alias("role"),
+    )
+    place = F.xxhash64("node", "key")
+    base = held.filter("blocks > 1").select(
+        "key", F.explode(F.sequence(F.lit(0), F.col("probes") - 1)).alias("one"),
+        F.pmod(place, "blocks").cast("int").alias("two"), "node", "label", F.lit(BASE).alias("role"),
+    )
+    probe = held.filter((F.col("blocks") > 1) & outside).select(
+        "key", F.pmod(place, "probes").cast("int").alias("one"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("two"), "node", "label", F.lit(PROBE).alias("role"),
     )
+    dealt = save(single.unionByName(base).unionByName(probe), f"{folder}/dealt")
     grouped = (
         dealt.join(texts, "node").repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, nodes, label, sets = None, [], [], []
+        group, nodes, label, role, sets = None, [], [], [], []
 
         def done() -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict(
-                {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())} if len(nodes) < 2 else
-                dict(zip("ab", joins(nodes, label, sets, similarity)))
+                {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())} if len(set(label)) < 2 else
+                dict(zip("ab", joins(nodes, label, role, sets, similarity)))
             )
 
         for batch in batches:
             for rows, found_texts in tx.pieces(batch):
                 found, row = word_shingles(found_texts, words)
                 bound = np.searchsorted(row, np.arange(len(found_texts) + 1))
-                columns = [rows.column(c).to_pylist() for c in ("key", "one", "two", "node", "label")]
-                for i, (*here, node, own) in enumerate(zip(*columns)):
+                columns = [rows.column(c).to_pylist() for c in ("key", "one", "two", "node", "label", "role")]
+                for i, (*here, node, own, part) in enumerate(zip(*columns)):
                     if here != group:
                         yield done()
-                        group, nodes, label, sets = here, [], [], []
+                        group, nodes, label, role, sets = here, [], [], [], []
                     nodes.append(node)
                     label.append(own)
+                    role.append(part)
                     sets.append(found[bound[i] : bound[i + 1]].copy())
         yield done()
 
     return grouped.mapInArrow(run, "a long, b long")
 
 
-def joins(nodes: list[int], labels: list[int], sets: list[np.ndarray], similarity: int) -> tuple:
-    """Links of a block that connect its components, as two arrays of nodes."""
+def joins(nodes: list[int], labels: list[int], roles: list[int], sets: list[np.ndarray], similarity: int) -> tuple:
+    """Links of a group's probes with its base that connect components, as two arrays of nodes."""
     size = np.array([len(s) for s in sets])
+    role = np.array(roles)
     value, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
-    _, place, many = np.unique(value, return_inverse=True, return_counts=True)
-    posting = owner[np.argsort(place, kind="stable")]  # owners by shingle
+    distinct, place = np.unique(value, return_inverse=True)
+    based = role[owner] != PROBE
+    many = np.bincount(place[based], minlength=len(distinct))
+    posting = owner[based][np.argsort(place[based], kind="stable")]  # base members by shingle
     first = np.cumsum(many) - many
     bound = np.concatenate([[0], np.cumsum(size)])
     parent: dict[int, int] = {}
@@ -280,10 +347,8 @@ def joins(nodes: list[int], labels: list[int], sets: list[np.ndarray], similarit
             x = parent[x] = parent[parent[x]]
         return x
 
-    names, counts = np.unique(labels, return_counts=True)
-    largest = names[counts.argmax()]
     a, b = [], []
-    for x in np.flatnonzero(np.array(labels) != largest):
+    for x in np.flatnonzero(role != BASE):
         slot = place[bound[x] : bound[x + 1]]
         length = many[slot]
         step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
@@ -337,9 +402,8 @@ def verdicts(spark: SparkSession, docs: DataFrame, words: int = SHINGLE_WORDS,
     edges = save(star_edges(members, similarity, f"{folder}/star"), f"{folder}/edges")
     found = confirm(edges, texts, words, similarity, f"{folder}/star")
     links = save(links.union(found), f"{folder}/star-links")
-    labels = components(spark, links, f"{folder}/star-components")
-    more = settle(members, labels, texts, words, similarity, f"{folder}/settle")
-    more = save(more, f"{folder}/more-links")
+    links, held = more_stars(spark, members, links, texts, words, similarity, f"{folder}/more-stars")
+    more = save(settle(held, texts, words, similarity, f"{folder}/settle"), f"{folder}/more-links")
     labels = components(spark, links.union(more), f"{folder}/all-components")
     of_class = classes.select("d1", "d2", "node").join(labels, "node", "left").select(
         "d1", "d2", F.coalesce("label", "node").alias("label")

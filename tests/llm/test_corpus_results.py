@@ -136,6 +136,28 @@ def test_families_against_brute_force(spark, monkeypatch, edits):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want
 
 
+def test_moved_texts_grow_with_a_family_not_its_square(spark, monkeypatch):
+    """Borderline families beyond a block: the members that are compared, in stars and blocks."""
+    monkeypatch.setattr(near_dups, "BLOCK", 3000)
+    real, moved = near_dups.save, []
+
+    def counting(df, path):
+        out = real(df, path)
+        if path.rsplit("/", 1)[-1].split("-")[0] in ("edges", "dealt"):
+            moved.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dups, "save", counting)
+    totals = []
+    for n in (150, 300, 600):
+        texts = {i: t for i, t in family(n, 9, 7).items() if i < n}
+        df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        moved.clear()
+        near_dups.verdicts(spark, df, words=2).count()
+        totals.append(sum(moved))
+    assert totals[1] < 2.3 * totals[0] and totals[2] < 2.3 * totals[1], totals
+
+
 def test_densified_signatures_estimate_similarity():
     rng = np.random.default_rng(5)
     bins = near_dups.BANDS * near_dups.ROWS
