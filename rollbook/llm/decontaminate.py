@@ -42,6 +42,8 @@ from rollbook.session import workspace
 
 TILE = 3  # words
 COVERAGE = 80  # percent of an item's words
+HITS = 1 << 19  # equal places of a text and an item that are looked at together
+MOST_RUNS = 200_000  # common runs of a text and an item, beyond which they are thinned
 BROADCAST_WORDS = 1_000_000  # 8 MB of fingerprints
 
 ITEMS = T.ArrayType(T.StructType([
@@ -121,43 +123,103 @@ def tile_of(n: int) -> int:
     return min(TILE, n)
 
 
-def common_runs(text: np.ndarray, item: np.ndarray) -> list[tuple[int, int, int]]:
-    """(length, place in text, place in item) of all maximal common runs of TILE words, or
-    of the whole of a shorter item."""
+def common_runs(text: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Rows (length, place in text, place in item) of the maximal common runs of TILE words, or
+    of the whole of a shorter item.
+
+    The text is taken in blocks of about HITS equal places, and runs that go on in the next
+    block are joined, so memory follows the text and the runs, not their product; of very many
+    runs ``thinned`` keeps what a tiling can use.
+    """
     tile = tile_of(len(item))
     text_prints, item_prints = fingerprints(text, tile), fingerprints(item, tile)
+    none = np.zeros((0, 3), np.int64)
     if not len(text_prints) or not len(item_prints):
-        return []
+        return none
     order = np.argsort(item_prints, kind="stable")
     ranked = item_prints[order]
     low = np.searchsorted(ranked, text_prints, "left")
     many = np.searchsorted(ranked, text_prints, "right") - low
-    at = np.repeat(np.arange(len(text_prints)), many)
-    if not len(at):
-        return []
+    total = np.cumsum(many)
+    done, n_done, open_runs = [], 0, none  # open: hits so far instead of lengths
+    begin = 0
+    while begin < len(many):
+        past = total[begin] - many[begin]
+        end = max(begin + 1, int(np.searchsorted(total, past + HITS, "right")))
+        runs = diagonal_runs(begin, low[begin:end], many[begin:end], order)
+        # On one diagonal a run that ends where this block begins goes on in it.
+        before = np.argsort(open_runs[:, 1] - open_runs[:, 2])
+        known = (open_runs[:, 1] - open_runs[:, 2])[before]
+        first = np.flatnonzero(runs[:, 1] == begin)
+        diagonal = runs[first, 1] - runs[first, 2]
+        place = np.minimum(np.searchsorted(known, diagonal), max(len(known) - 1, 0))
+        goes_on = known[place] == diagonal if len(known) else np.zeros(len(first), bool)
+        older = before[place[goes_on]]
+        runs[first[goes_on], 0] += open_runs[older, 0]
+        runs[first[goes_on], 1:] = open_runs[older, 1:]
+        over = np.ones(len(open_runs), bool)
+        over[older] = False
+        at_end = runs[:, 1] + runs[:, 0] == end
+        done += [open_runs[over], runs[~at_end]]
+        n_done += int(over.sum()) + int((~at_end).sum())
+        open_runs = runs[at_end]
+        if n_done > MOST_RUNS:
+            done = [thinned(np.concatenate(done), len(item), tile)]
+            n_done = len(done[0]) // 2  # it grows by as much again before the next time
+        begin = end
+    found = np.concatenate([*done, open_runs])
+    if len(found) > MOST_RUNS:
+        found = thinned(found, len(item), tile)
+    return found + np.array([tile - 1, 0, 0])
+
+
+def diagonal_runs(begin: int, low: np.ndarray, many: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """(hits, place in text, place in item) of the runs of equal places in a block of the text:
+    neighbours on one diagonal."""
+    at = np.repeat(np.arange(len(many)), many)
     step = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
     to = order[np.repeat(low, many) + step]
-    # On one diagonal, hits at consecutive places are one longer run.
-    order = np.lexsort((at, at - to))
-    at, to = at[order], to[order]
+    at += begin
+    rank = np.argsort((at - to).astype(np.int32 if begin + len(many) < 1 << 30 else np.int64), kind="stable")
+    at, to = at[rank], to[rank]
     new = np.ones(len(at), bool)
     new[1:] = (at[1:] != at[:-1] + 1) | (to[1:] != to[:-1] + 1)
     first = np.flatnonzero(new)
-    length = np.diff(np.append(first, len(at))) + tile - 1
-    return list(zip(length.tolist(), at[first].tolist(), to[first].tolist()))
+    return np.column_stack([np.diff(np.append(first, len(at))), at[first], to[first]])
+
+
+def thinned(runs: np.ndarray, words: int, tile: int) -> np.ndarray:
+    """Of the runs of one length at one place of an item of so many words, as many disjoint ones
+    as the item has words, and one: the tiles of an item mark that many words of a text at most, so
+    one of them stays unmarked.  Runs that have fewer disjoint ones all stay."""
+    runs = runs[np.lexsort((runs[:, 1], runs[:, 0], runs[:, 2]))]
+    length = runs[:, 0] + tile - 1
+    fresh = np.ones(len(runs), bool)
+    fresh[1:] = (runs[1:, 0] != runs[:-1, 0]) | (runs[1:, 2] != runs[:-1, 2])
+    group = np.cumsum(fresh) - 1
+    # The first that begins in the first half of each stretch of twice the length.
+    half, inside = runs[:, 1] // (2 * length), runs[:, 1] % (2 * length) < length
+    at = np.flatnonzero(inside)
+    lead = np.ones(len(at), bool)
+    lead[1:] = (group[at[1:]] != group[at[:-1]]) | (half[at[1:]] != half[at[:-1]])
+    chosen = at[lead]
+    many = np.bincount(group[chosen], minlength=group[-1] + 1)
+    rank = np.arange(len(chosen)) - np.repeat(np.cumsum(many) - many, many)
+    keep = many[group] <= words
+    keep[chosen[rank <= words]] = True
+    return runs[keep]
 
 
 def tiled(text: np.ndarray, item: np.ndarray, least: float = 0.0) -> int:
     """Words of ``item`` that greedy tiles cover, or 0 if they cannot reach ``least``."""
     found = common_runs(text, item)
     reach = np.zeros(len(item) + 1, np.int64)
-    for length, _, j in found:
-        reach[j] += 1
-        reach[j + length] -= 1
+    np.add.at(reach, found[:, 2], 1)
+    np.add.at(reach, found[:, 2] + found[:, 0], -1)
     if (np.cumsum(reach)[:-1] > 0).sum() < least:
         return 0
     in_text, in_item = np.zeros(len(text), bool), np.zeros(len(item), bool)
-    heap = [(-length, j, i) for length, i, j in found]
+    heap = [(-length, j, i) for length, i, j in found.tolist()]
     heapq.heapify(heap)
     while heap:
         length, j, i = heapq.heappop(heap)

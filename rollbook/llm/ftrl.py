@@ -12,14 +12,13 @@ class Ftrl:
     def __init__(self, n_features: int, n_outputs: int, alpha: float, beta: float, l1: float, l2: float):
         self.z = np.zeros((n_features + 1, n_outputs), np.float32)
         self.n = np.zeros((n_features + 1, n_outputs), np.float32)
-        self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
+        self.alpha, self.beta, self.l2 = alpha, beta, l2
+        self.l1 = np.full((n_features + 1, 1), l1, np.float32)
+        self.l1[-1] = 0
 
     def weights(self, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
         z, n = self.z[rows], self.n[rows]
-        l1 = np.full((len(z), 1), self.l1, np.float32)
-        last = len(self.z) - 1
-        l1[np.arange(len(self.z))[rows] == last] = 0
-        pulled = np.sign(z) * np.maximum(np.abs(z) - l1, 0)
+        pulled = np.sign(z) * np.maximum(np.abs(z) - self.l1[rows], 0)
         return -pulled / ((self.beta + np.sqrt(n)) / self.alpha + self.l2)
 
     def learn(self, rows: np.ndarray, x: np.ndarray, target: np.ndarray) -> None:

@@ -2,9 +2,9 @@
 
 Runs of one to three folded characters (letters in lower case, all else one blank) are
 hashed into BUCKETS.  Document frequencies count every document that may be learnt
-from; the weights come from FTRL with elastic net on a sample of at most about
-SAMPLE_PER_LANGUAGE documents of each language, so the one task that learns has bounded
-work; a tenth of the sample is held back to set the temperature of the probabilities.
+from; the weights come from FTRL with elastic net on a sample of at most
+SAMPLE_PER_LANGUAGE different texts of each language, bounded in rows and bytes over all
+languages too, so the one task that learns has bounded work; a tenth of the sample is held back to set the temperature of the probabilities.
 Weights and frequencies have BUCKETS rows whatever the corpus, and go to every task.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from rollbook.llm import text as tx
 from rollbook.llm.components import save
 from rollbook.llm.ftrl import Ftrl, probability, temperature
+from rollbook.llm.sample import bounded
 from rollbook.session import workspace
 
 BUCKET_BITS = 16
@@ -33,6 +34,9 @@ BUCKETS = 1 << BUCKET_BITS
 MOST = 3  # characters of a gram
 PART = 1 << 18  # characters handled at a time
 SAMPLE_PER_LANGUAGE = 1500
+LEAST_PER_LANGUAGE = 20
+SAMPLE_ROWS = 24_000  # of all languages together, where that leaves LEAST_PER_LANGUAGE
+SAMPLE_BYTES = 96 << 20  # of the texts of so many rows
 HELD_BACK = 10  # one of so many sample documents sets the temperature
 SCALE = 10.0
 EPOCHS = 2
@@ -127,8 +131,7 @@ def fit(spark: SparkSession, docs: DataFrame, usable: Column) -> dict:
     """The model, from texts and languages where ``usable`` holds."""
     folder = workspace(spark, "language")
     known = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("doc_id").cast("string").alias("name"), F.col("lang").cast("string").alias("lang"),
-        F.col("text").cast("string").alias("text"),
+        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
     )
     counts = save(known.groupBy("lang").agg(F.count("*").alias("n")), f"{folder}/languages")
     languages = sorted(r["lang"] for r in counts.collect())
@@ -136,12 +139,14 @@ def fit(spark: SparkSession, docs: DataFrame, usable: Column) -> dict:
         return {"languages": []}
     frequency, n = document_frequency(known)
     idf = (np.log((1 + n) / (1 + frequency)) + 1).astype(np.float32)
-    turn = F.xxhash64(F.coalesce("name", F.lit("")), F.lit(1))
-    chance = F.pmod(turn, F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # A written table of a row per language: Spark broadcasts it if its size allows.
-    sample = known.join(counts, "lang").filter(
-        chance * F.col("n") < F.lit(SAMPLE_PER_LANGUAGE)
-    )
+    most = max(LEAST_PER_LANGUAGE, min(SAMPLE_PER_LANGUAGE, SAMPLE_ROWS // len(languages)))
+    # Drawn by text: copies come together and are folded map-side to one.  A written table of a
+    # row per language: Spark broadcasts it if its size allows.
+    digest = F.xxhash64("text", F.lit(1))
+    chance = F.pmod(digest, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = known.join(counts, "lang").filter(chance * F.col("n") < F.lit(float(4 * most)))
+    texts = drawn.groupBy("lang", F.xxhash64("text").alias("key")).agg(F.min("text").alias("text"))
+    sample = bounded(texts, "lang", most, SAMPLE_BYTES * most // SAMPLE_ROWS, folder)
     place = {language: i for i, language in enumerate(languages)}
 
     def vector(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +189,7 @@ def fit(spark: SparkSession, docs: DataFrame, usable: Column) -> dict:
         )
 
     learnt = (
-        sample.repartition(1).sortWithinPartitions(turn, "name", "text").select("text", "lang")
+        sample.repartition(1).sortWithinPartitions(F.xxhash64("key"), "key", "lang").select("text", "lang")
         .mapInArrow(learn, "bucket long, language long, weight double")
     )
     weights, divisor = np.zeros((BUCKETS + 1, len(languages)), np.float32), 1.0

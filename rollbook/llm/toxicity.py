@@ -1,18 +1,21 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams.
 
-Features of a text are its distinct words, pairs of neighbours and pairs with one word
-between them, as 64-bit hashes.  L1 leaves few weights, which go to every task as two
+Features of a text are its distinct words, pairs of neighbours, pairs with one word between
+them and the beginnings of longer words, as inflected forms of one word share theirs, all as
+64-bit hashes.  L1 leaves few weights, which go to every task as two
 sorted arrays; the whole of every text is then scored in one pass without a shuffle.
 
 Learning reads a sample of labelled documents of bounded size (SAMPLE_TOXIC and
-SAMPLE_CLEAN rows, the first of each class in hash order), so the one task that learns
-has the same work at any scale.  The sample's share of toxic rows differs from that of
+SAMPLE_CLEAN rows, the first of each class in hash order, one of each doc_id, as long as
+their texts are at most SAMPLE_BYTES), so the one task that learns has the same work at any
+scale.    The sample's share of toxic rows differs from that of
 all labels; the intercept is corrected for it.
 
 Defined cases: words are runs of letters and digits, A-Z lower-cased; a null or empty
 text has no features and scores the base rate; labels that are null do not count, and
 of several labels of a doc_id the highest does; without any usable label every score
-is 0; rows are scored one by one, so repeated rows and null ids stay as they are; empty
+is 0; rows are scored one by one, so repeated rows and null ids stay as they are; equal
+texts have equal scores; a long text is scored whole, in memory in proportion to it; empty
 tables give empty results.  Extra columns are never read.
 """
 
@@ -23,24 +26,27 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollbook.llm import text as tx
 from rollbook.llm.components import save
 from rollbook.llm.ftrl import Ftrl
+from rollbook.llm.sample import bounded
 from rollbook.session import workspace
 
 SAMPLE_TOXIC = 4000
 SAMPLE_CLEAN = 8000
+SAMPLE_BYTES = 32 << 20  # of the texts of either class
 LEAST_DOCS = 4  # sample documents a feature must be in
-EPOCHS = 3
+STEMS = (5, 7, 9)  # bytes: longer words count by their beginnings too
+EPOCHS = 6
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.5
 THRESHOLD = 0.7
 
 
 def features(texts: tx.Texts) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of every word, pair and skip pair; repeats included."""
+    """(hash, row) of every word, pair, skip pair and stem; repeats included."""
     spans = tx.runs(texts, tx.WORD_BYTE[texts.data])
     word, row = tx.hashes(texts.data, spans, tx.LOWER), spans.row
     found, rows = [word], [row]
@@ -49,6 +55,11 @@ def features(texts: tx.Texts) -> tuple[np.ndarray, np.ndarray]:
         same = row[:-gap] == row[gap:]
         found.append(tx.mix(word[:-gap] * a + word[gap:] * b)[same])
         rows.append(row[:-gap][same])
+    for size in STEMS:
+        longer = spans.end - spans.begin > size
+        cut = tx.Spans(spans.begin[longer], spans.begin[longer] + size, row[longer])
+        found.append(tx.mix(tx.hashes(texts.data, cut, tx.LOWER) ^ np.uint64(size)))
+        rows.append(cut.row)
     return np.concatenate(found), np.concatenate(rows)
 
 
@@ -104,12 +115,15 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, usable: Column)
         return own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
     sample = save(first(1, SAMPLE_TOXIC).union(first(0, SAMPLE_CLEAN)), f"{folder}/sample")
-    # Bounded by the two limits above, so it may go to every task.
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        F.broadcast(sample), "doc_id"
-    )
+    # Bounded by the two limits above, so it may go to every task.  Of a doc_id that stands at
+    # many rows one is taken; Spark drops the others before the shuffle.
+    one = Window.partitionBy("key").orderBy(F.xxhash64("text"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text")).join(
+        F.broadcast(sample.withColumnRenamed("doc_id", "key")), "key"
+    ).withColumn("row", F.row_number().over(one)).filter("row = 1").select("key", "toxic", "text")
+    texts = bounded(texts, "toxic", max(SAMPLE_TOXIC, SAMPLE_CLEAN), SAMPLE_BYTES, folder)
     model = (
-        texts.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text")
+        texts.repartition(1).sortWithinPartitions(F.xxhash64("key"), "key", "text")
         .select("text", "toxic")
         .mapInArrow(learn, "key long, weight double")
     )

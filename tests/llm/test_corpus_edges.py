@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rollbook.llm import (
     decontaminate, language_id, license_scan, line_dedup, mixing, near_dups, quality_rules,
-    sharding, toxicity, url_filter,
+    sample, sharding, toxicity, url_filter,
 )
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -185,6 +185,60 @@ def test_toxicity_of_odd_rows(spark, docs, none):
     assert toxicity.fit(spark, none, labels, F.lit(True)) is not None
 
 
+def learnt_from(spark, monkeypatch, run):
+    """The rows of the samples that the learning tasks got."""
+    taken = []
+
+    def counting(*args):
+        out = sample.bounded(*args)
+        taken.append((out.count(), out.agg(F.sum(F.octet_length("text"))).first()[0]))
+        return out
+
+    for module in (toxicity, language_id):
+        monkeypatch.setattr(module, "bounded", counting)
+    run()
+    return taken
+
+
+def test_samples_hold_a_hot_row_once(spark, monkeypatch):
+    """One labelled doc_id, one text and the null doc_id stand at a third of the rows each."""
+    docs = spark.range(0, 6000, 1, 4).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN -1 WHEN id % 3 = 1 THEN NULL ELSE id END AS doc_id",
+        "CASE WHEN id % 3 = 0 THEN 'one hot text' ELSE concat('some text of number ', id % 40) END AS text",
+        "CASE WHEN id % 2 = 0 THEN 'en' ELSE 'fr' END AS lang",
+    )
+    labels = docs.filter("doc_id IS NOT NULL").selectExpr("doc_id", "CAST(doc_id < 0 AS INT) AS toxic")
+    ran = learnt_from(spark, monkeypatch, lambda: toxicity.fit(spark, docs, labels, F.lit(True)))
+    assert ran[0][0] == 1 + 2000
+    ran = learnt_from(spark, monkeypatch, lambda: language_id.fit(spark, docs, F.lit(True)))
+    assert ran[0][0] == docs.select("lang", "text").distinct().count() < 100
+
+
+def test_samples_are_bounded_in_rows_and_bytes(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr(
+        "id AS doc_id", "repeat(concat('word', id, ' '), CASE WHEN id = 7 THEN 90000 ELSE 20 END) AS text", "'en' AS lang",
+    )
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS toxic")
+    for name, value in (("SAMPLE_TOXIC", 50), ("SAMPLE_CLEAN", 60), ("SAMPLE_BYTES", 4000)):
+        monkeypatch.setattr(toxicity, name, value)
+    for name, value in (("SAMPLE_PER_LANGUAGE", 100), ("SAMPLE_ROWS", 100), ("SAMPLE_BYTES", 8000)):
+        monkeypatch.setattr(language_id, name, value)
+    ran = learnt_from(spark, monkeypatch, lambda: toxicity.fit(spark, docs, labels, F.lit(True)))
+    assert 30 < ran[0][0] <= 110 and ran[0][1] <= 8000
+    ran = learnt_from(spark, monkeypatch, lambda: language_id.fit(spark, docs, F.lit(True)))
+    assert 30 < ran[0][0] <= 100 and ran[0][1] <= 8000
+
+
+def test_a_hot_url_does_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "SAMPLE", 20)
+    urls = ["http://a.example.net/de/1"] * 3000 + [f"http://h{i}.example.org/fr/{i}" for i in range(30)]
+    urls += [f"http://h{i}.example.net/es/{i}" for i in range(30)] + ["https://other.example.org/en/" + "x" * 50_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(4)
+    rows = url_filter.judge(spark, pages).collect()
+    assert len(rows) == len(urls) and all(r["score"] is not None for r in rows)
+    assert {r["verdict"] for r in rows if r["host"].startswith("h") and r["host"].endswith("org")} == {"allow"}
+
+
 def test_licenses_of_odd_rows(spark, docs, none):
     notice = "\nReleased under the MIT License.\n"
     more = [

@@ -5,6 +5,7 @@ import itertools
 import os
 import random
 import re
+import tracemalloc
 import unicodedata
 import zlib
 from collections import Counter
@@ -215,6 +216,50 @@ def test_tiling_against_brute_force(seed):
     assert got == brute_tiles(text, item)
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_common_runs_in_blocks(seed, monkeypatch):
+    """All maximal runs, however the text is cut into blocks."""
+    rng = random.Random(seed)
+    kinds = rng.choice([1, 2, 3, 9])
+    text = [rng.randrange(kinds) for _ in range(rng.randrange(60))]
+    item = [rng.randrange(kinds) for _ in range(rng.randrange(1, 20))]
+    monkeypatch.setattr(decontaminate, "HITS", rng.choice([1, 5, 30, 1 << 19]))
+    got = decontaminate.common_runs(np.array(text, np.uint64), np.array(item, np.uint64)).tolist()
+    want = []
+    for i, j in itertools.product(range(len(text)), range(len(item))):
+        if not (i and j) or text[i - 1] != item[j - 1]:
+            n = 0
+            while i + n < len(text) and j + n < len(item) and text[i + n] == item[j + n]:
+                n += 1
+            if n >= decontaminate.tile_of(len(item)):
+                want.append([n, i, j])
+    assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_tiling_with_thinned_runs_against_brute_force(seed, monkeypatch):
+    """A repeated phrase has far more runs than tiles; those that are kept give the same cover."""
+    monkeypatch.setattr(decontaminate, "HITS", 40)
+    monkeypatch.setattr(decontaminate, "MOST_RUNS", 10)
+    rng = random.Random(seed)
+    phrase = [rng.randrange(3) for _ in range(rng.randrange(1, 6))]
+    item = [*phrase, *[rng.randrange(5) for _ in range(6)], *phrase]
+    text = [w for _ in range(40) for w in (phrase if rng.random() < 0.9 else [rng.randrange(5)])] + item[3:9]
+    got = decontaminate.tiled(np.array(text, np.uint64), np.array(item, np.uint64))
+    assert got == brute_tiles(text, item)
+
+
+def test_memory_of_a_long_repeated_phrase():
+    """Places in the text times places in the item would be 3.2 GB here."""
+    tracemalloc.start()
+    try:
+        text, item = np.ones(400_000, np.uint64), np.ones(500, np.uint64)
+        assert decontaminate.tiled(text, item) == 500
+        assert tracemalloc.get_traced_memory()[1] < 200e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_leaks_are_caught_and_clean_documents_kept(spark, texts):
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     clean = [t for t in texts.values() if len(t) > 500][:20]
@@ -370,16 +415,20 @@ def test_languages_of_held_out_documents(spark, docs):
 
 
 def test_toxicity_of_held_out_documents(spark):
+    """All labels that were held out, by language: there are few of the smaller ones."""
     sf = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
-    words = "trash|pathetic|idiot|worthless|disgusting|stupid|clown|scum|loser|moron"
-    docs = spark.read.parquet(f"{sf}/documents.parquet").filter("lang = 'en'")
-    many = {r["doc_id"] for r in docs.filter(f"regexp_count(lower(text), '{words}') >= 3").collect()}
+    langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
     rows = [r for r in queries.QUERIES["op3_toxicity"](spark, sf).collect() if r["held_out"]]
     assert all(held_out(r["doc_id"]) and r["predicted"] == (r["score"] >= 0.7) for r in rows)
-    toxic = [r["predicted"] for r in rows if labels.get(r["doc_id"]) == 1 and r["doc_id"] in many]
+    caught = {
+        lang: [r["predicted"] for r in rows if labels.get(r["doc_id"]) == 1 and lang in (None, langs[r["doc_id"]])]
+        for lang in (None, "en", "de", "fr", "es")
+    }
     clean = [r["predicted"] for r in rows if labels.get(r["doc_id"]) == 0]
-    assert np.mean(toxic) >= 0.8 and np.mean(clean) <= 0.01
+    assert np.mean(clean) <= 0.002
+    recall = {lang: np.mean(found) for lang, found in caught.items()}
+    assert recall[None] >= 0.8 and recall["en"] >= 0.85 and min(recall.values()) >= 0.5, recall
 
 
 def test_temperature_finds_the_scale():
