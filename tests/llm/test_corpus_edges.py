@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+import itertools
+import random
 import re
 
 import corpus_pipeline
@@ -260,20 +262,20 @@ def test_licenses_of_odd_rows(spark, docs, none):
 
 
 WRAPPED = {
-    "MIT-header": """Permission is hereby granted, free of charge, to any person obtaining a copy
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
 in the Software without restriction, including without limitation the rights
 to use, copy, modify, merge, publish, distribute, sublicense, and/or sell""",
-    "BSD-3-Clause-header": """Redistribution and use in source and binary forms, with or without
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without
 modification, are permitted provided that the following conditions are met:
 
 1. Redistributions of source code must retain the above copyright""",
-    "GPL-3.0-header": """    This program is free software: you can redistribute it and/or modify
+    "GPL-3.0": """    This program is free software: you can redistribute it and/or modify
     it under the terms of the GNU General Public License as published by
     the Free Software Foundation, either version 3 of the License, or
     (at your option) any later version.
 """,
-    "Apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License");
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
 you may not use this file except in compliance with the License.
 You may obtain a copy of the License at
 
@@ -293,6 +295,63 @@ def test_licenses_in_their_published_wrap(spark):
         assert names[r["doc_id"]][0] in [f["license"] for f in r["found"]], names[r["doc_id"]]
 
 
+def filler(rng, n):
+    """Prose with words that licenses use too."""
+    parts = ("the", "er", "on", "ti", "license", "of", "any", "use", "copy", "version ")
+    return " ".join("".join(rng.choice(parts) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+
+
+def test_compression_keeps_all_that_the_wording_confirms():
+    """All templates in all surroundings: gains choose the same licenses as trying every wording."""
+    rng = random.Random(8)
+    by_gain = license_scan.Scanner(license_scan.TEMPLATES)
+    by_wording = license_scan.Scanner(license_scan.TEMPLATES, -1e9)
+    tried = []
+    for license_id, texts in license_scan.TEMPLATES.items():
+        for text, n in itertools.product(texts, (0, 3, 30, 200)):
+            whole = f"{filler(rng, n)} {text} {filler(rng, n)}".encode()
+            blocks = license_scan.blocks(whole, by_gain.reach)
+            got, want = ({h["license"] for b in blocks for h in s.confirmed(b)} for s in (by_gain, by_wording))
+            assert got == want and license_id in got, (license_id, text, n)
+            own = license_scan.words(whole.decode())
+            tried.append(len(by_gain.winners(own, by_gain.long)) / len(by_gain.long))
+    assert sum(tried) < 0.2 * len(tried)  # long texts whose wording is looked at
+
+
+SHORT_FORMS = {
+    "This file is released under the MIT licence.": ["MIT"],
+    "Released under the terms of the MIT License.": ["MIT"],
+    "SPDX-License-Identifier: MIT": ["MIT"],
+    "License: Apache-2.0": ["Apache-2.0"],
+    "Creative Commons Attribution 4.0 International License": ["CC-BY-4.0"],
+    "Creative Commons Attribution-ShareAlike 4.0 International": ["CC-BY-SA-4.0"],
+    "The above copyright notice and this permission notice shall be included in all\ncopies or substantial "
+    "portions of the Software.": ["MIT"],
+    "Unless required by applicable law or agreed to in writing, software\n# distributed under the License is "
+    "distributed on an \"AS IS\" BASIS,\n# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."
+    "\n# See the License for the specific language governing permissions and\n# limitations under the License.":
+    ["Apache-2.0"],
+    "GNU General Public License, version 3 or GNU Lesser General Public License v3": ["GPL-3.0", "LGPL-3.0"],
+    "the GNU General Public License, version 4": [], "under the MIT rules": [], "a licence of sorts": [],
+}
+
+
+def test_short_notices(spark):
+    rows = [(i, f"{PROSE * k}\n{form}\n{PROSE * k}") for k in (0, 5) for i, form in enumerate(SHORT_FORMS)]
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()
+    for r in found:
+        want = list(SHORT_FORMS.values())[r["doc_id"]]
+        assert [f["license"] for f in r["found"]] == want, list(SHORT_FORMS)[r["doc_id"]]
+
+
+def test_no_template_is_a_line_of_the_given_documents(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(
+        F.explode(F.split("text", "\n")).alias("line")
+    ).filter("line ILIKE '%licen%'").distinct().collect()
+    given = {tuple(license_scan.words(r["line"])) for r in lines}
+    assert given and not given & {tuple(license_scan.words(t)) for texts in license_scan.TEMPLATES.values() for t in texts}
+
+
 URLS = [
     (1, "http://a.net/x"), (2, "https://WWW.Example.NET/en/1?q=//x"), (3, "http://example.net/de/"),
     (4, "http://x.example.com/de/5#f"), (5, "https://b.org/fr/"), (6, "http://b.org/en/"), (7, None),
