@@ -227,7 +227,71 @@ def op7_quality_rules(spark, sf_dir):
     )
 
 
-@query()
+def _crc_table() -> str:
+    """CRC-32 of every byte, by its rule."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        out.append(str(c))
+    return ", ".join(out)
+
+
+def _curve_sql(source: str, bits: int) -> str:
+    """CTEs from ``source`` with x0, x1, x2 on: c0, c1, ... undo the turns level by level, the
+    last one has the curve's place."""
+    steps, last = [], source
+
+    def step(replaced: str) -> None:
+        nonlocal last
+        steps.append(f"c{len(steps)} AS (SELECT * REPLACE ({replaced}) FROM {last})")
+        last = f"c{len(steps) - 1}"
+
+    for level in (1 << b for b in range(bits - 1, 0, -1)):
+        for i in range(3):
+            swap = f"(xor(x0, x{i}) & {level - 1})"
+            turned = f"CASE WHEN x{i} & {level} > 0 THEN xor(x0, {level - 1}) ELSE xor(x0, {swap}) END AS x0"
+            step(turned + (f", CASE WHEN x{i} & {level} > 0 THEN x{i} ELSE xor(x{i}, {swap}) END AS x{i}" if i else ""))
+    step("xor(x1, x0) AS x1")
+    step("xor(x2, x1) AS x2")
+    turn = "CAST(0 AS BIGINT)"
+    for level in (1 << b for b in range(bits - 1, 0, -1)):
+        turn = f"xor({turn}, CASE WHEN x2 & {level} > 0 THEN {level - 1} ELSE 0 END)"
+    step(", ".join(f"xor(x{i}, {turn}) AS x{i}" for i in range(3)))
+    place = " + ".join(
+        f"((x{i} >> {b}) & 1) * {1 << (3 * b + 2 - i)}" for b in range(bits - 1, -1, -1) for i in range(3)
+    )
+    steps.append(f"placed AS (SELECT *, {place} AS curve FROM {last})")
+    return ", ".join(steps)
+
+
+def _cells_sql(column: str, cells: int) -> str:
+    return f"""{column}_cells AS (SELECT {column}, CAST(((2 * upto - n) * {cells}) // (2 * total) AS BIGINT) AS cell FROM (
+  SELECT {column}, n, sum(n) OVER (ORDER BY {column}) AS upto, sum(n) OVER () AS total FROM (
+    SELECT {column}, count(*) AS n FROM sized WHERE {column} IS NOT NULL GROUP BY {column})))"""
+
+
+# Said again value by value, with the curve's turns written out.
+@query(f"""
+WITH crcs(crc_of) AS (SELECT [{_crc_table()}]::BIGINT[]),
+bytes AS (
+  SELECT doc_id, source, lang, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b
+  FROM documents),
+sized AS (
+  SELECT doc_id, source, lang, size, xor(list_reduce(list_prepend(4294967295::BIGINT, b),
+    lambda c, x: xor(c >> 8, crc_of[(xor(c, x) & 255) + 1])), 4294967295::BIGINT) AS text_crc32 FROM bytes, crcs),
+{_cells_sql("source", 1 << sharding.BITS)}, {_cells_sql("lang", 1 << sharding.BITS)}, {_cells_sql("size", 1 << sharding.BITS)},
+celled AS (
+  SELECT sized.*, coalesce(a.cell, 0) AS x0, coalesce(b.cell, 0) AS x1, coalesce(c.cell, 0) AS x2 FROM sized
+  LEFT JOIN source_cells a ON a.source = sized.source LEFT JOIN lang_cells b ON b.lang = sized.lang
+  LEFT JOIN size_cells c ON c.size = sized.size),
+{_curve_sql("celled", sharding.BITS)},
+numbered AS (
+  SELECT *, row_number() OVER (ORDER BY curve, text_crc32, doc_id NULLS FIRST, size) - 1 AS place,
+    count(*) OVER () AS total FROM placed)
+SELECT doc_id, size, text_crc32, '{sharding.LAW}' AS law, CAST(place * 8 // total AS INTEGER) AS shard,
+  place - (place * 8 // total * total + 7) // 8 AS slot, CAST(NULL AS INTEGER) AS grown_shard, curve FROM numbered""")
 def op8_hilbert_shards(spark, sf_dir):
     found = sharding.shard(spark, table(spark, sf_dir, "documents"), "doc_id")
     return found.select(

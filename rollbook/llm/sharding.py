@@ -1,19 +1,19 @@
 """Shards along a Hilbert curve over several metadata dimensions.
 
-Source, language and size are quantised to a small grid, every row gets its cell's
-place on the curve, rows are sorted by that place, and the sorted table is cut into
-runs of equal length.  Neighbours on the curve are neighbours in every dimension, so
-a shard, and each file in it, covers a narrow range of all of them and a reader that
-filters by any can skip most files.
+Source, language and size are cut into cells in the order of their values, each with about
+as many rows, every row gets its cell's place on the curve, rows are sorted by that place, and
+the sorted table is cut into runs of equal length.  Neighbours on the curve are neighbours in every
+dimension, so a shard, and each file in it, covers a narrow range of all of them and a reader that
+filters by any can skip files by their least and greatest values.
 
 Law ``rows``: shard s holds the places from ceil(s n / shards) on, so the counts are
 at most one apart.  The order within a cell is by text checksum, doc_id and size, so
-equal texts of one cell lie side by side.
+equal texts of one cell lie side by side; those of other sources or languages lie elsewhere.
 
-Defined cases: a null text has size 1 and checksum 0; a null source or language is a
-cell of its own; a null doc_id comes first among equals; equal rows take
-neighbouring slots; an empty table gives an empty result, and with fewer rows than
-shards some shards are empty.  Extra columns are carried and never read.
+Defined cases: a null text has size 1 and checksum 0; a null source or language is in
+the first cell; a null doc_id comes first among equals; equal rows take
+neighbouring slots; a long text is read for its size and checksum alone; an empty table
+gives an empty result, and with fewer rows than shards some shards are empty.  Extra columns are carried and never read.
 """
 
 from __future__ import annotations
@@ -66,15 +66,52 @@ def text_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
-def dimensions(size: Column) -> list[Column]:
-    """Cells of source, language and size, 0 to 31; a null name is cell 0."""
-    last = (1 << BITS) - 1
+def numbered(rows: DataFrame, order: tuple[str, ...], folder: str) -> DataFrame:
+    """The sorted rows, written, with the partition each was sorted in (part) and its place there
+    (within); a lost executor repeats tasks, never the order."""
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return save(
+        rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("part", F.spark_partition_id()).withColumn("within", within),
+        f"{folder}/sorted",
+    )
+
+
+def starts(runs: DataFrame, weight: Column, folder: str) -> DataFrame:
+    """(part, start, total): the weight before each sorted partition, and of all; a sum per
+    partition is all that one task gets."""
+    sums = runs.groupBy("part").agg(F.sum(weight).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return save(
+        sums.select(
+            "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"),
+            F.sum("n").over(Window.partitionBy()).alias("total"),
+        ),
+        f"{folder}/starts",
+    )
+
+
+def quantile_cells(rows: DataFrame, column: str, folder: str) -> list[tuple[int, object]]:
+    """(cell, least value) of the cells that have values: a value's cell is the 32nd of all rows
+    that its middle row is in, in the order of values.  At most 32 rows reach the driver."""
+    counts = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    runs = numbered(counts, (column,), folder)
+    up_to = Window.partitionBy("part").orderBy("within").rowsBetween(Window.unboundedPreceding, 0)
+    summed = runs.join(starts(runs, F.col("n"), folder), "part").withColumn("upto", F.col("start") + F.sum("n").over(up_to))
+    cell = F.expr(f"((2 * upto - n) * {1 << BITS}) div (2 * total)")
+    found = summed.groupBy(cell.alias("cell")).agg(F.min(column).alias("least")).collect()
+    return sorted((r["cell"], r["least"]) for r in found)
+
 
-    def named(c: str) -> Column:
-        return F.coalesce(F.pmod(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(last)) + 1, F.lit(0))
+def dimensions(rows: DataFrame, folder: str) -> list[Column]:
+    """Cells of source, language and size, 0 to 31, in the order of their values, by quantiles of the
+    rows; a null name is in cell 0."""
 
-    grown = F.floor(F.log2(size.cast("double")) * 1.5)
-    return [named("source"), named("lang"), F.least(grown, F.lit(last))]
+    def cell(column: str) -> Column:
+        found = quantile_cells(rows, column, f"{folder}/{column}")
+        return F.coalesce(*[F.when(F.col(column) >= F.lit(least), n) for n, least in reversed(found)], F.lit(0))
+
+    return [cell(c) for c in ("source", "lang", "size")]
 
 
 def on_curve(cells: list[Column]) -> Column:
@@ -86,12 +123,7 @@ def on_curve(cells: list[Column]) -> Column:
 
 
 def ordered(spark: SparkSession, docs: DataFrame, names: list[str]) -> DataFrame:
-    """Rows with their place in curve order, counted from 0.
-
-    The sorted table is written with the number of the partition each row was sorted in
-    and its place there; only a count per partition is then summed up.  A lost executor
-    repeats tasks, never the order.
-    """
+    """Rows with their place in curve order, counted from 0."""
     folder = workspace(spark, "shards")
     text = F.col("text").cast("string")
     read = docs.select(
@@ -99,28 +131,12 @@ def ordered(spark: SparkSession, docs: DataFrame, names: list[str]) -> DataFrame
         F.col("doc_id").cast("long").alias("doc_id"),
         text_size(text).alias("size"),
         F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).alias("text_crc32"),
-        F.col("source"), F.col("lang"),
-    )
-    placed = read.select(
-        "row", "doc_id", "size", "text_crc32", on_curve(dimensions(F.col("size"))).alias("curve")
-    )
-    order = ("curve", "text_crc32", "doc_id", "size")
-    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    runs = save(
-        placed.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("part", F.spark_partition_id()).withColumn("within", within),
-        f"{folder}/sorted",
-    )
-    counts = runs.groupBy("part").agg(F.count("*").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = save(
-        counts.select(
-            "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"),
-            F.sum("n").over(Window.partitionBy()).alias("total"),
-        ),
-        f"{folder}/starts",
+        F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
     )
-    return runs.join(starts, "part").withColumn("place", F.col("start") + F.col("within"))
+    cells = dimensions(read.select("source", "lang", "size"), folder)
+    placed = read.select("row", "doc_id", "size", "text_crc32", on_curve(cells).alias("curve"))
+    runs = numbered(placed, ("curve", "text_crc32", "doc_id", "size"), folder)
+    return runs.join(starts(runs, F.lit(1), folder), "part").withColumn("place", F.col("start") + F.col("within"))
 
 
 def shard(spark: SparkSession, docs: DataFrame, *keep: str, shards: int = SHARDS) -> DataFrame:

@@ -406,6 +406,38 @@ def test_shards(spark, texts):
     assert all(sorted(slot for slot, _ in v) == list(range(len(v))) for v in slots.values())
 
 
+def test_filters_on_any_dimension_skip_shards(spark):
+    """By least and greatest values, a filter reads half of 8 files or a little more, and a quarter of 64."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    for shards, most in ((8, 0.7), (64, 0.3)):
+        rows = sharding.shard(spark, docs, "source", "lang", shards=shards).select("shard", "row.source", "row.lang", "size")
+        rows = rows.collect()
+        for column in ("source", "lang", "size"):
+            held = {}
+            for r in rows:
+                held.setdefault(r["shard"], []).append(r[column])
+            ranges = [(min(v), max(v)) for v in held.values()]
+            counts = Counter(r[column] for r in rows)
+            if column == "size":
+                wanted = np.quantile(sorted(r["size"] for r in rows), np.linspace(0.05, 0.95, 10), method="nearest").tolist()
+            else:  # a value of more than a fifth of the rows fills more than its share of files
+                wanted = [v for v, n in counts.items() if n < len(rows) / 5]
+            read = [sum(low <= v <= high for low, high in ranges) / shards for v in wanted]
+            assert np.mean(read) <= most and max(read) <= 0.8, (shards, column, read)
+
+
+def test_quantile_cells_are_in_order_and_about_even(spark):
+    values = [f"s{i:04d}" for i in range(1000) for _ in range(1 + i % 3)] + ["hot"] * 1000 + [None] * 50
+    frame = spark.createDataFrame([(v,) for v in values], "v string").repartition(5)
+    found = sharding.quantile_cells(frame, "v", workspace(spark, "cells"))
+    assert [n for n, _ in found] == sorted({n for n, _ in found}) and len(found) > 20
+    assert [v for _, v in found] == sorted(v for _, v in found) and found[0][1] == "hot"
+    rest = [v for v in values if v and v != "hot"]
+    bounds = [v for _, v in found if v != "hot"] + ["t"]
+    sizes = [sum(a <= v < b for v in rest) for a, b in zip(bounds, bounds[1:])]
+    assert max(sizes) <= 1.3 * len(values) / 32
+
+
 def test_languages_of_held_out_documents(spark, docs):
     truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
     rows = queries.QUERIES["op1_language_id"](spark, SF).collect()
