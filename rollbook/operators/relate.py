@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollbook.functions.clean import to_whole
+from rollbook.operators.keys import key_filter, let_through
 from rollbook.schema import LINKS, Link
 
-# In bytes of plan statistics, for a side that every executor gets.  For files these are
-# compressed bytes: a list may be some times larger in memory, and the bound allows for that.
+# In bytes of plan statistics, for a side that every executor gets.  For catalog tables with column
+# statistics these are rows times row size; for files they are compressed bytes: a list may
+# be some times larger in memory, and the bound allows for that.
 BROADCAST_BYTES = 8 << 20
 
+# In bytes of plan statistics, for facts whose shuffle costs more than a second look at a selection.
+FILTER_BYTES = 256 << 20
+
 
 def plan_bytes(df: DataFrame) -> int | None:
     """The optimizer's size of a DataFrame, or None where it is not available."""
@@ -111,6 +116,20 @@ def join_facts(left: DataFrame, right: DataFrame, on: str | list[str],
     return left.join(right, on, how)
 
 
+def join_selected(found: DataFrame, facts: DataFrame, key: str, least_bytes: int = FILTER_BYTES) -> DataFrame:
+    """Inner join of a selection with facts it is much smaller than, on one key.
+
+    Facts of ``least_bytes`` or more, by plan statistics, first lose the rows whose key is not in a
+    Bloom filter of the selection's keys: the filter has a fixed size and is broadcast, so the
+    facts that can match are all that is shuffled.  The selection is read once more for it, which
+    costs less than moving the facts.  Smaller facts are joined as they are.
+    """
+    size = plan_bytes(facts)
+    if size is not None and size < least_bytes:
+        return join_facts(found, facts, key)
+    return join_facts(found, let_through(facts, key, key_filter(found, key)), key)
+
+
 def fan_out(one: DataFrame, many: DataFrame, on: str | list[str],
             split_hot: bool = False, keys_of: DataFrame | None = None) -> DataFrame:
     """Left join that repeats ``one`` for each of ``many``.

@@ -208,3 +208,15 @@ def q_decode_all(spark, sf_dir):
     """All codes of a table that have a list, by the declared links."""
     decoded = relate.decode_all(registry(spark, sf_dir), "estabelecimento")
     return decoded.select("cnpj_basico", "municipio", "municipio_nome")
+
+
+@query("""SELECT l_orderkey, l_linenumber, o_orderdate FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+WHERE o_orderpriority LIKE '%URGENT%' AND o_custkey % 50 = 7""")
+def q_key_filter(spark, sf_dir):
+    """A few orders with their items: of the items only those of a Bloom filter of the orders' keys
+    are shuffled, whatever their size here."""
+    orders = table(spark, sf_dir, "orders").filter(like_any(F.col("o_orderpriority"), ("URGENT",)))
+    found = orders.filter("o_custkey % 50 = 7").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    joined = relate.join_selected(found, items, "l_orderkey", least_bytes=0)
+    return joined.select("l_orderkey", "l_linenumber", "o_orderdate")

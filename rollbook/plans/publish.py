@@ -200,35 +200,43 @@ def load_changed(spark: SparkSession, folder: str, root: str, snapshot: str, dat
         done = {name: job.result() for name, job in started.items()}
     out = Loaded(read=sorted(f[0] for fresh, _ in by_table.values() for f in fresh))
     others = [tuple(r) for r in live if r["snapshot"] != snapshot or r["table_name"] not in by_table]
-    for name, (rows, loads) in done.items():
+    for name, (rows, _) in done.items():
         out.counts[name] = sum(r[6] for r in rows), sum(r[7] for r in rows)
-        failed = build_indexes(spark, root, tables[name], loads)
-        if failed:
-            out.failed[name] = failed
+    out.failed = build_indexes(spark, root, {name: loads for name, (_, loads) in done.items()}, at_once)
     parts = versions.as_parts(spark, others + [r for rows, _ in done.values() for r in rows])
     out.version = versions.publish(spark, root, before, parts)
     if database is not None:
-        out.catalog = arrange(spark, root, {n: tables[n] for n in by_table}, snapshot, database, buckets)
+        out.catalog = arrange(spark, root, {n: tables[n] for n in by_table}, snapshot, database, buckets, at_once)
     return out
 
 
-def build_indexes(spark: SparkSession, root: str, table: Table, loads: list[str]) -> dict[str, str]:
-    """Index new loads; an index that fails does not stop the rest, and lookups do without it."""
-    failed = {}
-    for load in loads:
-        rows = spark.read.parquet(f"{root}/{table.name}/{load}").filter(~F.col(REJECTED))
-        for kind, columns in ((index.VALUES, LOOKUP_COLUMNS), (index.GRAMS, SEARCH_COLUMNS)):
-            for column in columns.get(table.name, ()):
-                try:
-                    index.build(rows, kind, column, index.path_of(root, table.name, load, kind, column))
-                except Exception as error:  # noqa: BLE001 - reported, the rest goes on
-                    log.warning("no index of %s.%s: %s", table.name, column, error)
-                    failed[column] = str(error)
+def build_indexes(spark: SparkSession, root: str, loads: Mapping[str, list[str]],
+                  at_once: int = 4) -> dict[str, dict[str, str]]:
+    """Index new loads, by table; an index that fails does not stop the rest, and lookups do
+    without it.  Returns the failures, by table and column."""
+    wanted = [
+        (table, load, kind, column)
+        for kind, columns in ((index.VALUES, LOOKUP_COLUMNS), (index.GRAMS, SEARCH_COLUMNS))
+        for table, own in loads.items() for load in own for column in columns.get(table, ())
+    ]
+    failed: dict[str, dict[str, str]] = {}
+
+    def one(table: str, load: str, kind: str, column: str) -> None:
+        try:
+            rows = spark.read.parquet(f"{root}/{table}/{load}").filter(~F.col(REJECTED))
+            index.build(rows, kind, column, index.path_of(root, table, load, kind, column))
+        except Exception as error:  # noqa: BLE001 - reported, the rest goes on
+            log.warning("no index of %s.%s: %s", table, column, error)
+            failed.setdefault(table, {})[column] = str(error)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        for job in [pool.submit(one, *w) for w in wanted]:
+            job.result()
     return failed
 
 
 def arrange(spark: SparkSession, root: str, tables: Mapping[str, Table], snapshot: str, database: str,
-            buckets: int | None = None) -> dict[str, str]:
+            buckets: int | None = None, at_once: int = 4) -> dict[str, str]:
     """A month of some tables as catalog tables below the store, other months staying; those
     with a join key are bucketed by it, all into the same number of buckets."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_catalog'")
@@ -236,14 +244,25 @@ def arrange(spark: SparkSession, root: str, tables: Mapping[str, Table], snapsho
     sizes = {r["table_name"]: r["n"] for r in live.filter(F.col("snapshot") == snapshot)
              .groupBy("table_name").agg(F.sum("bytes").alias("n")).collect()}
     largest = max((n for t, n in sizes.items() if REGISTRY.get(t, tables.get(t)).join_key), default=0)
-    catalog = {}
-    for name, table in tables.items():
-        rows = read_table(spark, root, table, snapshot).drop(SNAPSHOT)
-        catalog[name] = layout.keep_snapshot(
-            rows, f"{database}.{name}", f"{root}/_catalog/{name}", snapshot, table.join_key,
-            buckets or layout.bucket_count(largest),
+
+    def one(name: str) -> str:
+        rows = read_table(spark, root, tables[name], snapshot).drop(SNAPSHOT)
+        return layout.keep_snapshot(
+            rows, f"{database}.{name}", f"{root}/_catalog/{name}", snapshot, tables[name].join_key,
+            buckets or layout.bucket_count(largest), analyzed(tables[name]),
         )
-    return catalog
+
+    with ThreadPoolExecutor(at_once) as pool:
+        started = {name: pool.submit(one, name) for name in tables}
+        return {name: job.result() for name, job in started.items()}
+
+
+def analyzed(table: Table) -> list[str]:
+    """Columns whose statistics are worth a pass: all of a code list, which joins may broadcast, and
+    the keys and lookup columns of other tables."""
+    if table.primary_key:
+        return table.columns
+    return [c for c in table.columns if c == table.join_key or c in LOOKUP_COLUMNS.get(table.name, ())]
 
 
 def live_parts(spark: SparkSession, root: str, table: Table, snapshot: str | None = None,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.match import like_any, same_text
-from rollbook.operators.relate import join_facts, join_list
+from rollbook.operators.relate import join_list, join_selected
 
 # The search the registry is queried with, and its report columns.
 BUILDING_WORDS = ("Condomínio", "Edificio", "Residencial")
@@ -24,13 +24,13 @@ REPORT_COLUMNS = (
 def _matching(branches: DataFrame, companies: DataFrame, cities: DataFrame,
               words: Iterable[str], city: str, ci_ai: bool) -> DataFrame:
     """Both filters and the city list come before the one shuffled join, so only
-    matching branches move."""
+    matching branches move, and of large company tables only companies that may have one."""
     wanted = cities.filter(same_text(F.col("nome"), city, ci_ai)).select(
         F.col("codigo").alias("__city"), F.col("nome").alias("nome_municipio")
     )
     found = branches.filter(like_any(F.col("nome_fantasia"), words, ci_ai))
     found = join_list(found, wanted, F.col("municipio") == F.col("__city"), "inner").drop("__city")
-    return join_facts(found, companies, "cnpj_basico")
+    return join_selected(found, companies, "cnpj_basico")
 
 
 def branch_search(branches: DataFrame, companies: DataFrame, cities: DataFrame,

@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Sizes of catalog tables come from their column statistics where they have some: rows times
+    # row size, not compressed bytes.
+    "spark.sql.cbo.enabled": "true",
     # A fused method beyond 8000 bytes of bytecode is never compiled by HotSpot.
     # Wide cleaning projections get there; unfused they are split into small
     # methods and run about twice as fast.

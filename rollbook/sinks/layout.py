@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,12 +80,13 @@ def bucket_count(size: int) -> int:
 
 
 def keep_snapshot(df: DataFrame, name: str, path: str, snapshot: str, key: str | None = None,
-                  buckets: int = 1) -> str:
+                  buckets: int = 1, analyze: Sequence[str] = ()) -> str:
     """Replace one snapshot of a catalog table, made if it is not there; the others stay.
 
     With ``key`` a new table is bucketed and sorted by it; one in which a key is so frequent that
     its bucket would be a hot spot is made without buckets, with a log line.  A table
-    keeps the buckets it was made with.  Returns its name.
+    keeps the buckets it was made with.  Statistics of the columns of ``analyze`` are taken for
+    the optimizer.  Returns its name.
     """
     spark = df.sparkSession
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
@@ -112,4 +114,6 @@ def keep_snapshot(df: DataFrame, name: str, path: str, snapshot: str, key: str |
         spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{SNAPSHOT}` = '{snapshot}') SELECT {names} FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
+    if analyze:
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in analyze)}")
     return name

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rollbook.operators import keys, manifest, pages, quality, relate, shape
 from rollbook.plans.search import REPORT_COLUMNS, branch_report, branch_search
 from rollbook.schema import LINKS, LOAD_ORDER, REGISTRY, code_list
+from rollbook.sinks import layout
 
 
 def test_registry_is_consistent():
@@ -261,3 +262,41 @@ def test_declared_links_know_listed_codes(spark):
     lost = {r["link"]: (r["n_keys"], r["n_rows"]) for r in quality.check_links(tables).collect()}
     assert lost["estabelecimento.cnae_fiscal_secundaria"] == (1, 2)
     assert lost["estabelecimento.cnae_fiscal_principal"] == (1, 1)
+
+
+def test_a_selection_filters_large_facts_before_their_shuffle(spark, plan, tmp_path):
+    spark.range(0, 200_000, 1, 4).selectExpr("CAST(id AS STRING) AS k", "id AS x").write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    found = spark.range(0, 200_000, 1000).selectExpr("CAST(id AS STRING) AS k", "id AS y")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain, filtered = relate.join_selected(found, facts, "k"), relate.join_selected(found, facts, "k", 0)
+        assert "bitmap" not in plan(plain)
+        text = plan(filtered)
+        assert "BroadcastHashJoin" in text and "bitmap" in text and "SortMergeJoin" in text
+        assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, filtered.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = keys.let_through(facts, "k", keys.key_filter(found, "k")).count()
+    assert 200 <= moved < 400  # of 200,000 rows
+
+
+def test_a_list_that_is_large_in_memory_is_not_broadcast(spark, tmp_path, plan):
+    """Its files are small; the statistics that are taken with it tell rows and widths."""
+    wide = spark.range(60_000).selectExpr("CAST(id AS INT) AS codigo", "repeat('texto ', 40) AS nome")
+    narrow = spark.range(1000).selectExpr("CAST(id AS INT) AS codigo", "CAST(id AS STRING) AS nome")
+    fact = spark.range(1000).selectExpr("CAST(id AS INT) AS c")
+    try:
+        for name, rows in (("wide_list", wide), ("narrow_list", narrow)):
+            layout.keep_snapshot(rows, name, str(tmp_path / name), "2025-10", analyze=["codigo", "nome"])
+        files = spark.read.parquet(str(tmp_path / "wide_list"))
+        assert relate.plan_bytes(files) < relate.BROADCAST_BYTES < relate.plan_bytes(spark.table("wide_list"))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for name, hint in (("wide_list", False), ("narrow_list", True)):
+            decoded = relate.decode(fact, spark.table(name), "c", "n")
+            assert ("BroadcastHashJoin" in plan(decoded)) == hint
+            assert decoded.filter("n IS NOT NULL").count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("wide_list", "narrow_list"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
