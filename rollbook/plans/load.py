@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +18,8 @@ from rollbook.session import workspace
 from rollbook.sinks import tables as sink
 from rollbook.sinks import versions
 from rollbook.sources.archive import list_members, scan_members
-from rollbook.sources.delimited import LONG_RECORD, SOURCE_FILE, broken_files, scan_delimited
-from rollbook.sources.files import base_name, empty_files, list_files, plain_path, route
+from rollbook.sources.delimited import LONG_RECORD, OPEN_CELL, SOURCE_FILE, scan_delimited
+from rollbook.sources.files import base_name, empty_files, list_files, route
 
 
 def stored_schema(table: Table) -> T.StructType:
@@ -128,23 +127,32 @@ def load_table(spark: SparkSession, table: Table, inputs: Inputs, out_path: str,
     Rows that join others, by ``keep_existing`` or as a part of ``month``, are also rejected
     if one of those has their primary key: what is stored stays.
     """
-    seen = Observation(f"load {table.name}")
     joins = table.primary_key is not None and (keep_existing or month is not None)
     known = stored_keys(spark, out_path, table, month or snapshot, "" if keep_existing else snapshot) if joins else None
-    found = scan(spark, table, inputs, **options)
-    checked = typed_with_reasons(found, table, SOURCE_FILE, unique=True, keep_raw=known is not None)
-    checked = checked.select([f.name for f in stored_schema(table).fields])
-    if known is not None:
-        checked = reject_known(spark, checked, table, known)
-    checked = checked.observe(
-        seen,
-        F.count_if(~F.col(REJECTED)).alias("accepted"),
-        F.count_if(REJECTED).alias("rejected"),
-    )
     target = f"{out_path.rstrip('/')}/{table.name}"
-    write = sink.append_snapshot if keep_existing else sink.replace_snapshot
-    write(checked, target, snapshot)
-    accepted, rejected = seen.get["accepted"], seen.get["rejected"]
+
+    def write(**scanned: object) -> tuple[int, int, int]:
+        seen = Observation(f"load {table.name}")
+        found = scan(spark, table, inputs, **options, **scanned)
+        checked = typed_with_reasons(found, table, SOURCE_FILE, unique=True, keep_raw=known is not None)
+        checked = checked.select([f.name for f in stored_schema(table).fields])
+        if known is not None:
+            checked = reject_known(spark, checked, table, known)
+        checked = checked.observe(
+            seen,
+            F.count_if(~F.col(REJECTED)).alias("accepted"),
+            F.count_if(REJECTED).alias("rejected"),
+            F.count_if(F.col(LONG_RECORD) == OPEN_CELL).alias("opened"),
+        )
+        (sink.append_snapshot if keep_existing else sink.replace_snapshot)(checked, target, snapshot)
+        return tuple(seen.get[n] for n in ("accepted", "rejected", "opened"))
+
+    # Text without line breaks in cells is read once.  Where a line shows that there are some, what
+    # was written is replaced by a load that looks for their files first.
+    tries = inputs.paths and not keep_existing and not {"multi_line", "broken"} & set(options)
+    accepted, rejected, opened = write(mark_open=True) if tries else write()
+    if tries and opened:
+        accepted, rejected, _ = write()
     if not keep_existing and accepted + rejected == 0:
         sink.clear_snapshot(spark.createDataFrame([], stored_schema(table)), target, snapshot)
     return accepted, rejected
@@ -161,19 +169,8 @@ def load_snapshot(spark: SparkSession, folder: str, out_path: str, snapshot: str
     found = find_inputs(spark, folder, tables)
     order = [t for t in LOAD_ORDER if t in tables] + [t for t in tables if t not in LOAD_ORDER]
 
-    # One pass over all plain files says which have line breaks in cells.
-    plain = [path for name in order if name in found for path in found[name].paths]
-    names: list[str] | None = None
-    if plain and "multi_line" not in options:
-        _, names = broken_files(spark, plain, **options)
-
     def one(name: str) -> tuple[int, int]:
-        own = {plain_path(path) for path in found[name].paths}
-        known = {} if names is None else {
-            "broken": [n for n in names if plain_path(unquote(n)) in own]
-        }
-        return load_table(spark, tables[name], found[name], out_path, snapshot,
-                          keep_existing, **options, **known)
+        return load_table(spark, tables[name], found[name], out_path, snapshot, keep_existing, **options)
 
     with ThreadPoolExecutor(at_once) as pool:
         started = {name: pool.submit(one, name) for name in order if name in found}

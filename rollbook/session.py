@@ -26,6 +26,7 @@ SETTINGS = {
 }
 
 _local_roots: dict[str, str] = {}
+_made: dict[str, list[str]] = {}  # work folders by application
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -42,12 +43,27 @@ def workspace(spark: SparkSession, label: str) -> str:
     cluster such a folder would exist on one machine only, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    app = spark.conf.get("spark.app.id", "local")
     if not root:
         master = spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.conf.get("spark.app.id", "local")
         if app not in _local_roots:
             _local_roots[app] = tempfile.mkdtemp(prefix="rollbook-")
         root = _local_roots[app]
-    return f"{root.rstrip('/')}/rollbook/{label}-{uuid.uuid4().hex}"
+    made = f"{root.rstrip('/')}/rollbook/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(app, []).append(made)
+    return made
+
+
+def clear_workspaces(spark: SparkSession) -> int:
+    """Delete the work folders that this application has made, and return how many there were.
+
+    Results that read from them are gone as well: call it when they are written or shown.
+    """
+    made = _made.pop(spark.conf.get("spark.app.id", "local"), [])
+    jvm = spark.sparkContext._jvm
+    for path in made:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return len(made)

@@ -242,6 +242,15 @@ def test_workspace_uses_the_shared_folder(spark):
     assert a != b and a.startswith(root + "/rollbook/x-")
 
 
+def test_work_folders_are_cleared(spark, monkeypatch):
+    monkeypatch.setattr(ses, "_made", {})
+    folder = ses.workspace(spark, "gone")
+    spark.range(3).write.parquet(f"{folder}/a")
+    ses.workspace(spark, "never written")
+    assert os.path.isdir(folder) and ses.clear_workspaces(spark) == 2
+    assert not os.path.isdir(folder) and ses.clear_workspaces(spark) == 0
+
+
 class FakeConf(dict):
     def get(self, key, default=None):
         return dict.get(self, key, default)
