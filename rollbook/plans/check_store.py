@@ -235,6 +235,32 @@ def q_load_fails_half_way(spark, sf_dir):
     )
 
 
+@query("""SELECT COUNT(*) AS n, CAST(SUM(c_custkey) AS BIGINT) AS total, true AS fewer_files,
+CAST(0 AS BIGINT) AS again FROM customer WHERE c_custkey % 3 < 2""")
+def q_compact(spark, sf_dir):
+    """Two files that were loaded in many small pieces are stored in fewer files; the version
+    before is still there, and a second run finds nothing to do."""
+    folder = workspace(spark, "compact")
+    raw, root, companies = f"{folder}/raw", f"{folder}/tables", REGISTRY["empresa"]
+    for place in range(2):
+        customers_by_file(spark, sf_dir, raw, place)
+    split = "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(split)
+    spark.conf.set(split, "4096")
+    try:
+        publish.load_changed(spark, raw, root, MONTH)
+    finally:
+        spark.conf.set(split, usual)
+    publish.compact(spark, root, companies, MONTH)
+    again = len(publish.compact(spark, root, companies, MONTH))
+    before = publish.read_table(spark, root, companies, MONTH, version=1)
+    after = publish.read_table(spark, root, companies, MONTH)
+    fewer = len(after.inputFiles()) == 2 < len(before.inputFiles()) and before.exceptAll(after).isEmpty()
+    return after.agg(
+        F.count("*").alias("n"), F.sum(F.col("cnpj_basico").cast("bigint")).alias("total")
+    ).withColumns({"fewer_files": F.lit(fewer), "again": F.lit(again).cast("bigint")})
+
+
 # -- parts that come one after another ---------------------------------------------------------
 
 _PADDED = "CASE WHEN p_partkey % 2 = 0 THEN lpad(CAST(p_partkey % 97 AS STRING), 4, '0') ELSE CAST(p_partkey % 97 AS STRING) END"

@@ -39,6 +39,7 @@ from rollbook.sources.files import base_name, plain_path, route
 
 log = logging.getLogger(__name__)
 
+FILE_BYTES = 128 << 20  # of a stored file, which ``compact`` aims at
 SOURCE = "source"  # the folder of a source file's rows: a hash of its name
 LISTING = "table_name string, source string, size long, archive string, member string"
 
@@ -210,6 +211,39 @@ def load_changed(spark: SparkSession, folder: str, root: str, snapshot: str, dat
     return out
 
 
+def compact(spark: SparkSession, root: str, table: Table, snapshot: str,
+            target_bytes: int = FILE_BYTES) -> list[str]:
+    """Write the parts of a month that lie in more files than their bytes ask for into fewer, and
+    publish; returns these parts' sources.  Rows, and versions before, stay as they are, so it can
+    be repeated, and finds nothing then; a load that publishes meanwhile makes it a ``Conflict``.
+
+    A source file's rows stay apart from others', so there is one file per source at least.
+    """
+    root = root.rstrip("/")
+    before, live = versions.parts(spark, root)
+    rows = [tuple(r) for r in live.collect()]  # a row per source file
+    loose = {}
+    for r in live.filter(
+        (F.col("table_name") == table.name) & (F.col("snapshot") == snapshot) & F.col("part").isNotNull()
+    ).collect():
+        n_files = sum(name.endswith(".parquet") for name in versions.children(spark, f"{root}/{r['part']}"))
+        if n_files > 1 + r["bytes"] // target_bytes:
+            loose[r["part"]] = r["source"]
+    if not loose:
+        return []
+    load = f"{snapshot}-{uuid.uuid4().hex[:12]}-d"
+    # Gathered by source; Spark cuts a large one into as many tasks as its bytes need.
+    packed = stored_rows(spark, root, table, loose).hint("rebalance", F.col(SOURCE_FILE))
+    parts = {source: part for source, part, *_ in write_parts(packed, root, table, load)}
+    moved = [
+        (*r[:4], load, parts[r[2]], *r[6:8], part_bytes(spark, f"{root}/{parts[r[2]]}")) if r[5] in loose else r
+        for r in rows
+    ]
+    build_indexes(spark, root, {table.name: [load]})
+    versions.publish(spark, root, before, versions.as_parts(spark, moved))
+    return sorted(loose.values())
+
+
 def build_indexes(spark: SparkSession, root: str, loads: Mapping[str, list[str]],
                   at_once: int = 4) -> dict[str, dict[str, str]]:
     """Index new loads, by table; an index that fails does not stop the rest, and lookups do

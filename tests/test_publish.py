@@ -128,6 +128,31 @@ def test_old_versions_are_forgotten(spark, tmp_path):
         versions.forget(spark, root, 0)
 
 
+def test_compaction_keeps_rows_indexes_and_replacing(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "o")
+    for i in range(2):
+        write(raw / f"K{i}.EMPRECSV", [company(f"{i}{j:04d}", f"NAME {j}", str(j % 7)) for j in range(300)])
+    split = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(split, "3000")
+    try:
+        publish.load_changed(spark, str(raw), root, "2025-10")
+    finally:
+        spark.conf.unset(split)
+    before = publish.read_table(spark, root, EMPRESA, "2025-10")
+    rows = plain(before)
+    assert len(before.inputFiles()) > 8
+    assert len(publish.compact(spark, root, EMPRESA, "2025-10")) == 2
+    after = publish.read_table(spark, root, EMPRESA, "2025-10")
+    assert len(after.inputFiles()) == 2 and plain(after) == rows
+    assert publish.compact(spark, root, EMPRESA, "2025-10") == []
+    assert plain(publish.read_table(spark, root, EMPRESA, "2025-10", version=1)) == rows
+    found = publish.lookup(spark, root, EMPRESA, {"natureza_juridica": 3})
+    assert plain(found) == [r for r in rows if r[2] == 3]
+    write(raw / "K1.EMPRECSV", [company("9", "new")])
+    again = publish.load_changed(spark, str(raw), root, "2025-10")
+    assert again.counts == {"empresa": (301, 0)} and len(again.read) == 1
+
+
 # -- indexes ---------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
