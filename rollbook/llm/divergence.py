@@ -37,7 +37,7 @@ MIN_DOCS = 30
 TOP_TERMS = 50
 SLICE_BYTES = 16 << 20  # of text whose pointers are sorted together
 TILE_SOURCES = 128
-TILE_TERMS = 4096
+TILE_TERMS = 512
 
 SCALE, PRIOR = 1_000_000_000, 5
 
