@@ -66,7 +66,11 @@ def _without_quoted_cells(line: Column, sep: str, stand_in: str = "") -> Column:
 def may_continue(line: Column, sep: str = ";") -> Column:
     """True for every line that ends inside a quoted cell (and for a few with
     stray quotes, which only costs splitting)."""
-    return line.contains('"') & _without_quoted_cells(line, sep).contains('"')
+    # Nearly all lines are a row of whole cells, which is quicker to see than to take apart.
+    s = re.escape(sep)
+    cell = rf'(?:"[^"]*+"|[^"{s}]*+)'
+    whole = F.replace(line, F.lit('""'), F.lit("")).rlike(rf"^{cell}(?:{s}{cell})*+$")
+    return line.contains('"') & ~whole & _without_quoted_cells(line, sep).contains('"')
 
 
 def field_count(record: Column, sep: str = ";") -> Column:
@@ -94,10 +98,9 @@ def finish_scan(parsed: DataFrame, table: Table, sep: str) -> DataFrame:
     n = len(table.columns)
     corrupt = F.col(_CORRUPT)
     is_long = corrupt.isNotNull() & (field_count(corrupt, sep) > n)
-    # Blank lines go.  The first cell is blank there too; naming it keeps a count
-    # of the rows from reading the corrupt column alone, which Spark forbids.
-    has_text = corrupt.isNull() | (F.trim(corrupt) != "") | (F.trim(table.columns[0]) != "")
-    return parsed.filter(has_text).select(
+    # No filter here: Spark would push it below the parser and parse every line a second time for
+    # it.  Blank lines are gone already, by all that find records.
+    return parsed.select(
         *[null_token(F.col(c), ("null",)).alias(c) for c in table.columns],
         F.coalesce(F.col(_TOO_LONG), F.when(is_long, corrupt)).alias(LONG_RECORD),
         SOURCE_FILE,
@@ -110,15 +113,16 @@ def plain_records(lines: DataFrame, mark_open: str | None = None) -> DataFrame:
     ``mark_open``, a separator, has lines that may go on in the next one without a record
     and with -1 characters: their file is to be read again for line breaks in cells.
     """
+    found = lines.filter(F.btrim("line", F.lit(" \r")) != "")
     record = F.regexp_replace("line", "\r$", "")
     record = F.when(F.col("line").endswith("\r"), record).otherwise(F.col("line"))
     chars = F.length("line").cast("long")
     if mark_open is not None:
-        opened = may_continue(F.col("line"), mark_open)
+        # In a step of its own, as two columns go by it.
+        found = found.select("path", "start", "line", may_continue(F.col("line"), mark_open).alias("opened"))
+        opened = F.col("opened")
         record, chars = F.when(~opened, record), F.when(opened, F.lit(-1).cast("long")).otherwise(chars)
-    return lines.filter(F.trim(F.translate("line", "\r", "")) != "").select(
-        "path", F.col("start").alias("at"), chars.alias("chars"), record.alias("record"),
-    )
+    return found.select("path", F.col("start").alias("at"), chars.alias("chars"), record.alias("record"))
 
 
 def broken_files(spark: SparkSession, paths: Sequence[str], sep: str = ";",

@@ -1,5 +1,6 @@
 """Scans of byte-exact files, plain and zipped, and the file listing."""
 
+import itertools
 import os
 import zipfile
 
@@ -270,3 +271,22 @@ def test_jdbc_options():
     sliced = jdbc.read_options("jdbc:x:y", "t", jdbc.Slices("id", "0", "100", 4), user="u")
     assert sliced["partitionColumn"] == "id" and sliced["numPartitions"] == "4"
     assert sliced["user"] == "u"
+
+
+def test_lines_are_parsed_once(spark, plan, tmp_path):
+    """No filter is pushed below the parser, which would parse each line again for it."""
+    path = tmp_path / "lines.csv"
+    path.write_bytes(("\n".join(PLAIN) + "\n \r\n\r\n").encode("latin-1"))
+    for options in ({"mark_open": True}, {"multi_line": False}):
+        found = scan_delimited(spark, FOUR, str(path), **options)
+        assert plan(found).count("from_csv(") == 1
+        assert found.count() == len([line for line in PLAIN if line.strip()])
+
+
+def test_whole_cells_are_seen_as_taking_lines_apart_does(spark):
+    ends = ["", '"', '""', '"a;b"', "a", 'a"b', '"a', '"a""b"', ' "a"', "\r"]
+    lines = [";".join(cells) for n in (1, 2, 3) for cells in itertools.product(ends, repeat=n)]
+    line = F.col("line")
+    apart = line.contains('"') & delimited._without_quoted_cells(line, ";").contains('"')
+    frame = spark.createDataFrame([(x,) for x in lines], "line string")
+    assert frame.filter(delimited.may_continue(line) != apart).count() == 0
