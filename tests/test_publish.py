@@ -128,6 +128,26 @@ def test_old_versions_are_forgotten(spark, tmp_path):
         versions.forget(spark, root, 0)
 
 
+def test_parts_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """More files than a task writes side by side, read by one task."""
+    key, most = publish.UNSORTED
+    for i in range(7):
+        write(tmp_path / f"raw/K{i}.EMPRECSV", [company(f"{i}{j:03}", f"N {i}") for j in range(5)])
+    seen, write_parts = [], publish.write_parts
+
+    def looking(*args):
+        seen.append(spark.conf.get(key))
+        return write_parts(*args)
+
+    monkeypatch.setattr(publish, "write_parts", looking)
+    before = spark.conf.get(key)
+    root = str(tmp_path / "tables")
+    done = publish.load_changed(spark, str(tmp_path / "raw"), root, "2025-10", tables={"empresa": EMPRESA})
+    assert seen == [most] and spark.conf.get(key) == before != most and done.counts == {"empresa": (35, 0)}
+    got = publish.read_table(spark, root, EMPRESA, "2025-10")
+    assert sorted(r[0] for r in got.select("cnpj_basico").collect()) == [f"{i}{j:03}" for i in range(7) for j in range(5)]
+
+
 def test_compaction_keeps_rows_indexes_and_replacing(spark, tmp_path):
     raw, root = tmp_path / "raw", str(tmp_path / "o")
     for i in range(2):
