@@ -15,7 +15,7 @@ from rollbook.plans import load, publish
 from rollbook.plans.check_files import raw_registry, write_delimited
 from rollbook.plans.registered import query, table
 from rollbook.schema import REGISTRY
-from rollbook.session import workspace
+from rollbook.session import setting, workspace
 from rollbook.sinks import versions
 from rollbook.streaming import files as stream
 
@@ -48,6 +48,7 @@ _INDEXED = {
     }),
 }
 FILES = 8
+PIECES = 64  # of a file that is loaded in small ones
 
 
 def _spark(expr: str) -> str:
@@ -244,13 +245,10 @@ def q_compact(spark, sf_dir):
     raw, root, companies = f"{folder}/raw", f"{folder}/tables", REGISTRY["empresa"]
     for place in range(2):
         customers_by_file(spark, sf_dir, raw, place)
-    split = "spark.sql.files.maxPartitionBytes"
-    usual = spark.conf.get(split)
-    spark.conf.set(split, "4096")
-    try:
+    # As many pieces whatever the files' size, as the setting also cuts all else that the load reads.
+    size = min(publish.part_bytes(spark, f"{raw}/K{place}.EMPRECSV") for place in range(2))
+    with setting(spark, "spark.sql.files.maxPartitionBytes", str(max(1, size // PIECES))):
         publish.load_changed(spark, raw, root, MONTH)
-    finally:
-        spark.conf.set(split, usual)
     publish.compact(spark, root, companies, MONTH)
     again = len(publish.compact(spark, root, companies, MONTH))
     before = publish.read_table(spark, root, companies, MONTH, version=1)

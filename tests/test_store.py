@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rollbook import session as ses
 from rollbook.operators.relate import join_facts
 from rollbook.operators.shape import typed_with_reasons
-from rollbook.plans import check_files, load, publish  # noqa: F401 - registers
+from rollbook.plans import check_files, check_store, load, publish  # noqa: F401 - registers
 from rollbook.plans.registered import QUERIES
 from rollbook.schema import REGISTRY
 from rollbook.sinks import layout, tables
@@ -334,3 +334,20 @@ def test_tables_whose_archives_are_gone_or_shrunken_are_emptied(spark, tmp_path)
     assert run() == {"munic": (1, 0), "pais": (0, 0)}  # moti was empty before
     assert rows("pais") == 0 and spark.table("archives.pais").count() == 0
     assert run() == {}
+
+
+@pytest.mark.parametrize("rows", [150, 30_000])
+def test_pieces_to_compact_do_not_grow_with_the_input(spark, tmp_path, monkeypatch, rows):
+    spark.range(rows).selectExpr(
+        "id AS c_custkey", "concat('Customer#', id) AS c_name", "CAST(id % 25 AS INT) AS c_nationkey",
+    ).write.parquet(str(tmp_path / "customer.parquet"))
+    pieces, compact = [], check_store.publish.compact
+
+    def counting(spark, root, table, month):
+        pieces.append(len(check_store.publish.read_table(spark, root, table, month).inputFiles()))
+        return compact(spark, root, table, month)
+
+    monkeypatch.setattr(check_store.publish, "compact", counting)
+    got = QUERIES["q_compact"](spark, str(tmp_path)).first()
+    assert got["n"] == rows * 2 // 3 and got["fewer_files"] and got["again"] == 0
+    assert 2 < pieces[0] <= 2 * (check_store.PIECES + 1) and pieces[1] == 2
